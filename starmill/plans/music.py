@@ -150,13 +150,13 @@ def fact_inner_title(plays: DataFrame, songs: DataFrame, columns: list[str]) ->
     return lookup_join(rows, lookup, ["song"]).select(*columns, "song_id", "artist_id")
 
 
-def fact_three_key(plays: DataFrame, songs: DataFrame, artists: DataFrame, scale: int | None = None) -> DataFrame:
+def fact_three_key(plays: DataFrame, raw_songs: DataFrame, scale: int | None = None) -> DataFrame:
     """Plays whose title, artist and length all match a song, keyed by MD5.
 
     ``scale`` rounds the length on both sides (0 compares whole seconds).
     """
     on = ["song", "artist", "length"]
-    lookup = _on_title_name_length(song_lookup(songs, artists), scale)
+    lookup = _on_title_name_length(raw_songs.withColumnRenamed("artist_name", "name"), scale)
     rows = require_values(plays, ["start_time"]).withColumn("length", _at_scale(F.col("length"), scale))
     joined = lookup_join(rows, lookup, on)
     return joined.select(

@@ -13,27 +13,37 @@ from pyspark.sql import types as T
 
 from starmill.operators import quality
 
-_schema = T.StructType.fromDDL
+
+def _schema(**columns: str | T.DataType) -> T.StructType:
+    schema = T.StructType()
+    for name, type_name in columns.items():
+        schema.add(name, type_name)
+    return schema
+
+
+_TEXTS = T.ArrayType(T.StringType())
 
 # Field names of the raw inputs, spelled as the sources spell them, and the
 # column names, keys and widths of the tables built from them.
 
 RAW_SONGS = _schema(
-    "artist_id string, artist_latitude double, artist_location string, artist_longitude double, "
-    "artist_name string, duration double, num_songs int, song_id string, title string, year int"
+    artist_id="string", artist_latitude="double", artist_location="string",
+    artist_longitude="double", artist_name="string", duration="double", num_songs="integer",
+    song_id="string", title="string", year="integer",
 )
 
 RAW_EVENTS = _schema(
-    "artist string, auth string, firstName string, gender string, itemInSession int, "
-    "lastName string, length double, level string, location string, method string, page string, "
-    "registration double, sessionId int, song string, status int, ts bigint, userAgent string, "
-    "userId string"
+    artist="string", auth="string", firstName="string", gender="string", itemInSession="integer",
+    lastName="string", length="double", level="string", location="string", method="string",
+    page="string", registration="double", sessionId="integer", song="string", status="integer",
+    ts="long", userAgent="string", userId="string",
 )
 
 RAW_EVENTS_CSV = _schema(
-    "artist string, auth string, firstName string, gender string, itemInSession int, "
-    "lastName string, length double, level string, location string, method string, page string, "
-    "registration string, sessionId int, song string, status int, ts string, userId string"
+    artist="string", auth="string", firstName="string", gender="string", itemInSession="integer",
+    lastName="string", length="double", level="string", location="string", method="string",
+    page="string", registration="string", sessionId="integer", song="string", status="integer",
+    ts="string", userId="string",
 )
 
 SLIM_EVENT_COLUMNS = [
@@ -42,28 +52,37 @@ SLIM_EVENT_COLUMNS = [
 ]
 
 RAW_LABEL_DOCUMENT = _schema(
-    "results array<struct<active_ingredient: array<string>, adverse_reactions: array<string>, "
-    "drug_interactions: array<string>, indications_and_usage: array<string>, "
-    "warnings: array<string>, openfda: struct<package_ndc: array<string>, "
-    "generic_name: array<string>, brand_name: array<string>>>>"
-)
+    results=T.ArrayType(
+        _schema(
+            active_ingredient=_TEXTS, adverse_reactions=_TEXTS, drug_interactions=_TEXTS,
+            indications_and_usage=_TEXTS, warnings=_TEXTS,
+            openfda=_schema(package_ndc=_TEXTS, generic_name=_TEXTS, brand_name=_TEXTS),
+        )
+    )
+)
 
 RAW_REPORT_DOCUMENT = _schema(
-    "results array<struct<safetyreportid: string, receivedate: string, receiptdate: string, "
-    "seriousnesshospitalization: string, seriousnessdeath: string, "
-    "seriousnesslifethreatening: string, seriousnessdisabling: string, "
-    "seriousnesscongenitalanomali: string, patient: struct<"
-    "patientdeath: struct<patientdeathdate: string>, "
-    "drug: array<struct<openfda: struct<package_ndc: array<string>>>>, "
-    "reaction: array<struct<reactionmeddrapt: string>>>>>"
-)
+    results=T.ArrayType(
+        _schema(
+            safetyreportid="string", receivedate="string", receiptdate="string",
+            seriousnesshospitalization="string", seriousnessdeath="string",
+            seriousnesslifethreatening="string", seriousnessdisabling="string",
+            seriousnesscongenitalanomali="string",
+            patient=_schema(
+                patientdeath=_schema(patientdeathdate="string"),
+                drug=T.ArrayType(_schema(openfda=_schema(package_ndc=_TEXTS))),
+                reaction=T.ArrayType(_schema(reactionmeddrapt="string")),
+            ),
+        )
+    )
+)
 
 RAW_PRICING = _schema(
-    "as_of_date string, classification_for_rate_setting string, "
-    "corresponding_generic_drug_effective_date string, "
-    "corresponding_generic_drug_nadac_per_unit double, effective_date string, "
-    "explanation_code string, nadac_per_unit double, ndc string, ndc_description string, "
-    "otc string, pharmacy_type_indicator string, pricing_unit string"
+    as_of_date="string", classification_for_rate_setting="string",
+    corresponding_generic_drug_effective_date="string",
+    corresponding_generic_drug_nadac_per_unit="double", effective_date="string",
+    explanation_code="string", nadac_per_unit="double", ndc="string", ndc_description="string",
+    otc="string", pharmacy_type_indicator="string", pricing_unit="string",
 )
 
 
@@ -81,49 +100,55 @@ class Table:
     widths: dict[str, int] = field(default_factory=dict)
 
 
-def _table(name: str, columns: str, **options) -> Table:
-    return Table(name, _schema(columns), **options)
-
-
 MUSIC_TABLES = {
     t.name: t
     for t in [
-        _table(
+        Table(
             "users",
-            "user_id int, first_name string, last_name string, gender string, level string, "
-            "last_start_time timestamp_ntz",
+            _schema(
+                user_id="integer", first_name="string", last_name="string", gender="string",
+                level="string", last_start_time="timestamp_ntz",
+            ),
             key=("user_id",),
             not_null=("user_id", "gender", "level"),
             sort_by=("user_id",),
         ),
-        _table(
+        Table(
             "songs",
-            "song_id string, title string, artist_id string, year int, duration double",
+            _schema(song_id="string", title="string", artist_id="string", year="integer", duration="double"),
             key=("song_id",),
             not_null=("song_id", "title", "artist_id", "year"),
             partition_by=("year",),
             sort_by=("song_id",),
         ),
-        _table(
+        Table(
             "artists",
-            "artist_id string, name string, location string, latitude double, longitude double",
+            _schema(
+                artist_id="string", name="string", location="string", latitude="double",
+                longitude="double",
+            ),
             key=("artist_id",),
             not_null=("artist_id", "name"),
             sort_by=("artist_id",),
         ),
-        _table(
+        Table(
             "time",
-            "start_time timestamp_ntz, hour int, day int, week int, month int, year int, weekday int",
+            _schema(
+                start_time="timestamp_ntz", hour="integer", day="integer", week="integer",
+                month="integer", year="integer", weekday="integer",
+            ),
             key=("start_time",),
             not_null=("start_time", "hour", "day", "week", "month", "year", "weekday"),
             partition_by=("year", "month"),
             sort_by=("start_time",),
         ),
-        _table(
+        Table(
             "songplays",
-            "songplay_id string, start_time timestamp_ntz, user_id int, level string, "
-            "song_id string, artist_id string, session_id int, location string, "
-            "user_agent string, year int, month int",
+            _schema(
+                songplay_id="string", start_time="timestamp_ntz", user_id="integer", level="string",
+                song_id="string", artist_id="string", session_id="integer", location="string",
+                user_agent="string", year="integer", month="integer",
+            ),
             key=("songplay_id",),
             not_null=("songplay_id", "start_time", "user_id"),
             foreign_keys=(
@@ -141,22 +166,27 @@ MUSIC_TABLES = {
 QUERY_FIRST_TABLES = {
     t.name: t
     for t in [
-        _table(
+        Table(
             "session_songs",
-            "session_id int, item_in_session int, artist string, song string, length double",
+            _schema(
+                session_id="integer", item_in_session="integer", artist="string", song="string",
+                length="double",
+            ),
             key=("session_id", "item_in_session"),
             sort_by=("session_id", "item_in_session"),
         ),
-        _table(
+        Table(
             "user_sessions",
-            "user_id int, session_id int, item_in_session int, artist string, song string, "
-            "first_name string, last_name string",
+            _schema(
+                user_id="integer", session_id="integer", item_in_session="integer", artist="string",
+                song="string", first_name="string", last_name="string",
+            ),
             key=("user_id", "session_id", "item_in_session"),
             sort_by=("user_id", "session_id", "item_in_session"),
         ),
-        _table(
+        Table(
             "song_users",
-            "song string, user_id int, first_name string, last_name string",
+            _schema(song="string", user_id="integer", first_name="string", last_name="string"),
             key=("song", "user_id"),
             sort_by=("song", "user_id"),
         ),
@@ -166,9 +196,12 @@ QUERY_FIRST_TABLES = {
 DRUG_TABLES = {
     t.name: t
     for t in [
-        _table(
+        Table(
             "drug_events",
-            "drug_event_id bigint, formatted_ndc string, package_ndc string, safetyreportid string",
+            _schema(
+                drug_event_id="long", formatted_ndc="string", package_ndc="string",
+                safetyreportid="string",
+            ),
             key=("drug_event_id",),
             not_null=("formatted_ndc", "package_ndc", "safetyreportid"),
             foreign_keys=(
@@ -178,50 +211,59 @@ DRUG_TABLES = {
             sort_by=("formatted_ndc",),
             widths={"formatted_ndc": 11, "package_ndc": 20, "safetyreportid": 9},
         ),
-        _table(
+        Table(
             "reactions",
-            "reactions_id bigint, reactionmeddrapt string, safetyreportid string",
+            _schema(reactions_id="long", reactionmeddrapt="string", safetyreportid="string"),
             key=("reactions_id",),
             not_null=("reactionmeddrapt", "safetyreportid"),
             foreign_keys=(("safetyreportid", "safety_reports", "safetyreportid"),),
             sort_by=("safetyreportid",),
             widths={"safetyreportid": 9},
         ),
-        _table(
+        Table(
             "safety_reports",
-            "patientdeath boolean, receiptdate date, receivedate date, safetyreportid string, "
-            "seriousnesscongenitalanomali boolean, seriousnessdeath boolean, "
-            "seriousnessdisabling boolean, seriousnesshospitalization boolean, "
-            "seriousnesslifethreatening boolean",
+            _schema(
+                patientdeath="boolean", receiptdate="date", receivedate="date",
+                safetyreportid="string", seriousnesscongenitalanomali="boolean",
+                seriousnessdeath="boolean", seriousnessdisabling="boolean",
+                seriousnesshospitalization="boolean", seriousnesslifethreatening="boolean",
+            ),
             key=("safetyreportid",),
             not_null=("safetyreportid",),
             sort_by=("safetyreportid",),
             widths={"safetyreportid": 9},
         ),
-        _table(
+        Table(
             "labels",
-            "labels_id bigint, active_ingredient string, adverse_reactions string, "
-            "brand_name string, drug_interactions string, formatted_ndc string, "
-            "generic_name string, indications_and_usage string, package_ndc string, warnings string",
+            _schema(
+                labels_id="long", active_ingredient="string", adverse_reactions="string",
+                brand_name="string", drug_interactions="string", formatted_ndc="string",
+                generic_name="string", indications_and_usage="string", package_ndc="string",
+                warnings="string",
+            ),
             key=("labels_id",),
             foreign_keys=(("formatted_ndc", "ndc", "ndc"),),
             sort_by=("formatted_ndc",),
             widths={"formatted_ndc": 11, "package_ndc": 20},
         ),
-        _table(
+        Table(
             "pricing",
-            "pricing_id bigint, as_of_date timestamp_ntz, classification_for_rate_setting string, "
-            "corresponding_generic_drug_effective_date timestamp_ntz, "
-            "corresponding_generic_drug_nadac_per_unit double, effective_date timestamp_ntz, "
-            "explanation_code string, nadac_per_unit double, ndc string, ndc_description string, "
-            "otc string, pharmacy_type_indicator string, pricing_unit string",
+            _schema(
+                pricing_id="long", as_of_date="timestamp_ntz",
+                classification_for_rate_setting="string",
+                corresponding_generic_drug_effective_date="timestamp_ntz",
+                corresponding_generic_drug_nadac_per_unit="double", effective_date="timestamp_ntz",
+                explanation_code="string", nadac_per_unit="double", ndc="string",
+                ndc_description="string", otc="string", pharmacy_type_indicator="string",
+                pricing_unit="string",
+            ),
             key=("pricing_id",),
             not_null=("ndc",),
             foreign_keys=(("ndc", "ndc", "ndc"),),
             sort_by=("ndc",),
             widths={"ndc": 11},
         ),
-        _table("ndc", "ndc string", key=("ndc",), not_null=("ndc",), sort_by=("ndc",), widths={"ndc": 11}),
+        Table("ndc", _schema(ndc="string"), key=("ndc",), not_null=("ndc",), sort_by=("ndc",), widths={"ndc": 11}),
     ]
 }
 
@@ -233,7 +275,8 @@ def create_tables(spark: SparkSession, tables: dict[str, Table], base: str) -> N
             continue
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema)
         layout = f"PARTITIONED BY ({', '.join(table.partition_by)})" if table.partition_by else ""
-        spark.sql(f"CREATE TABLE {table.name} ({columns}) USING parquet {layout} LOCATION '{base}/{table.name}'")
+        location = f"LOCATION '{base}/{table.name}'"
+        spark.sql(f"CREATE TABLE {table.name} ({columns}) USING parquet {layout} {location}")
 
 
 def drop_tables(spark: SparkSession, tables: dict[str, Table]) -> None:
