@@ -135,23 +135,18 @@ def reaction_trend(spark, sf):
 
 @query(
     "drug_profile",
-    f"""WITH {roles.LABELS_SQL}, {roles.PRICING_SQL}, {NDC_SQL}, {roles.REPORT_DRUGS_SQL}, {roles.REACTIONS_SQL},
-    b AS (SELECT ndc, string_agg(item, '; ' ORDER BY item) AS brands FROM (
-            SELECT DISTINCT formatted_ndc AS ndc, brand_name AS item FROM drug_labels
-            WHERE formatted_ndc IS NOT NULL AND brand_name IS NOT NULL) GROUP BY 1),
-    p AS (SELECT ndc, string_agg(item, '; ' ORDER BY item) AS prices FROM (
-            SELECT ndc, CAST(year(as_of_date) AS VARCHAR) || '=' || CAST(count(*) AS VARCHAR) AS item
-            FROM pricing GROUP BY ndc, year(as_of_date)) GROUP BY 1),
-    r AS (SELECT ndc, string_agg(item, '; ' ORDER BY item) AS reactions FROM (
-            SELECT formatted_ndc AS ndc, reactionmeddrapt || '=' || CAST(count(*) AS VARCHAR) AS item
-            FROM drug_events JOIN reactions USING (safetyreportid) GROUP BY formatted_ndc, reactionmeddrapt)
-          GROUP BY 1)
-    SELECT ndc, brands, prices, reactions FROM ndc LEFT JOIN b USING (ndc) LEFT JOIN p USING (ndc)
-    LEFT JOIN r USING (ndc)""",
+    f"""WITH {roles.LABELS_SQL}, {roles.PRICING_SQL}, {roles.REPORT_DRUGS_SQL}, {roles.REACTIONS_SQL}
+    SELECT formatted_ndc AS ndc, 'brand' AS section, brand_name AS entry, count(*) AS n FROM drug_labels
+    WHERE formatted_ndc IS NOT NULL AND brand_name IS NOT NULL GROUP BY 1, 3
+    UNION ALL
+    SELECT ndc, 'price_year', CAST(year(as_of_date) AS VARCHAR), count(*) FROM pricing GROUP BY 1, 3
+    UNION ALL
+    SELECT formatted_ndc, 'reaction', reactionmeddrapt, count(*)
+    FROM drug_events JOIN reactions USING (safetyreportid) GROUP BY 1, 3""",
 )
 def drug_profile(spark, sf):
     w = warehouse(spark, sf)
-    return drug.drug_profile(w["ndc"], w["labels"], w["pricing"], w["drug_events"], w["reactions"])
+    return drug.drug_profile(w["labels"], w["pricing"], w["drug_events"], w["reactions"])
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from driver_queries import roles
@@ -59,8 +61,7 @@ def stage_json_mapped(spark, sf):
         "length": "length", "page": "page", "level": "level",
     }
     template = base + "/raw/{execution_date.year}/{execution_date.month}"
-    run_date = __import__("datetime").date(2018, 11, 1)
-    staged = files.stage(spark, template, run_date, RAW_EVENTS, "json", mapping=mapping, to=f"{base}/staged")
+    staged = files.stage(spark, template, date(2018, 11, 1), RAW_EVENTS, "json", mapping=mapping, to=f"{base}/staged")
     return staged.withColumn("session_id", F.col("session_id").cast("bigint"))
 
 
@@ -228,11 +229,12 @@ def incremental_load(spark, sf):
 def incremental_latest(spark, sf):
     """The same result as ``upsert_latest``, fed by a stream of two deliveries."""
     base = scratch_path(spark, "incremental-users")
+    name = "users_" + base.rsplit("-", 1)[1]
     rows = user_rows(roles.history(spark, sf))
     for delivery in halves(rows, "last_start_time"):
         delivery.write.mode("append").parquet(f"{base}/in")
         stream = new_files(spark, f"{base}/in", rows.schema, "parquet")
         latest_stream(
-            stream, f"{base}/out", ["user_id"], "last_start_time", ["level"], f"{base}/checkpoint"
+            stream, name, f"{base}/out", ["user_id"], "last_start_time", ["level"], f"{base}/checkpoint"
         ).awaitTermination()
-    return files.read_table(spark, f"{base}/out", rows.schema)
+    return spark.table(name)

@@ -13,6 +13,10 @@ from starmill.operators.dedupe import latest_attributes
 from starmill.operators.filters import lookup
 from starmill.operators.setops import append_aligned, union_distinct
 from starmill.plans import music
+from starmill.schemas import MUSIC_TABLES
+from starmill.session import scratch_path
+from starmill.sinks.tables import write_table
+from starmill.sources.files import read_table
 
 # --- star tables ---------------------------------------------------------------------------
 
@@ -67,7 +71,17 @@ STAR_SQL = ", ".join([
 
 
 def star(spark, sf):
-    return music.build_star(roles.events_log(spark, sf), roles.raw_songs(spark, sf))
+    """The five tables, written and read back: log and catalogue are staged once."""
+    base = scratch_path(spark, "star")
+    staged = {"log": roles.events_log(spark, sf), "catalogue": roles.raw_songs(spark, sf)}
+    for name, df in staged.items():
+        write_table(df, f"{base}/staging_{name}")
+        staged[name] = read_table(spark, f"{base}/staging_{name}", df.schema)
+    tables = {}
+    for name, df in music.build_star(staged["log"], staged["catalogue"]).items():
+        write_table(df, f"{base}/{name}", sort_by=MUSIC_TABLES[name].sort_by)
+        tables[name] = read_table(spark, f"{base}/{name}", df.schema)
+    return tables
 
 
 @query("star_songs", f"WITH {SONGS_SQL} SELECT * FROM songs")
@@ -115,7 +129,8 @@ def star_time(spark, sf):
 
 @query("star_songplays", f"WITH {STAR_SQL} SELECT * FROM songplays")
 def star_songplays(spark, sf):
-    return star(spark, sf)["songplays"]
+    plays = music.plays_of(roles.events_log(spark, sf))
+    return music.build_songplays(plays, *music.build_catalogue(roles.raw_songs(spark, sf)))
 
 
 # --- fact joins ----------------------------------------------------------------------------

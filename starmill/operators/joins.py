@@ -103,12 +103,12 @@ def lookup_join(
 def orphan_keys(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:
     """Keys in ``child`` without a row in ``parent``, with the number of child rows.
 
-    The child is counted per key first: a hot key enters the join as one row.
+    Both sides are brought down to one row per key before the join, so a hot key stays small.
     """
     keys = (
         child.filter(F.col(child_key).isNotNull())
         .groupBy(F.col(child_key).alias("orphan_key"))
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
-    parents = parent.select(F.col(parent_key).alias("orphan_key"))
+    parents = parent.select(F.col(parent_key).alias("orphan_key")).distinct()
     return keys.join(parents, "orphan_key", "left_anti")

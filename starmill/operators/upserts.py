@@ -20,8 +20,8 @@ def new_rows(existing: DataFrame, batch: DataFrame, keys: list[str], order: list
     known = existing.select(*keys)
     batch_keys = batch.select(*keys).distinct()
     if fits_broadcast(batch_keys):
-        known = known.join(F.broadcast(batch_keys), keys, "left_semi").distinct()
-    return candidates.join(known, keys, "left_anti")
+        known = known.join(F.broadcast(batch_keys), keys, "left_semi")
+    return candidates.join(known.distinct(), keys, "left_anti")
 
 
 def insert_if_absent(

@@ -173,7 +173,7 @@ def reaction_trend(
     number of mentions); the product of the counts stands for the pairs.
     """
     attributes = require_values(
-        labels.select(F.col("formatted_ndc").alias("formatted_ndc"), attribute), ["formatted_ndc", attribute]
+        labels.select("formatted_ndc", attribute), ["formatted_ndc", attribute]
     ).distinct()
     drugs = (
         lookup_join(drug_events, attributes, ["formatted_ndc"])
@@ -186,37 +186,35 @@ def reaction_trend(
     return trend(weighted, [attribute, "reactionmeddrapt"], F.col("receivedate"), unit, weight="_pairs")
 
 
-def _joined(pairs: DataFrame, name: str) -> DataFrame:
-    # the list holds one entry per distinct name, year or reaction, however many rows a code has
-    return pairs.groupBy("ndc").agg(F.array_join(F.array_sort(F.collect_list("_item")), "; ").alias(name))
-
-
 def drug_profile(
-    ndc: DataFrame, labels: DataFrame, pricing: DataFrame, drug_events: DataFrame, reactions: DataFrame
+    labels: DataFrame, pricing: DataFrame, drug_events: DataFrame, reactions: DataFrame
 ) -> DataFrame:
-    """One record per code: its brand names, price range per year and reaction counts.
+    """Everything known about each code in one table: ndc, section, entry, n.
 
-    Every section is first counted down to its distinct entries.
+    Sections are the brand names with their labels, the prices per year and the reactions with
+    their mentions. A code's profile is the rows that share its ``ndc``: written with
+    ``write_clustered`` on (ndc, section, entry) they lie together and are found by one lookup,
+    and no code has to fit into a single row.
     """
-    brands = require_values(
-        labels.select(F.col("formatted_ndc").alias("ndc"), F.col("brand_name").alias("_item")), ["ndc", "_item"]
-    ).distinct()
-    prices = (
-        pricing.groupBy("ndc", F.year("as_of_date").alias("_year"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("ndc", F.concat_ws("=", F.col("_year").cast("string"), F.col("_n").cast("string")).alias("_item"))
+    brands = (
+        require_values(labels, ["formatted_ndc", "brand_name"])
+        .groupBy(F.col("formatted_ndc").alias("ndc"), F.col("brand_name").alias("entry"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    prices = pricing.groupBy("ndc", F.year("as_of_date").cast("string").alias("entry")).agg(
+        F.count(F.lit(1)).alias("n")
     )
     per_report = drug_events.groupBy("safetyreportid", "formatted_ndc").agg(F.count(F.lit(1)).alias("_drugs"))
-    reaction_items = (
+    mentions = (
         lookup_join(per_report, _reaction_counts(reactions), ["safetyreportid"])
-        .groupBy(F.col("formatted_ndc").alias("ndc"), "reactionmeddrapt")
-        .agg(F.sum(F.col("_drugs") * F.col("_reactions")).alias("_n"))
-        .select("ndc", F.concat_ws("=", F.col("reactionmeddrapt"), F.col("_n").cast("string")).alias("_item"))
+        .groupBy(F.col("formatted_ndc").alias("ndc"), F.col("reactionmeddrapt").alias("entry"))
+        .agg(F.sum(F.col("_drugs") * F.col("_reactions")).alias("n"))
     )
-    result = ndc
-    for pairs, name in ((brands, "brands"), (prices, "prices"), (reaction_items, "reactions")):
-        result = result.join(_joined(pairs, name), "ndc", "left")
-    return result
+    sections = [
+        rows.select("ndc", F.lit(section).alias("section"), "entry", "n")
+        for section, rows in (("brand", brands), ("price_year", prices), ("reaction", mentions))
+    ]
+    return sections[0].unionByName(sections[1]).unionByName(sections[2])
 
 
 def reject_rules() -> Mapping[str, object]:

@@ -10,18 +10,20 @@ from pyspark.sql import DataFrame, SparkSession
 from starmill.operators.quality import run_checks
 from starmill.plans import drug, music
 from starmill.schemas import DRUG_TABLES, MUSIC_TABLES, RAW_EVENTS, RAW_SONGS, table_checks
-from starmill.sinks.tables import append_new, load_partitions, upsert_latest_at, write_table
+from starmill.sinks.tables import append_new, load_partitions, upsert_latest_into, write_table
 from starmill.sources.files import read_table, stage
 
 
 def run(
     spark: SparkSession, run_date: date | datetime, events_template: str, songs_template: str,
-    warehouse: str, events_mapping: Mapping[str, str] | None = None, check: bool = True,
+    warehouse: str, database: str = "default", events_mapping: Mapping[str, str] | None = None,
+    check: bool = True,
 ) -> dict[str, DataFrame]:
     """Load the star for one run date; the same run again leaves the tables as they are.
 
     The event files of a run cover whole months, so facts and times replace their month.
-    Songs and artists gain the ids they lack, users take the most recent level.
+    Songs and artists gain the ids they lack, users (a catalog table, as it is rewritten)
+    take the most recent level.
     """
     staged_events = stage(
         spark, events_template, run_date, RAW_EVENTS, "json", mapping=events_mapping,
@@ -37,10 +39,11 @@ def run(
 
     events = music.normalise_events(staged_events)
     users, time, songplays = music.build_plays(events, star["songs"], star["artists"])
-    upsert_latest_at(spark, users, paths["users"], ["user_id"], "last_start_time", ["level"])
+    users_table = f"{database}.users"
+    upsert_latest_into(spark, users, users_table, paths["users"], ["user_id"], "last_start_time", ["level"])
+    star["users"] = spark.table(users_table)
     for name, df in (("time", time), ("songplays", songplays)):
         load_partitions(df, paths[name], MUSIC_TABLES[name].partition_by, MUSIC_TABLES[name].sort_by)
-    for name in ("users", "time", "songplays"):
         star[name] = read_table(spark, paths[name], MUSIC_TABLES[name].schema)
     if check:
         run_checks(spark, table_checks(MUSIC_TABLES, star))

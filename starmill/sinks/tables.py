@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,6 @@ from pyspark.sql import types as T
 
 from starmill.operators.dedupe import last_per_key
 from starmill.operators.upserts import merge_latest, new_rows
-from starmill.session import scratch_path
 
 
 def write_table(
@@ -107,17 +107,6 @@ def append_new(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[
     new_rows(existing, batch, list(keys), list(order)).select(*batch.columns).write.mode("append").parquet(path)
 
 
-def replace_from_self(spark: SparkSession, df: DataFrame, path: str) -> None:
-    """Overwrite ``path`` with a result that was computed from ``path`` itself.
-
-    The result is first written to the shared scratch folder, so a job that dies half way
-    leaves one whole copy behind.
-    """
-    staged = scratch_path(spark, "replace")
-    df.write.parquet(staged)
-    spark.read.schema(df.schema).parquet(staged).write.mode("overwrite").parquet(path)
-
-
 def publish(spark: SparkSession, table: str, path: str) -> None:
     """Point a catalog table at a newly written folder; readers switch in one step."""
     if spark.catalog.tableExists(table):
@@ -127,12 +116,20 @@ def publish(spark: SparkSession, table: str, path: str) -> None:
         spark.catalog.createTable(table, path=path, source="parquet")
 
 
-def upsert_latest_at(
-    spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str], order: str, changing: Sequence[str]
-) -> None:
-    """Merge the batch into the table at ``path``; see ``merge_latest``."""
-    existing = ensure_table(spark, path, batch.schema)
-    replace_from_self(spark, merge_latest(existing, batch, list(keys), order, list(changing)), path)
+def upsert_latest_into(
+    spark: SparkSession, batch: DataFrame, table: str, base: str,
+    keys: Sequence[str], order: str, changing: Sequence[str],
+) -> None:
+    """Merge the batch into a catalog table whose folders lie under ``base``; see ``merge_latest``.
+
+    The merged table is written to a folder of its own and then published, so the previous
+    state stays whole until the switch, and merging a batch again changes nothing.
+    """
+    known = spark.catalog.tableExists(table)
+    existing = spark.table(table) if known else spark.createDataFrame([], batch.schema)
+    path = f"{base}/{uuid.uuid4().hex}"
+    write_table(merge_latest(existing, batch, list(keys), order, list(changing)), path, sort_by=keys)
+    publish(spark, table, path)
 
 
 def upsert_last_write(

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from starmill.sinks.tables import append_new, upsert_latest_at
+from starmill.sinks.tables import append_new, upsert_latest_into
 
 
 def new_files(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json") -> DataFrame:
@@ -54,11 +54,11 @@ def append_stream_within(
 
 
 def latest_stream(
-    stream: DataFrame, path: str, keys: Sequence[str], order: str, changing: Sequence[str], checkpoint: str
+    stream: DataFrame, table: str, base: str, keys: Sequence[str], order: str, changing: Sequence[str], checkpoint: str
 ) -> StreamingQuery:
-    """Keep a dimension at the latest value of its changing columns."""
+    """Keep a catalog table at the latest value of its changing columns."""
 
     def load(batch: DataFrame, _: int) -> None:
-        upsert_latest_at(batch.sparkSession, batch, path, keys, order, changing)
+        upsert_latest_into(batch.sparkSession, batch, table, base, keys, order, changing)
 
     return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
