@@ -289,11 +289,12 @@ def level_share_exact(spark, sf):
 @query(
     "users_latest_level",
     f"""WITH {roles.HISTORY_SQL}
-    SELECT c_custkey AS user_id, c_name AS name, arg_max(level, ts) AS level, max(ts) AS ts
-    FROM history JOIN customer ON user_id = c_custkey GROUP BY 1, 2""",
+    SELECT c_custkey AS user_id, c_name AS name, level, ts FROM (
+      SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, level DESC) AS rn FROM history)
+    JOIN customer ON user_id = c_custkey WHERE rn = 1""",
 )
 def users_latest_level(spark, sf):
-    latest = latest_attributes(roles.history(spark, sf), ["user_id"], ["ts", "event_id"], ["level"], [])
+    latest = latest_attributes(roles.history(spark, sf), ["user_id"], "ts", ["level"], [])
     names = table(spark, sf, "customer").select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name"))
     return latest.join(names, "user_id").select("user_id", "name", "level", "ts")
 

@@ -268,7 +268,7 @@ PRICING_SQL = f"""pricing AS (
 def raw_pricing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One price record per line, dated by its ship date."""
     number = F.col("l_partkey")
-    day = F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss.SSS")
+    day = F.col("l_shipdate").cast("string")
     return table(spark, sf_dir, "lineitem").select(
         day.alias("as_of_date"),
         day.alias("effective_date"),

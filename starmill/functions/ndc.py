@@ -15,14 +15,18 @@ TEN_DIGIT_LAYOUTS = (
 
 
 def format_ndc(code: Column) -> Column:
-    """Ten-digit code with hyphens to eleven digits; NULL for any other text."""
-    segments = F.split(code, "-")
+    """Ten-digit code with hyphens to eleven digits; NULL for any other text.
+
+    The layout is recognised by the shape of the text, every digit written as 9.
+    """
+    shape = F.translate(code, "012345678", "999999999")
     result = F.lit(None).cast("string")
     for lengths, short in TEN_DIGIT_LAYOUTS:
-        pattern = "^" + "-".join(f"[0-9]{{{n}}}" for n in lengths) + r"\z"
-        padded = [
-            F.concat(F.lit("0"), F.get(segments, F.lit(i))) if i == short else F.get(segments, F.lit(i))
-            for i in range(3)
-        ]
-        result = F.when(code.rlike(pattern), F.concat(*padded)).otherwise(result)
+        segments, start = [], 1
+        for i, length in enumerate(lengths):
+            if i == short:
+                segments.append(F.lit("0"))
+            segments.append(F.substring(code, start, length))
+            start += length + 1
+        result = F.when(shape == "-".join("9" * n for n in lengths), F.concat(*segments)).otherwise(result)
     return result

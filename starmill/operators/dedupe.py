@@ -33,19 +33,24 @@ def last_per_key(df: DataFrame, keys: list[str], order: list[str] = ()) -> DataF
 
 
 def latest_attributes(
-    df: DataFrame, keys: list[str], order: list[str], changing: list[str], fixed: list[str]
+    df: DataFrame, keys: list[str], order: str, changing: list[str], fixed: list[str]
 ) -> DataFrame:
-    """Per key: ``changing`` and ``order`` from the latest row, ``fixed`` from the earliest."""
+    """Per key: ``changing`` and ``order`` from the latest row, ``fixed`` from the earliest.
+
+    Rows are first counted down to the distinct attribute values with their first and last
+    ``order``: a hash aggregate without sorting, after which few rows per key are left.
+    """
+    spans = df.groupBy(*keys, *changing, *fixed).agg(F.min(order).alias("_from"), F.max(order).alias("_to"))
     return (
-        df.groupBy(*keys)
+        spans.groupBy(*keys)
         .agg(
-            F.min(F.struct(*order, *fixed)).alias("_first"),
-            F.max(F.struct(*order, *changing)).alias("_last"),
+            F.min(F.struct("_from", *fixed)).alias("_first"),
+            F.max(F.struct("_to", *changing)).alias("_last"),
         )
         .select(
             *keys,
             *[f"_first.{c}" for c in fixed],
             *[f"_last.{c}" for c in changing],
-            *[f"_last.{c}" for c in order],
+            F.col("_last._to").alias(order),
         )
     )

@@ -40,27 +40,31 @@ def fits_broadcast(
     return rows <= max_rows and size <= max_bytes
 
 
-def hot_keys(df: DataFrame, on: list[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys that hold more than ``share`` of the rows: at most ``1/share`` of them."""
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.select(F.sum("_n")).scalar()
-    return counts.filter(F.col("_n") > total * F.lit(share)).select(*on, F.lit(True).alias("_hot"))
-
-
 def _any_null(on: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
 
 
+def hot_keys(df: DataFrame, on: list[str], share: float = HOT_SHARE) -> list:
+    """Keys that hold more than ``share`` of the rows: at most ``1/share`` of them.
+
+    Counts are merged inside each task before the shuffle; only the hot keys, whose number
+    is bounded by the share, reach the driver.
+    """
+    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.select(F.sum("_n")).scalar()
+    return counts.filter(F.col("_n") > total * F.lit(share)).select(*on).collect()
+
+
 def salted_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: list[str],
-    how: str = "inner",
-    salts: int = SALTS,
-    share: float = HOT_SHARE,
-) -> DataFrame:
+    fact: DataFrame, dim: DataFrame, on: list[str], how: str = "inner",
+    hot_from: DataFrame | None = None, salts: int = SALTS, share: float = HOT_SHARE,
+) -> DataFrame:
     """Shuffled join in which hot keys of ``fact`` are spread over ``salts`` groups.
 
+    Without hot keys it is a plain join. ``hot_from`` is the table to look for hot keys in; give
+    it when ``fact`` is itself the result of joins and a table it came from has the same keys.
+    Which keys are salted decides where rows go, never which rows come out.
+
     A row's salt is a hash of its content, so a task run again after a lost executor puts it
     in the same place. Only lookup rows of hot keys are repeated. Rows with a NULL key never
     match: a left join spreads them by salt, an inner join drops them before the shuffle.
@@ -68,18 +72,22 @@ def salted_join(
     if how not in ("inner", "left"):
         raise ValueError("salted_join does inner and left joins")
     on = list(on)
+    found = hot_keys(fact if hot_from is None else hot_from, on, share)
+    hot = [tuple(row) for row in found if None not in tuple(row)]
+    if not hot and (how == "inner" or len(found) == 0):
+        return fact.join(dim, on, how)
+    schema = T.StructType([T.StructField(c, fact.schema[c].dataType) for c in on]).add("_hot", "boolean")
+    marks = F.broadcast(fact.sparkSession.createDataFrame([(*key, True) for key in hot], schema))
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salts)).cast("int")
-    hot = F.broadcast(hot_keys(fact.filter(~_any_null(on)), on, share))
+    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
     source = fact.filter(~_any_null(on)) if how == "inner" else fact
     left = (
-        source.join(hot, on, "left")
+        source.join(marks, on, "left")
         .withColumn("_salt", F.when(F.col("_hot") | _any_null(on), salt).otherwise(0))
         .drop("_hot")
     )
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
     right = (
-        dim.filter(~_any_null(on))
-        .join(hot, on, "left")
+        dim.join(marks, on, "left")
         .withColumn("_salt", F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(F.lit(0)))))
         .drop("_hot")
     )
@@ -87,17 +95,17 @@ def salted_join(
 
 
 def lookup_join(
-    fact: DataFrame,
-    dim: DataFrame,
-    on: list[str],
-    how: str = "inner",
-    max_rows: int = BROADCAST_ROWS,
-    max_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
-    """Join a large table with a lookup table by size: broadcast or salted shuffle."""
-    if fits_broadcast(dim, max_rows, max_bytes):
+    fact: DataFrame, dim: DataFrame, on: list[str], how: str = "inner",
+    measured: DataFrame | None = None, hot_from: DataFrame | None = None,
+) -> DataFrame:
+    """Join a large table with a lookup table by size: broadcast or salted shuffle.
+
+    ``measured`` is a table at least as large as ``dim`` that is cheaper to measure, such as
+    the one ``dim`` was made from; ``hot_from`` is explained at ``salted_join``.
+    """
+    if fits_broadcast(dim if measured is None else measured):
         return fact.join(F.broadcast(dim), list(on), how)
-    return salted_join(fact, dim, on, how)
+    return salted_join(fact, dim, on, how, hot_from)
 
 
 def orphan_keys(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmill.operators.dedupe import first_per_key
+from starmill.operators.dedupe import first_per_key, latest_attributes
 from starmill.operators.joins import fits_broadcast
 
 
@@ -32,11 +32,12 @@ def insert_if_absent(
 
 
 def _fold(rows: DataFrame, keys: list[str], order: str, changing: list[str], fixed: list[str]) -> DataFrame:
-    # _batch 0 = already in the table: it names the fixed columns and wins a tie on order
+    # at most two rows per key; _batch 0 = already in the table: it names the fixed columns
+    # and wins a tie on order
     return (
         rows.groupBy(*keys)
         .agg(
-            F.min(F.struct("_batch", order, *fixed)).alias("_first"),
+            F.min(F.struct("_batch", *fixed)).alias("_first"),
             F.max(F.struct(F.col(order), -F.col("_batch"), *changing)).alias("_last"),
         )
         .select(
@@ -56,10 +57,10 @@ def merge_latest(
     All other columns keep the value of the row that came first.
     """
     keys = list(keys)
-    fixed = [c for c in existing.columns if c not in keys and c not in changing and c != order]
-    batch = batch.select(*existing.columns)
+    columns = existing.columns
+    fixed = [c for c in columns if c not in keys and c not in changing and c != order]
+    incoming = latest_attributes(batch, keys, order, list(changing), fixed).withColumn("_batch", F.lit(1))
     batch_keys = batch.select(*keys).distinct()
-    incoming = batch.withColumn("_batch", F.lit(1))
     if fits_broadcast(batch_keys):
         small = F.broadcast(batch_keys)
         touched = existing.join(small, keys, "left_semi").withColumn("_batch", F.lit(0))
@@ -67,4 +68,4 @@ def merge_latest(
         merged = _fold(touched.unionByName(incoming), keys, order, changing, fixed)
         return untouched.unionByName(merged)
     rows = existing.withColumn("_batch", F.lit(0)).unionByName(incoming)
-    return _fold(rows, keys, order, changing, fixed).select(*existing.columns)
+    return _fold(rows, keys, order, changing, fixed).select(*columns)

@@ -180,8 +180,9 @@ def reaction_trend(
         .groupBy("safetyreportid", attribute)
         .agg(F.count(F.lit(1)).alias("_drugs"))
     )
-    dated = lookup_join(drugs, safety_reports.select("safetyreportid", "receivedate"), ["safetyreportid"])
-    pairs = lookup_join(dated, _reaction_counts(reactions), ["safetyreportid"])
+    # a report has at most one row per attribute here, and one per reaction on the other side
+    dated = drugs.join(safety_reports.select("safetyreportid", "receivedate"), "safetyreportid")
+    pairs = dated.join(_reaction_counts(reactions), "safetyreportid")
     weighted = pairs.withColumn("_pairs", F.col("_drugs") * F.col("_reactions"))
     return trend(weighted, [attribute, "reactionmeddrapt"], F.col("receivedate"), unit, weight="_pairs")
 
@@ -206,7 +207,7 @@ def drug_profile(
     )
     per_report = drug_events.groupBy("safetyreportid", "formatted_ndc").agg(F.count(F.lit(1)).alias("_drugs"))
     mentions = (
-        lookup_join(per_report, _reaction_counts(reactions), ["safetyreportid"])
+        per_report.join(_reaction_counts(reactions), "safetyreportid")
         .groupBy(F.col("formatted_ndc").alias("ndc"), F.col("reactionmeddrapt").alias("entry"))
         .agg(F.sum(F.col("_drugs") * F.col("_reactions")).alias("n"))
     )

@@ -94,7 +94,7 @@ def build_users(plays: DataFrame) -> DataFrame:
         "user_id", "first_name", "last_name", "gender", "level", F.col("start_time").alias("last_start_time")
     )
     users = latest_attributes(
-        rows, ["user_id"], ["last_start_time"], ["level"], ["first_name", "last_name", "gender"]
+        rows, ["user_id"], "last_start_time", ["level"], ["first_name", "last_name", "gender"]
     )
     return users.select("user_id", "first_name", "last_name", "gender", "level", "last_start_time")
 
@@ -136,7 +136,7 @@ def fact_first_match(plays: DataFrame, songs: DataFrame, artists: DataFrame, sca
     on = ["song", "artist", "length"]
     lookup = first_per_key(_on_title_name_length(song_lookup(songs, artists), scale), on, ["song_id"])
     rows = plays.withColumn("length", _at_scale(F.col("length"), scale))
-    return lookup_join(rows, lookup, on, "left")
+    return lookup_join(rows, lookup, on, "left", measured=songs)
 
 
 def fact_inner_title(plays: DataFrame, songs: DataFrame, columns: list[str]) -> DataFrame:
@@ -147,7 +147,7 @@ def fact_inner_title(plays: DataFrame, songs: DataFrame, columns: list[str]) ->
     """
     lookup = songs.select(F.col("title").alias("song"), "song_id", "artist_id")
     rows = require_values(plays, ["song"]).select(*columns, "song").distinct()
-    return lookup_join(rows, lookup, ["song"]).select(*columns, "song_id", "artist_id")
+    return lookup_join(rows, lookup, ["song"], hot_from=plays).select(*columns, "song_id", "artist_id")
 
 
 def fact_three_key(plays: DataFrame, raw_songs: DataFrame, scale: int | None = None) -> DataFrame:
@@ -177,7 +177,8 @@ def fact_left_chain(plays: DataFrame, songs: DataFrame, artists: DataFrame, colu
     by_title = songs.select(F.col("title").alias("song"), "song_id", F.col("artist_id").alias("_song_artist")).distinct()
     by_name = artists.select(F.col("name").alias("artist"), F.col("artist_id").alias("_artist")).distinct()
     rows = plays.select(*columns, "song", "artist")
-    joined = lookup_join(lookup_join(rows, by_title, ["song"], "left"), by_name, ["artist"], "left")
+    titled = lookup_join(rows, by_title, ["song"], "left", measured=songs)
+    joined = lookup_join(titled, by_name, ["artist"], "left", measured=artists, hot_from=rows)
     return joined.select(
         *columns,
         "song_id",
@@ -227,5 +228,5 @@ def join_all(star: dict[str, DataFrame]) -> DataFrame:
     time = star["time"].select("start_time", "hour", "day", "week", "weekday")
     rows = star["songplays"]
     for dimension, key in ((songs, "song_id"), (artists, "artist_id"), (users, "user_id"), (time, "start_time")):
-        rows = lookup_join(rows, dimension, [key])
+        rows = lookup_join(rows, dimension, [key], hot_from=star["songplays"])
     return rows
