@@ -14,12 +14,23 @@ TEN_DIGIT_LAYOUTS = (
 )
 
 
-def format_ndc(code: Column) -> Column:
-    """Ten-digit code with hyphens to eleven digits; NULL for any other text.
+def _shape(code: Column) -> Column:
+    """The text with every digit written as 9."""
+    return F.translate(code, "012345678", "999999999")
+
+
+def _layout_shape(lengths: tuple[int, ...]) -> str:
+    return "-".join("9" * n for n in lengths)
+
 
-    The layout is recognised by the shape of the text, every digit written as 9.
-    """
-    shape = F.translate(code, "012345678", "999999999")
+def is_ndc(code: Column) -> Column:
+    """Whether the text has one of the ten-digit layouts; NULL for NULL."""
+    return _shape(code).isin([_layout_shape(lengths) for lengths, _ in TEN_DIGIT_LAYOUTS])
+
+
+def format_ndc(code: Column) -> Column:
+    """Ten-digit code with hyphens to eleven digits; NULL for any other text."""
+    shape = _shape(code)
     result = F.lit(None).cast("string")
     for lengths, short in TEN_DIGIT_LAYOUTS:
         segments, start = [], 1
@@ -28,5 +39,5 @@ def format_ndc(code: Column) -> Column:
                 segments.append(F.lit("0"))
             segments.append(F.substring(code, start, length))
             start += length + 1
-        result = F.when(shape == "-".join("9" * n for n in lengths), F.concat(*segments)).otherwise(result)
+        result = F.when(shape == _layout_shape(lengths), F.concat(*segments)).otherwise(result)
     return result

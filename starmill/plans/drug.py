@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmill.functions.clean import flag, parse_date, parse_timestamp
-from starmill.functions.ndc import format_ndc
+from starmill.functions.ndc import format_ndc, is_ndc
 from starmill.functions.nested import explode_structs, explode_values
 from starmill.operators.aggregates import trend
 from starmill.operators.filters import drop_incomplete, require_text, require_values
@@ -38,12 +38,16 @@ def build_labels(results: DataFrame) -> DataFrame:
 
 
 def build_drug_events(results: DataFrame) -> DataFrame:
-    """Distinct (report, package code) pairs whose code is valid, over all documents."""
+    """Distinct (report, package code) pairs whose code is valid, over all documents.
+
+    Invalid codes are left out before the shuffle, and each code is written out in full
+    after it.
+    """
     drugs = explode_structs(results.select("safetyreportid", "patient.drug"), "drug", ["safetyreportid"])
     flat = drugs.select("safetyreportid", F.col("openfda.package_ndc").alias("codes"))
     rows = explode_values(flat, "codes", "package_ndc", ["safetyreportid"])
-    coded = drop_incomplete(rows.withColumn("formatted_ndc", format_ndc(F.col("package_ndc"))))
-    return coded.distinct()
+    valid = drop_incomplete(rows).filter(is_ndc(F.col("package_ndc")))
+    return valid.distinct().withColumn("formatted_ndc", format_ndc(F.col("package_ndc")))
 
 
 def build_reactions(results: DataFrame) -> DataFrame:
@@ -222,5 +226,5 @@ def reject_rules() -> Mapping[str, object]:
     """Why an exploded drug row is kept out of drug_events."""
     return {
         "missing_code": F.col("package_ndc").isNull(),
-        "invalid_code": format_ndc(F.col("package_ndc")).isNull(),
+        "invalid_code": ~is_ndc(F.col("package_ndc")),
     }

@@ -18,12 +18,27 @@ SESSION_DEFAULTS = {
 }
 
 
-def get_session(app: str = "starmill", master: str | None = None, **conf: str) -> SparkSession:
-    """Build (or fetch) a session with the defaults above; ``conf`` overrides them."""
+SHUFFLE_BYTES = 128 * 1024 * 1024  # wanted size of one shuffle partition
+
+
+def partitions_for(shuffled_bytes: int) -> int:
+    """Shuffle partitions that keep each one near 128 MB; AQE merges what turns out smaller."""
+    return max(200, -(-shuffled_bytes // SHUFFLE_BYTES))
+
+
+def get_session(
+    app: str = "starmill", master: str | None = None, shuffled_bytes: int | None = None, **conf: str
+) -> SparkSession:
+    """Build (or fetch) a session with the defaults above; ``conf`` overrides them.
+
+    ``shuffled_bytes`` is the size of the largest table that a job shuffles; it sets the
+    number of shuffle partitions.
+    """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    for key, value in {**SESSION_DEFAULTS, **conf}.items():
+    sized = {"spark.sql.shuffle.partitions": str(partitions_for(shuffled_bytes))} if shuffled_bytes else {}
+    for key, value in {**SESSION_DEFAULTS, **sized, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

@@ -69,14 +69,18 @@ def load_partitions(df: DataFrame, path: str, partition_by: Sequence[str], sort_
     )
 
 
+# quotes are doubled inside fields, and text keeps its leading and trailing blanks
+_WHOLE_TEXT = {"escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def write_pipe_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """``|`` separated, no header, quotes doubled inside fields."""
-    df.write.mode(mode).option("sep", "|").option("header", False).option("escape", '"').csv(path)
+    """``|`` separated, without header."""
+    df.write.mode(mode).options(**_WHOLE_TEXT).option("sep", "|").option("header", False).csv(path)
 
 
 def write_slim_csv(df: DataFrame, path: str, columns: Sequence[str]) -> None:
     """Chosen columns with a header, quoted only where needed."""
-    df.select(*columns).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    df.select(*columns).write.mode("overwrite").options(**_WHOLE_TEXT).option("header", True).csv(path)
 
 
 def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
