@@ -9,6 +9,9 @@ from driver_queries.registry import query
 from driver_queries.roles import table
 from starmill.operators.aggregates import snapshot_probe
 from starmill.plans import drug
+from starmill.session import scratch_path
+from starmill.sinks.tables import write_table
+from starmill.sources.files import read_table
 from starmill.sources.snapshots import snapshots
 
 
@@ -74,10 +77,18 @@ def ndc_bridge(spark, sf):
     return drug.build_ndc(labels, drug.build_pricing(roles.raw_pricing(spark, sf)))
 
 
-def warehouse(spark, sf):
-    return drug.build_warehouse(
-        roles.label_results(spark, sf), roles.report_results(spark, sf), roles.raw_pricing(spark, sf)
-    )
+def warehouse(spark, sf, *inputs):
+    """The six tables; the named inputs are staged once, the others stay unread."""
+    base = scratch_path(spark, "drug")
+    raw = {
+        "labels": roles.label_results(spark, sf),
+        "reports": roles.report_results(spark, sf),
+        "pricing": roles.raw_pricing(spark, sf),
+    }
+    for name in inputs:
+        write_table(raw[name], f"{base}/{name}")
+        raw[name] = read_table(spark, f"{base}/{name}", raw[name].schema)
+    return drug.build_warehouse(raw["labels"], raw["reports"], raw["pricing"])
 
 
 @query(
@@ -91,7 +102,7 @@ def warehouse(spark, sf):
     SELECT * FROM ndc JOIN e USING (ndc) JOIN p USING (ndc) JOIN l USING (ndc)""",
 )
 def bridge_join(spark, sf):
-    w = warehouse(spark, sf)
+    w = warehouse(spark, sf, "labels", "reports", "pricing")
     return drug.bridge_join(w["ndc"], w["drug_events"], w["pricing"], w["labels"])
 
 
@@ -103,7 +114,7 @@ def bridge_join(spark, sf):
     SELECT * FROM safety_reports JOIN d USING (safetyreportid) JOIN r USING (safetyreportid)""",
 )
 def report_join(spark, sf):
-    w = warehouse(spark, sf)
+    w = warehouse(spark, sf, "reports")
     return drug.report_join(w["safety_reports"], w["drug_events"], w["reactions"])
 
 
@@ -114,7 +125,7 @@ def report_join(spark, sf):
     FROM drug_events JOIN safety_reports USING (safetyreportid)""",
 )
 def report_drug_lines(spark, sf):
-    w = warehouse(spark, sf)
+    w = warehouse(spark, sf, "reports")
     rows = drug.drugs_of_reports(w["drug_events"], w["safety_reports"])
     return rows.select("safetyreportid", "package_ndc", "formatted_ndc", "receivedate", "seriousnessdeath")
 
@@ -129,7 +140,7 @@ def report_drug_lines(spark, sf):
     JOIN reactions USING (safetyreportid) GROUP BY 1, 2, 3""",
 )
 def reaction_trend(spark, sf):
-    w = warehouse(spark, sf)
+    w = warehouse(spark, sf, "labels", "reports")
     return drug.reaction_trend(w["drug_events"], w["reactions"], w["safety_reports"], w["labels"])
 
 
@@ -145,7 +156,7 @@ def reaction_trend(spark, sf):
     FROM drug_events JOIN reactions USING (safetyreportid) GROUP BY 1, 3""",
 )
 def drug_profile(spark, sf):
-    w = warehouse(spark, sf)
+    w = warehouse(spark, sf, "labels", "reports", "pricing")
     return drug.drug_profile(w["labels"], w["pricing"], w["drug_events"], w["reactions"])
 
 

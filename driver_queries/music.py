@@ -53,16 +53,18 @@ MATCH_SQL = """matches AS (
            row_number() OVER (PARTITION BY s.title, a.name, s.duration ORDER BY s.song_id, s.artist_id) AS rn
     FROM songs s JOIN artists a ON s.artist_id = a.artist_id) WHERE rn = 1)"""
 
-SONGPLAYS_SQL = f"""keyed AS (
-  SELECT {uuid5_sql("(song || CAST(start_time AS VARCHAR) || CAST(user_id AS VARCHAR))")} AS songplay_id,
+SIX_DIGIT_TIME_SQL = """(CASE WHEN date_trunc('second', start_time) = start_time
+    THEN strftime(start_time, '%Y-%m-%d %H:%M:%S') ELSE strftime(start_time, '%Y-%m-%d %H:%M:%S.%f') END)"""
+
+SONGPLAYS_SQL = f"""unique_plays AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY start_time, user_id, song
+      ORDER BY session_id, item_in_session, level, location, user_agent, artist, length) AS rn
+    FROM plays WHERE user_id IS NOT NULL) WHERE rn = 1),
+songplays AS (
+  SELECT {uuid5_sql(f"(song || {SIX_DIGIT_TIME_SQL} || CAST(user_id AS VARCHAR))")} AS songplay_id,
          start_time, user_id, level, song_id, artist_id, session_id, location, user_agent,
          CAST(year(start_time) AS INTEGER) AS year, CAST(month(start_time) AS INTEGER) AS month
-  FROM plays LEFT JOIN matches ON song = title AND artist = name AND length = duration
-  WHERE user_id IS NOT NULL),
-songplays AS (
-  SELECT * EXCLUDE (rn) FROM (
-    SELECT *, row_number() OVER (PARTITION BY songplay_id ORDER BY start_time, user_id, level,
-      song_id NULLS FIRST, artist_id NULLS FIRST, session_id, location, user_agent) AS rn FROM keyed) WHERE rn = 1)"""
+  FROM unique_plays LEFT JOIN matches ON song = title AND artist = name AND length = duration)"""
 
 STAR_SQL = ", ".join([
     roles.RAW_EVENTS_SQL, SONGS_SQL.removeprefix(roles.RAW_SONGS_SQL + ", "), ARTISTS_SQL, USERS_SQL, TIME_SQL,

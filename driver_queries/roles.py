@@ -138,18 +138,16 @@ def code_sql(n: str) -> str:
 
 def code(n: Column) -> Column:
     digits = F.lpad(n.cast("string"), 10, "0")
-
-    def layout(a: int, b: int, c: int) -> Column:
-        return F.concat_ws(
-            "-", F.substring(digits, 1, a), F.substring(digits, 1 + a, b), F.substring(digits, 1 + a + b, c)
-        )
-
-    return (
-        F.when(n % 4 == 0, layout(4, 4, 2))
-        .when(n % 4 == 1, layout(5, 3, 2))
-        .when(n % 4 == 2, layout(5, 4, 1))
-        .otherwise(digits)
+    layout = n % 4
+    first = F.when(layout == 0, 4).otherwise(5)
+    second = F.when(layout == 1, 3).otherwise(4)
+    hyphened = F.concat_ws(
+        "-",
+        F.substring(digits, F.lit(1), first),
+        F.substring(digits, first + 1, second),
+        F.substring(digits, first + second + 1, F.lit(10)),
     )
+    return F.when(layout == 3, digits).otherwise(hyphened)
 
 
 def ndc_sql(c: str) -> str:
@@ -227,11 +225,10 @@ SAFETY_REPORTS_SQL = """safety_reports AS (
 
 def report_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One report per order, with arrays of drugs and reactions made from the row itself."""
-    cust = F.col("o_custkey")
     date_text = F.date_format("o_orderdate", "yyyyMMdd")
     block = "struct<package_ndc: array<string>>"
-    both = F.struct(F.array(code(cust), code(cust + 1)).alias("package_ndc")).cast(block)
-    one = F.struct(F.array(code(cust)).alias("package_ndc")).cast(block)
+    both = F.struct(F.array("own_code", "next_code").alias("package_ndc")).cast(block)
+    one = F.struct(F.array("own_code").alias("package_ndc")).cast(block)
     drugs = F.array(
         F.struct(both.alias("openfda")),
         F.struct(F.when(F.col("o_orderstatus") != "P", one).alias("openfda")),
@@ -245,7 +242,10 @@ def report_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     def digit(condition: Column) -> Column:
         return F.when(condition, "1").otherwise("2")
 
-    return table(spark, sf_dir, "orders").select(
+    orders = table(spark, sf_dir, "orders").withColumns(
+        {"own_code": code(F.col("o_custkey")), "next_code": code(F.col("o_custkey") + 1)}
+    )
+    return orders.select(
         F.col("o_orderkey").cast("string").alias("safetyreportid"),
         date_text.alias("receivedate"),
         date_text.alias("receiptdate"),

@@ -187,13 +187,19 @@ def fact_left_chain(plays: DataFrame, songs: DataFrame, artists: DataFrame, colu
 
 
 def build_songplays(plays: DataFrame, songs: DataFrame, artists: DataFrame) -> DataFrame:
-    """The fact table: one row per play key, ids from the first full match."""
-    rows = fact_first_match(require_values(plays, ["user_id"]), songs, artists).select(
-        play_uuid(F.col("song"), F.col("start_time"), F.col("user_id")).alias("songplay_id"),
+    """The fact table: one row per play key, ids from the first full match.
+
+    The key is a function of time, user and song, so repeated plays are removed on those
+    columns before the join, and the key is computed once per row that stays.
+    """
+    columns = ["level", "session_id", "item_in_session", "location", "user_agent", "artist", "length"]
+    rows = require_values(plays, ["start_time", "user_id"]).select("start_time", "user_id", "song", *columns)
+    unique = first_per_key(rows, ["start_time", "user_id", "song"], ["session_id", "item_in_session"])
+    return fact_first_match(unique, songs, artists).select(
+        play_uuid(F.col("song"), F.col("start_time"), F.col("user_id"), six_digit_text=True).alias("songplay_id"),
         "start_time", "user_id", "level", "song_id", "artist_id", "session_id", "location", "user_agent",
         F.year("start_time").alias("year"), F.month("start_time").alias("month"),
     )
-    return first_per_key(rows, ["songplay_id"])
 
 
 def build_plays(events: DataFrame, songs: DataFrame, artists: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
