@@ -13,17 +13,17 @@ _ROW_BITS = 33  # monotonically_increasing_id keeps the row number of a partitio
 def dense_ids(df: DataFrame, order: list[str], name: str, start: int = 1, partitions: int | None = None) -> DataFrame:
     """Number the rows ``start, start+1, ...`` in the order of ``order``, a unique key.
 
-    Rows are range-partitioned and sorted inside each partition; the partition number and the
-    place in it are written to the shared scratch folder. The second pass adds to each place
+    Rows are range-partitioned (AQE sizes the partitions unless their number is given) and
+    sorted inside each; the partition number and the place in it are written to the shared
+    scratch folder. The second pass adds to each place
     the number of rows in earlier partitions, a table of one row per partition.
     """
     spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
     path = scratch_path(spark, "dense-ids")
     raw = F.monotonically_increasing_id()
     (
-        df.repartitionByRange(n, *order)
-        .sortWithinPartitions(*order)
+        ranged.sortWithinPartitions(*order)
         .withColumn("_raw", raw)
         .select(
             *df.columns,

@@ -82,11 +82,11 @@ def build_ndc(labels: DataFrame, pricing: DataFrame) -> DataFrame:
 
 
 def build_warehouse(
-    label_results: DataFrame, report_results: DataFrame, raw_pricing: DataFrame, latest_only: bool = False
+    label_results: DataFrame, report_results: DataFrame, raw_pricing: DataFrame
 ) -> dict[str, DataFrame]:
     """The six tables. Pass staged parquet: the report documents feed three of them."""
     labels = build_labels(label_results)
-    pricing = build_pricing(raw_pricing, latest_only)
+    pricing = build_pricing(raw_pricing)
     return {
         "labels": labels,
         "pricing": pricing,
@@ -97,14 +97,14 @@ def build_warehouse(
     }
 
 
-def number_rows(name: str, df: DataFrame) -> DataFrame:
-    """Add the table's IDENTITY column, counted in the order of the declared sort key.
+def number_rows(name: str, df: DataFrame, start: int = 1) -> DataFrame:
+    """Add the table's IDENTITY column, counted from ``start`` in the order of the declared sort key.
 
     A hash of the row breaks ties, so many rows with one code still spread over partitions.
     """
     table = DRUG_TABLES[name]
     hashed = df.withColumn("_hash", F.xxhash64(*[F.col(c) for c in df.columns]))
-    return dense_ids(hashed, [*table.sort_by, "_hash"], table.key[0]).drop("_hash")
+    return dense_ids(hashed, [*table.sort_by, "_hash"], table.key[0], start).drop("_hash")
 
 
 # --- queries -------------------------------------------------------------------------------

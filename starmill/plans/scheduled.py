@@ -6,11 +6,12 @@ from collections.abc import Mapping
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starmill.operators.quality import run_checks
 from starmill.plans import drug, music
-from starmill.schemas import DRUG_TABLES, MUSIC_TABLES, RAW_EVENTS, RAW_SONGS, table_checks
-from starmill.sinks.tables import append_new, load_partitions, upsert_latest_into, write_table
+from starmill.schemas import DRUG_TABLES, MUSIC_TABLES, RAW_EVENTS, RAW_SONGS, create_tables, table_checks
+from starmill.sinks.tables import append_new, load_fact, load_partitions, refresh_table, upsert_latest_into, write_table
 from starmill.sources.files import read_table, stage
 
 
@@ -22,29 +23,30 @@ def run(
     """Load the star for one run date; the same run again leaves the tables as they are.
 
     The event files of a run cover whole months, so facts and times replace their month.
-    Songs and artists gain the ids they lack, users (a catalog table, as it is rewritten)
-    take the most recent level.
+    Songs and artists gain the ids they lack, users take the most recent level. All five
+    are tables of ``database``, ready for SQL.
     """
     staged_events = stage(
         spark, events_template, run_date, RAW_EVENTS, "json", mapping=events_mapping,
         to=f"{warehouse}/staging_events",
     )
     staged_songs = stage(spark, songs_template, run_date, RAW_SONGS, "json", to=f"{warehouse}/staging_songs")
+    create_tables(spark, MUSIC_TABLES, warehouse, database)
     paths = {name: f"{warehouse}/{name}" for name in MUSIC_TABLES}
+    names = {name: f"{database}.{name}" for name in MUSIC_TABLES}
 
-    songs, artists = music.build_catalogue(staged_songs)
-    append_new(spark, songs, paths["songs"], ["song_id"])
-    append_new(spark, artists, paths["artists"], ["artist_id"])
-    star = {name: read_table(spark, paths[name], MUSIC_TABLES[name].schema) for name in ("songs", "artists")}
+    for name, df in zip(("songs", "artists"), music.build_catalogue(staged_songs)):
+        table = MUSIC_TABLES[name]
+        append_new(spark, df, paths[name], table.key, partition_by=table.partition_by, sort_by=table.sort_by)
+        refresh_table(spark, names[name])
+    songs, artists = spark.table(names["songs"]), spark.table(names["artists"])
 
-    events = music.normalise_events(staged_events)
-    users, time, songplays = music.build_plays(events, star["songs"], star["artists"])
-    users_table = f"{database}.users"
-    upsert_latest_into(spark, users, users_table, paths["users"], ["user_id"], "last_start_time", ["level"])
-    star["users"] = spark.table(users_table)
+    users, time, songplays = music.build_plays(music.normalise_events(staged_events), songs, artists)
+    upsert_latest_into(spark, users, names["users"], paths["users"], ["user_id"], "last_start_time", ["level"])
     for name, df in (("time", time), ("songplays", songplays)):
         load_partitions(df, paths[name], MUSIC_TABLES[name].partition_by, MUSIC_TABLES[name].sort_by)
-        star[name] = read_table(spark, paths[name], MUSIC_TABLES[name].schema)
+        refresh_table(spark, names[name])
+    star = {name: spark.table(full) for name, full in names.items()}
     if check:
         run_checks(spark, table_checks(MUSIC_TABLES, star))
     return star
@@ -52,23 +54,45 @@ def run(
 
 def run_drug_warehouse(
     spark: SparkSession, label_results: DataFrame, report_results: DataFrame, raw_pricing: DataFrame,
-    warehouse: str, latest_only: bool = False, check: bool = True,
+    warehouse: str, database: str = "default", check: bool = True,
 ) -> dict[str, DataFrame]:
-    """Write the six drug tables with their numbers and check them."""
+    """First load: write the six drug tables with their numbers and check them."""
     staged = {}
     for name, df in (("labels", label_results), ("reports", report_results), ("pricing", raw_pricing)):
         write_table(df, f"{warehouse}/staging_{name}")
         staged[name] = read_table(spark, f"{warehouse}/staging_{name}", df.schema)
-    built = drug.build_warehouse(staged["labels"], staged["reports"], staged["pricing"], latest_only)
+    create_tables(spark, DRUG_TABLES, warehouse, database)
     tables = {}
-    for name, df in built.items():
+    for name, df in drug.build_warehouse(staged["labels"], staged["reports"], staged["pricing"]).items():
         table = DRUG_TABLES[name]
         numbered = drug.number_rows(name, df) if table.key[0] not in df.columns else df
         write_table(numbered.select(*table.schema.names), f"{warehouse}/{name}", sort_by=table.sort_by)
-        tables[name] = read_table(spark, f"{warehouse}/{name}", table.schema)
+        refresh_table(spark, f"{database}.{name}")
+        tables[name] = spark.table(f"{database}.{name}")
     if check:
-        checks = table_checks(DRUG_TABLES, {k: v for k, v in tables.items() if k != "drug_events"})
         # reports may name codes that no label or price knows, so that key is not enforced
-        checks += [c for c in table_checks(DRUG_TABLES, tables) if c.table == "drug_events" and "formatted" not in c.name]
+        checks = [c for c in table_checks(DRUG_TABLES, tables) if c.name != "foreign_key_formatted_ndc" or c.table == "labels"]
         run_checks(spark, checks)
     return tables
+
+
+def update_pricing(
+    spark: SparkSession, raw_pricing: DataFrame, warehouse: str, database: str = "default"
+) -> DataFrame:
+    """Periodic load: append the newest price snapshot unless the table already has its date.
+
+    Numbers go on from the greatest one in the table; codes seen for the first time join
+    the bridge.
+    """
+    table = DRUG_TABLES["pricing"]
+    stored = spark.table(f"{database}.pricing")
+    last_id, last_date = stored.agg(F.max("pricing_id"), F.max("as_of_date")).first()
+    fresh = drug.build_pricing(raw_pricing, latest_only=True)
+    if last_date is not None:
+        fresh = fresh.filter(F.col("as_of_date") > F.lit(last_date).cast("timestamp_ntz"))
+    numbered = drug.number_rows("pricing", fresh, start=(last_id or 0) + 1)
+    load_fact(numbered, f"{warehouse}/pricing", table.schema)
+    append_new(spark, numbered.select("ndc"), f"{warehouse}/ndc", ["ndc"])
+    for name in ("pricing", "ndc"):
+        refresh_table(spark, f"{database}.{name}")
+    return spark.table(f"{database}.pricing")

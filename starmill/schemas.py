@@ -268,21 +268,22 @@ DRUG_TABLES = {
 }
 
 
-def create_tables(spark: SparkSession, tables: dict[str, Table], base: str) -> None:
-    """Register each declared table as an empty external parquet table under ``base``."""
+def create_tables(spark: SparkSession, tables: dict[str, Table], base: str, database: str = "default") -> None:
+    """Register each declared table as an external parquet table under ``base``."""
     for table in tables.values():
-        if spark.catalog.tableExists(table.name):
+        name = f"{database}.{table.name}"
+        if spark.catalog.tableExists(name):
             continue
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in table.schema)
         layout = f"PARTITIONED BY ({', '.join(table.partition_by)})" if table.partition_by else ""
         location = f"LOCATION '{base}/{table.name}'"
-        spark.sql(f"CREATE TABLE {table.name} ({columns}) USING parquet {layout} {location}")
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {layout} {location}")
 
 
-def drop_tables(spark: SparkSession, tables: dict[str, Table]) -> None:
+def drop_tables(spark: SparkSession, tables: dict[str, Table], database: str = "default") -> None:
     """Remove the registrations; files of external tables stay."""
     for name in tables:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
 
 
 def table_checks(tables: dict[str, Table], frames: dict[str, DataFrame]) -> list[quality.Check]:

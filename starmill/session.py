@@ -43,20 +43,23 @@ def get_session(
     return builder.getOrCreate()
 
 
+_local_scratch: dict[str, str] = {}  # application id -> temporary folder of a local session
+
+
 def scratch_base(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without that setting; there a fresh temporary folder is
-    made and remembered in the session.
+    Only a local session may go without that setting; it gets one temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return base.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    base = tempfile.mkdtemp(prefix="starmill-")
-    spark.conf.set("spark.checkpoint.dir", base)
-    return base
+    if context.applicationId not in _local_scratch:
+        _local_scratch[context.applicationId] = tempfile.mkdtemp(prefix="starmill-")
+    return _local_scratch[context.applicationId]
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

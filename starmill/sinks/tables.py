@@ -105,10 +105,14 @@ def load_dimension(
     write_table(df, path, mode=modes[mode], partition_by=partition_by, sort_by=sort_by)
 
 
-def append_new(spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str], order: Sequence[str] = ()) -> None:
+def append_new(
+    spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str], order: Sequence[str] = (),
+    partition_by: Sequence[str] = (), sort_by: Sequence[str] = (),
+) -> None:
     """Append the batch rows whose key the table does not hold yet (insert or do nothing)."""
     existing = ensure_table(spark, path, batch.schema)
-    new_rows(existing, batch, list(keys), list(order)).select(*batch.columns).write.mode("append").parquet(path)
+    added = new_rows(existing, batch, list(keys), list(order)).select(*batch.columns)
+    write_table(added, path, mode="append", partition_by=partition_by, sort_by=sort_by)
 
 
 def publish(spark: SparkSession, table: str, path: str) -> None:
@@ -120,6 +124,13 @@ def publish(spark: SparkSession, table: str, path: str) -> None:
         spark.catalog.createTable(table, path=path, source="parquet")
 
 
+def refresh_table(spark: SparkSession, table: str) -> None:
+    """Let a catalog table see files and partitions that were written to its folder."""
+    if any(c.isPartition for c in spark.catalog.listColumns(table)):
+        spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
+
+
 def upsert_latest_into(
     spark: SparkSession, batch: DataFrame, table: str, base: str,
     keys: Sequence[str], order: str, changing: Sequence[str],

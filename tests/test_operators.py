@@ -191,7 +191,7 @@ def test_unions(frame):
     assert conformed.schema == a.schema and rows(conformed) == Counter({(3, None): 1})
 
 
-@pytest.mark.parametrize("partitions", [1, 7])
+@pytest.mark.parametrize("partitions", [None, 1, 7])
 def test_dense_ids(spark, partitions):
     df = spark.range(1000).select(((F.col("id") * 7919) % 1000).alias("k"), F.lit("x").alias("v"))
     got = surrogate.dense_ids(df, ["k"], "n", partitions=partitions)

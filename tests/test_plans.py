@@ -164,6 +164,10 @@ def test_scheduled_run_twice(spark, tmp_path):
     write_lines(log / "2018" / "12", "2018-12-01-events.json", [event(NOV + 35 * 86400000, "10", "Red", "Ann", 99.25, level="paid")])
     second = run(date(2018, 12, 1))
     assert sum(second["songplays"].values()) == 5 and sum(second["time"].values()) == 5
+    by_weekday = spark.sql("""
+        SELECT t.weekday, count(p.songplay_id) AS n FROM star_test.songplays p
+        LEFT JOIN star_test.time t ON p.start_time = t.start_time GROUP BY t.weekday ORDER BY t.weekday""")
+    assert [tuple(r) for r in by_weekday.collect()] == [(3, 5)]
     levels = {r["user_id"]: r["level"] for r in spark.table("star_test.users").collect()}
     assert levels == {8: "paid", 10: "paid"}
     spark.sql("DROP DATABASE star_test CASCADE")
@@ -302,9 +306,21 @@ def test_drug_queries(drug_inputs):
     })
 
 
-def test_drug_warehouse_written(spark, drug_inputs, tmp_path):
-    tables = scheduled.run_drug_warehouse(spark, *drug_inputs, str(tmp_path / "house"))
+def test_drug_warehouse_written_and_updated(spark, drug_inputs, tmp_path):
+    house, database = str(tmp_path / "house"), "drug_test"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    for _ in range(2):  # a first load can be repeated
+        tables = scheduled.run_drug_warehouse(spark, *drug_inputs, house, database)
     assert sorted(r["drug_event_id"] for r in tables["drug_events"].collect()) == [1, 2, 3]
     assert sorted(r["labels_id"] for r in tables["labels"].collect()) == [1, 2, 3]
     assert sorted(r["pricing_id"] for r in tables["pricing"].collect()) == [1, 2, 3]
     assert tables["drug_events"].filter("formatted_ndc IS NULL").count() == 0
+
+    newer = [{"ndc": f"0000000000{i}", "as_of_date": "2018-01-17T00:00:00.000", "nadac_per_unit": 1.0} for i in (1, 2)]
+    (tmp_path / "new.json").write_text("\n".join(json.dumps(p) for p in PRICES + newer))
+    raw = spark.read.schema(RAW_PRICING).json(str(tmp_path / "new.json"))
+    for _ in range(2):  # the same snapshot again adds nothing
+        pricing = scheduled.update_pricing(spark, raw, house, database)
+        assert sorted(r["pricing_id"] for r in pricing.collect()) == [1, 2, 3, 4, 5]
+    assert spark.table(f"{database}.ndc").count() == 4
+    spark.sql(f"DROP DATABASE {database} CASCADE")
