@@ -8,13 +8,13 @@ from pyspark.sql import functions as F
 
 from driver_queries import roles
 from driver_queries.functions import TIME_PARTS_SQL
-from driver_queries.music import SONGS_SQL
+from driver_queries.music import SONGS_SQL, STAR_SQL
 from driver_queries.registry import query
 from driver_queries.roles import table
 from starmill.operators.dedupe import first_per_key
 from starmill.operators.filters import in_period
 from starmill.operators.upserts import insert_if_absent, merge_latest
-from starmill.plans import music, query_first
+from starmill.plans import music, query_first, scheduled
 from starmill.schemas import MUSIC_TABLES, RAW_EVENTS, RAW_EVENTS_CSV, RAW_SONGS
 from starmill.session import scratch_path
 from starmill.sinks import tables as sinks
@@ -83,6 +83,21 @@ def stage_csv_slim(spark, sf):
     return files.read_csv_tree(spark, f"{base}/slim", slim.schema)
 
 
+@query("scheduled_run", f"WITH {STAR_SQL} SELECT * FROM songplays")
+def scheduled_run(spark, sf):
+    """The raw log and catalogue as JSON files, loaded twice by the scheduled job, its checks on."""
+    base = scratch_path(spark, "scheduled")
+    database = "starmill_" + base.rsplit("-", 1)[1]
+    log = roles.app_log(spark, sf).withColumn("sessionId", F.col("sessionId").cast("int"))
+    log.write.json(f"{base}/log/2018/11")
+    roles.raw_songs(spark, sf).drop("p_partkey").write.json(f"{base}/songs")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{base}/database'")
+    template = base + "/log/{execution_date.year}/{execution_date.month}"
+    for _ in range(2):
+        star = scheduled.run(spark, date(2018, 11, 1), template, f"{base}/songs", f"{base}/house", database)
+    return star["songplays"].withColumn("session_id", F.col("session_id").cast("bigint"))
+
+
 # --- files ---------------------------------------------------------------------------------
 
 
@@ -133,7 +148,8 @@ def dimension_overwrite(spark, sf):
 
 @query(
     "idempotent_partition_load",
-    f"SELECT o_orderdate AS start_time, {TIME_PARTS_SQL.format('o_orderdate')} FROM (SELECT DISTINCT o_orderdate FROM orders)",
+    f"""SELECT o_orderdate AS start_time, {TIME_PARTS_SQL.format('o_orderdate')}
+    FROM (SELECT DISTINCT o_orderdate FROM orders)""",
 )
 def idempotent_partition_load(spark, sf):
     path = scratch_path(spark, "time")
