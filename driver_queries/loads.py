@@ -200,8 +200,7 @@ def user_rows(df):
 @query("upsert_latest", UPSERT_SQL)
 def upsert_latest(spark, sf):
     early, late = halves(user_rows(roles.history(spark, sf)), "last_start_time")
-    empty = early.limit(0)
-    existing = merge_latest(empty, early, ["user_id"], "last_start_time", ["level"])
+    existing = merge_latest(spark.createDataFrame([], early.schema), early, ["user_id"], "last_start_time", ["level"])
     return merge_latest(existing, late, ["user_id"], "last_start_time", ["level"])
 
 

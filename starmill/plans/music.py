@@ -142,12 +142,13 @@ def fact_first_match(plays: DataFrame, songs: DataFrame, artists: DataFrame, sca
 def fact_inner_title(plays: DataFrame, songs: DataFrame, columns: list[str]) -> DataFrame:
     """Plays joined to songs on the title alone: a title that several songs share repeats the play.
 
-    ``songs`` has one row per song id. Equal plays are merged before the join, so the repeated
-    rows are already distinct and are not shuffled again.
+    A song id has one title. Equal plays and equal songs are merged before the join, so the
+    repeated rows are already distinct and are not shuffled again.
     """
-    lookup = songs.select(F.col("title").alias("song"), "song_id", "artist_id")
+    lookup = songs.select(F.col("title").alias("song"), "song_id", "artist_id").distinct()
     rows = require_values(plays, ["song"]).select(*columns, "song").distinct()
-    return lookup_join(rows, lookup, ["song"], hot_from=plays).select(*columns, "song_id", "artist_id")
+    joined = lookup_join(rows, lookup, ["song"], measured=songs, hot_from=plays)
+    return joined.select(*columns, "song_id", "artist_id")
 
 
 def fact_three_key(plays: DataFrame, raw_songs: DataFrame, scale: int | None = None) -> DataFrame:

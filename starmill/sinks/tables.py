@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from starmill.operators.dedupe import last_per_key
+from starmill.operators.joins import hot_keys
 from starmill.operators.upserts import merge_latest, new_rows
 
 
@@ -42,7 +43,14 @@ def write_clustered(df: DataFrame, path: str, partition_key: Sequence[str], clus
 
 
 def write_bucketed(df: DataFrame, table: str, path: str, key: Sequence[str], buckets: int) -> None:
-    """Register a table bucketed and sorted by the join key, so joins on it need no shuffle."""
+    """Register a table bucketed and sorted by the join key, so joins on it need no shuffle.
+
+    One task reads a whole bucket, so a key that holds a large share of the rows is refused:
+    write such a table with ``write_clustered`` and join it with ``lookup_join``.
+    """
+    hot = hot_keys(df, list(key))
+    if hot and buckets > 1:
+        raise ValueError(f"{len(hot)} keys of {table} hold too many rows for one bucket, such as {tuple(hot[0])}")
     (
         df.repartition(buckets, *key)
         .write.mode("overwrite")

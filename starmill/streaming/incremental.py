@@ -17,7 +17,7 @@ from starmill.sinks.tables import append_new, upsert_latest_into
 
 def new_files(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "json") -> DataFrame:
     """A stream of the rows in files that were not seen before."""
-    return spark.readStream.schema(schema).format(fmt).load(path)
+    return spark.readStream.schema(schema).format(fmt).option("recursiveFileLookup", True).load(path)
 
 
 def append_stream(

@@ -172,12 +172,12 @@ def test_clustered_write_splits_a_hot_key_and_keeps_order(spark, tmp_path):
 
 def test_bucketed_tables_join_without_shuffle(spark, tmp_path, capsys):
     for name in ("events_b", "reports_b"):
-        df = spark.range(100).select(F.col("id").alias("report"), F.lit(name).alias(name))
+        df = spark.range(200).select(F.col("id").alias("report"), F.lit(name).alias(name))
         sinks.write_bucketed(df, name, str(tmp_path / name), ["report"], 4)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         joined = spark.table("events_b").join(spark.table("reports_b"), "report")
-        assert joined.count() == 100
+        assert joined.count() == 200
         joined.explain()
         assert "Exchange" not in capsys.readouterr().out
     finally:
@@ -186,6 +186,13 @@ def test_bucketed_tables_join_without_shuffle(spark, tmp_path, capsys):
             spark.sql(f"DROP TABLE {name}")
 
 
+def test_a_hot_key_is_not_bucketed(spark, tmp_path):
+    df = spark.range(1000).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("report"))
+    with pytest.raises(ValueError, match="too many rows for one bucket"):
+        sinks.write_bucketed(df, "hot_b", str(tmp_path / "hot"), ["report"], 4)
+    assert not spark.catalog.tableExists("hot_b")
+
+
 def test_create_and_drop_declared_tables(spark, tmp_path):
     everything = {**schemas.MUSIC_TABLES, **schemas.QUERY_FIRST_TABLES, **schemas.DRUG_TABLES}
     for _ in range(2):
