@@ -241,7 +241,7 @@ def link_nodes(docs: DataFrame, nodes: DataFrame, words: int, threshold: float)
         nodes.select("node", "weight", "text_hash", "doc_id").join(members, "node"), "candidates"
     )
     groups = members.select(F.explode("leaders").alias("leader")).groupBy("leader").agg(F.count(F.lit(1)).alias("size"))
-    large = groups.filter(F.col("size") > BLOCK)
+    large = store(groups.filter(F.col("size") > BLOCK), "large-groups")
     texts = docs.select(F.col("doc_id").cast("long").alias("_id"), "text", F.xxhash64("text").alias("_hash")).join(
         members, (F.col("_hash") == F.col("text_hash")) & F.col("_id").eqNullSafe(F.col("doc_id"))
     )
