@@ -183,8 +183,8 @@ def surrogates(forms: DataFrame, key: str) -> DataFrame:
         drawn = store(todo.withColumn("made", surrogate(keyed, attempt)), "surrogates")
         first = drawn.groupBy("kind", "made").agg(F.min("form").alias("form"))
         taken = reduce(DataFrame.union, [d.select("kind", "made") for d in done], forms.select("kind", F.col("form").alias("made")))
-        free = first.join(taken, ["kind", "made"], "left_anti")
-        done.append(free.select("kind", "form", "made"))
+        free = store(first.join(taken, ["kind", "made"], "left_anti").select("kind", "form", "made"), "free")
+        done.append(free)
         todo = store(drawn.select("kind", "form").join(free, ["kind", "form"], "left_anti"), "collided")
         if todo.isEmpty():
             return reduce(DataFrame.union, done)

@@ -133,7 +133,8 @@ def with_next(docs: DataFrame) -> DataFrame:
 
 def fingerprint(docs: DataFrame, k: int = K) -> DataFrame:
     """doc_id and ``samples`` of each document; rows may repeat."""
-    rows = docs.select("doc_id", F.monotonically_increasing_id().alias("row"), F.explode_outer(terms(text_or_empty())).alias("t"))
+    numbered = docs.select("doc_id", text_or_empty().alias("text"), F.monotonically_increasing_id().alias("row"))
+    rows = numbered.select("doc_id", "row", F.explode_outer(terms(F.col("text"))).alias("t"))
     return draws(rows.select("doc_id", "row", "t.*"), "doc_id", "row", k=k).drop("row")
 
 
