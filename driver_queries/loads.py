@@ -12,7 +12,6 @@ from driver_queries.music import SONGS_SQL, STAR_SQL
 from driver_queries.registry import query
 from driver_queries.roles import table
 from starmill.operators.dedupe import first_per_key
-from starmill.operators.filters import in_period
 from starmill.operators.upserts import insert_if_absent, merge_latest
 from starmill.plans import music, query_first, scheduled
 from starmill.schemas import MUSIC_TABLES, RAW_EVENTS, RAW_EVENTS_CSV, RAW_SONGS
@@ -22,11 +21,12 @@ from starmill.sources import files
 from starmill.streaming.incremental import append_stream, latest_stream, new_files
 
 MIDDLE = "2024-01-15"
-FOREVER = "9999-01-01"
 
 
-def halves(df, column="ts"):
-    return in_period(df, column, "0001-01-01", MIDDLE), in_period(df, column, MIDDLE, FOREVER)
+def halves(df, column="ts", middle=MIDDLE):
+    """Rows before a time and all others, those without a time among them."""
+    early = F.coalesce(F.col(column) < F.lit(middle).cast("timestamp_ntz"), F.lit(False))
+    return df.filter(early), df.filter(~early)
 
 
 # --- staging -------------------------------------------------------------------------------
@@ -156,10 +156,31 @@ def idempotent_partition_load(spark, sf):
     declared = MUSIC_TABLES["time"]
     time = music.build_time(table(spark, sf, "orders"), "o_orderdate")
     for _ in range(2):
-        sinks.load_partitions(time, path, declared.partition_by, declared.sort_by)
+        sinks.load_partitions(time, path, declared.key, declared.partition_by, declared.sort_by)
     return files.read_table(spark, path, declared.schema).select(*declared.schema.names)
 
 
+@query(
+    "late_rows_across_months",
+    """SELECT o_orderkey, o_orderdate, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS year,
+           CAST(month(o_orderdate) AS INTEGER) AS month FROM orders""",
+)
+def late_rows_across_months(spark, sf):
+    """Three deliveries, each sent twice; every seventh row comes one delivery after its own."""
+    path = scratch_path(spark, "late")
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", "o_orderdate", "o_totalprice",
+        F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"),
+    )
+    own = F.when(F.col("year") < 1994, 0).when(F.col("year") < 1996, 1).otherwise(2)
+    sent = orders.withColumn("delivery", F.least(own + (F.col("o_orderkey") % 7 == 0).cast("int"), F.lit(2)))
+    for delivery in (0, 1, 2):
+        for _ in range(2):
+            batch = sent.filter(F.col("delivery") == delivery).drop("delivery")
+            sinks.load_partitions(batch, path, ["o_orderkey"], ["year", "month"], ["o_orderdate"])
+    return files.read_table(spark, path, orders.schema).select(*orders.columns)
+
+
 # --- upserts -------------------------------------------------------------------------------
 
 LINE_COLUMNS = ["l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey"]
@@ -180,8 +201,7 @@ LINE_FIRST_SQL = """row_number() OVER (
 )
 def upsert_do_nothing(spark, sf):
     lines = table(spark, sf, "lineitem").select(*LINE_COLUMNS)
-    early = in_period(lines, "l_shipdate", "0001-01-01", "1998-01-01")
-    late = in_period(lines, "l_shipdate", "1998-01-01", FOREVER)
+    early, late = halves(lines, "l_shipdate", "1998-01-01")
     existing = first_per_key(early, LINE_KEY, ["l_shipdate"])
     return insert_if_absent(existing, late, LINE_KEY, ["l_shipdate"])
 

@@ -6,6 +6,8 @@ table is filtered where it lies and only the rows the batch touches are shuffled
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,13 @@ from starmill.operators.dedupe import first_per_key, latest_attributes
 from starmill.operators.joins import fits_broadcast
 
 
+def _by_key(rows: DataFrame, keys_of: DataFrame, keys: list[str], how: str) -> DataFrame:
+    """Semi or anti join on the keys; NULL is a key like any other, or each load would add it again."""
+    other = keys_of.select(*[F.col(k).alias(f"_key_{k}") for k in keys])
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    return rows.join(other, same, how)
+
+
 def new_rows(existing: DataFrame, batch: DataFrame, keys: list[str], order: list[str] = ()) -> DataFrame:
     """Rows of the batch to append: one per key, and only keys the table does not hold."""
     keys = list(keys)
@@ -20,8 +29,8 @@ def new_rows(existing: DataFrame, batch: DataFrame, keys: list[str], order: list
     known = existing.select(*keys)
     batch_keys = batch.select(*keys).distinct()
     if fits_broadcast(batch_keys):
-        known = known.join(F.broadcast(batch_keys), keys, "left_semi")
-    return candidates.join(known.distinct(), keys, "left_anti")
+        known = _by_key(known, F.broadcast(batch_keys), keys, "left_semi")
+    return _by_key(candidates, known.distinct(), keys, "left_anti")
 
 
 def insert_if_absent(
@@ -63,8 +72,8 @@ def merge_latest(
     batch_keys = batch.select(*keys).distinct()
     if fits_broadcast(batch_keys):
         small = F.broadcast(batch_keys)
-        touched = existing.join(small, keys, "left_semi").withColumn("_batch", F.lit(0))
-        untouched = existing.join(small, keys, "left_anti")
+        touched = _by_key(existing, small, keys, "left_semi").withColumn("_batch", F.lit(0))
+        untouched = _by_key(existing, small, keys, "left_anti")
         merged = _fold(touched.unionByName(incoming), keys, order, changing, fixed)
         return untouched.unionByName(merged)
     rows = existing.withColumn("_batch", F.lit(0)).unionByName(incoming)

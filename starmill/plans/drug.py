@@ -11,6 +11,7 @@ from starmill.functions.clean import flag, parse_date, parse_timestamp
 from starmill.functions.ndc import format_ndc, is_ndc
 from starmill.functions.nested import explode_structs, explode_values
 from starmill.operators.aggregates import trend
+from starmill.operators.dedupe import last_per_key
 from starmill.operators.filters import drop_incomplete, require_text, require_values
 from starmill.operators.joins import lookup_join
 from starmill.operators.setops import union_distinct
@@ -37,6 +38,16 @@ def build_labels(results: DataFrame) -> DataFrame:
     return rows.withColumn("formatted_ndc", format_ndc(F.col("package_ndc")))
 
 
+def latest_reports(results: DataFrame) -> DataFrame:
+    """One version per report: the last received, whole with its drugs and reactions.
+
+    A report delivered again, or followed up, then counts once; its other columns decide between
+    versions of one date. Reports without an id cannot be told apart and stay out.
+    """
+    known = results.filter(F.col("safetyreportid").isNotNull())
+    return last_per_key(known, ["safetyreportid"], ["receiptdate"])
+
+
 def build_drug_events(results: DataFrame) -> DataFrame:
     """Distinct (report, package code) pairs whose code is valid, over all documents.
 
@@ -85,6 +96,7 @@ def build_warehouse(
     label_results: DataFrame, report_results: DataFrame, raw_pricing: DataFrame
 ) -> dict[str, DataFrame]:
     """The six tables. Pass staged parquet: the report documents feed three of them."""
+    report_results = latest_reports(report_results)
     labels = build_labels(label_results)
     pricing = build_pricing(raw_pricing)
     return {

@@ -8,6 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmill.functions.clean import fit_widths
 from starmill.operators.quality import run_checks
 from starmill.plans import drug, music
 from starmill.schemas import DRUG_TABLES, MUSIC_TABLES, RAW_EVENTS, RAW_SONGS, create_tables, table_checks
@@ -22,7 +23,7 @@ def run(
 ) -> dict[str, DataFrame]:
     """Load the star for one run date; the same run again leaves the tables as they are.
 
-    The event files of a run cover whole months, so facts and times replace their month.
+    Facts and times join their months by key, so late rows are added and none is lost.
     Songs and artists gain the ids they lack, users take the most recent level. All five
     are tables of ``database``, ready for SQL.
     """
@@ -44,7 +45,8 @@ def run(
     users, time, songplays = music.build_plays(music.normalise_events(staged_events), songs, artists)
     upsert_latest_into(spark, users, names["users"], paths["users"], ["user_id"], "last_start_time", ["level"])
     for name, df in (("time", time), ("songplays", songplays)):
-        load_partitions(df, paths[name], MUSIC_TABLES[name].partition_by, MUSIC_TABLES[name].sort_by)
+        table = MUSIC_TABLES[name]
+        load_partitions(df, paths[name], table.key, table.partition_by, table.sort_by)
         refresh_table(spark, names[name])
     star = {name: spark.table(full) for name, full in names.items()}
     if check:
@@ -65,6 +67,7 @@ def run_drug_warehouse(
     tables = {}
     for name, df in drug.build_warehouse(staged["labels"], staged["reports"], staged["pricing"]).items():
         table = DRUG_TABLES[name]
+        df = fit_widths(df, table.widths)
         numbered = drug.number_rows(name, df) if table.key[0] not in df.columns else df
         write_table(numbered.select(*table.schema.names), f"{warehouse}/{name}", sort_by=table.sort_by)
         refresh_table(spark, f"{database}.{name}")
@@ -79,20 +82,23 @@ def run_drug_warehouse(
 def update_pricing(
     spark: SparkSession, raw_pricing: DataFrame, warehouse: str, database: str = "default"
 ) -> DataFrame:
-    """Periodic load: append the newest price snapshot unless the table already has its date.
+    """Periodic load: append every price snapshot that is newer than the stored ones.
 
-    Numbers go on from the greatest one in the table; codes seen for the first time join
-    the bridge.
+    Numbers go on from the greatest one in the table. The bridge gains the codes of all stored
+    prices that it lacks, so a run that failed between the two writes is made good by the next.
     """
     table = DRUG_TABLES["pricing"]
+    for name in ("pricing", "ndc"):  # files of an earlier run, finished or not
+        refresh_table(spark, f"{database}.{name}")
     stored = spark.table(f"{database}.pricing")
     last_id, last_date = stored.agg(F.max("pricing_id"), F.max("as_of_date")).first()
-    fresh = drug.build_pricing(raw_pricing, latest_only=True)
+    fresh = drug.build_pricing(raw_pricing)
     if last_date is not None:
         fresh = fresh.filter(F.col("as_of_date") > F.lit(last_date).cast("timestamp_ntz"))
-    numbered = drug.number_rows("pricing", fresh, start=(last_id or 0) + 1)
+    numbered = drug.number_rows("pricing", fit_widths(fresh, table.widths), start=(last_id or 0) + 1)
     load_fact(numbered, f"{warehouse}/pricing", table.schema)
-    append_new(spark, numbered.select("ndc"), f"{warehouse}/ndc", ["ndc"])
-    for name in ("pricing", "ndc"):
-        refresh_table(spark, f"{database}.{name}")
+    refresh_table(spark, f"{database}.pricing")
+    codes = spark.table(f"{database}.pricing").select("ndc").filter(F.col("ndc").isNotNull())
+    append_new(spark, codes, f"{warehouse}/ndc", ["ndc"])
+    refresh_table(spark, f"{database}.ndc")
     return spark.table(f"{database}.pricing")

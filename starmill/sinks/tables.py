@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmill.operators.dedupe import last_per_key
-from starmill.operators.joins import hot_keys
 from starmill.operators.upserts import merge_latest, new_rows
 
 
@@ -45,11 +47,15 @@ def write_clustered(df: DataFrame, path: str, partition_key: Sequence[str], clus
 def write_bucketed(df: DataFrame, table: str, path: str, key: Sequence[str], buckets: int) -> None:
     """Register a table bucketed and sorted by the join key, so joins on it need no shuffle.
 
-    One task reads a whole bucket, so a key that holds a large share of the rows is refused:
-    write such a table with ``write_clustered`` and join it with ``lookup_join``.
+    One task reads a whole bucket, so a key that alone holds more than the rows of a mean bucket
+    is refused: write such a table with ``write_clustered`` and join it with
+    ``lookup_join``. Keys of a single row are never refused.
     """
-    hot = hot_keys(df, list(key))
-    if hot and buckets > 1:
+    counts = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    total = counts.agg(F.sum("_n")).first()[0] or 0
+    limit = max(1, total / buckets)
+    hot = counts.filter(F.col("_n") > limit).select(*key).limit(buckets).collect()  # fewer keys than buckets
+    if hot:
         raise ValueError(f"{len(hot)} keys of {table} hold too many rows for one bucket, such as {tuple(hot[0])}")
     (
         df.repartition(buckets, *key)
@@ -61,20 +67,21 @@ def write_bucketed(df: DataFrame, table: str, path: str, key: Sequence[str], buc
     )
 
 
-def load_partitions(df: DataFrame, path: str, partition_by: Sequence[str], sort_by: Sequence[str] = ()) -> None:
-    """Replace just the partitions the batch holds; loading the same batch again changes nothing.
+def load_partitions(
+    df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str], sort_by: Sequence[str] = ()
+) -> None:
+    """Add the rows whose key their partition does not hold yet; nothing stored is lost.
 
-    The batch must hold each of its partitions whole.
+    Late rows join the partition they belong to, and loading a batch again changes nothing. Only
+    the partitions named in the batch are read, so a key must determine its partition.
     """
     by = list(partition_by)
-    (
-        df.hint("rebalance", *by)
-        .sortWithinPartitions(*by, *[c for c in sort_by if c not in by])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by)
-        .parquet(path)
-    )
+    existing = ensure_table(df.sparkSession, path, df.schema, by)
+    named = df.select(*by).distinct().collect()  # one row per directory of the batch
+    here = [reduce(and_, [F.col(c).eqNullSafe(F.lit(row[c])) for c in by]) for row in named]
+    touched = existing.filter(reduce(or_, here, F.lit(False)))
+    added = new_rows(touched, df, list(keys)).select(*df.columns)
+    write_table(added, path, mode="append", partition_by=by, sort_by=sort_by)
 
 
 # quotes are doubled inside fields, and text keeps its leading and trailing blanks
@@ -91,9 +98,11 @@ def write_slim_csv(df: DataFrame, path: str, columns: Sequence[str]) -> None:
     df.select(*columns).write.mode("overwrite").options(**_WHOLE_TEXT).option("header", True).csv(path)
 
 
-def ensure_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def ensure_table(
+    spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str] = ()
+) -> DataFrame:
     """The table at ``path``, made empty first when nothing is there."""
-    spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
+    spark.createDataFrame([], schema).write.mode("ignore").partitionBy(*partition_by).parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 

@@ -36,10 +36,15 @@ def read_csv_tree(
     spark: SparkSession, path: str, schema: T.StructType, header: bool = True, sep: str = ",",
     pattern: str = "*.csv", multi_line: bool = False,
 ) -> DataFrame:
-    """All CSV files below ``path`` as one table; quotes inside fields are doubled."""
+    """All CSV files below ``path`` as one table; quotes inside fields are doubled.
+
+    A header that doesn't name the columns of ``schema`` in their order is an error, so no column
+    is taken for another.
+    """
     return (
         spark.read.schema(schema)
         .option("header", header)
+        .option("enforceSchema", not header)
         .option("sep", sep)
         .option("escape", '"')
         .option("multiLine", multi_line)

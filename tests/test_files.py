@@ -6,6 +6,7 @@ from datetime import date
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmill import schemas
 from starmill.session import scratch_path
@@ -122,10 +123,33 @@ def test_partition_load_touches_only_its_partitions(spark, frame, tmp_path):
     path = str(tmp_path / "t")
     october = frame([(1, 2018, 10), (2, 2018, 10)], "k int, year int, month int")
     november = frame([(3, 2018, 11)], "k int, year int, month int")
-    for batch in (october, november, october, october.filter("k = 2")):
-        sinks.load_partitions(batch, path, ["year", "month"], ["k"])
+    late = frame([(4, 2018, 10), (2, 2018, 10), (5, 2018, 12)], "k int, year int, month int")
+    for batch in (october, november, october, october.filter("k = 2"), late, late):
+        sinks.load_partitions(batch, path, ["k"], ["year", "month"], ["k"])
     got = files.read_table(spark, path, october.schema).select("k", "month")
-    assert rows(got) == Counter({(2, 10): 1, (3, 11): 1})
+    assert rows(got) == Counter({(1, 10): 1, (2, 10): 1, (3, 11): 1, (4, 10): 1, (5, 12): 1})
+
+
+def test_small_and_unique_tables_are_bucketed(spark, frame, tmp_path):
+    for n in (1, 25, 100):
+        df = spark.range(n).select(F.col("id").alias("report"))
+        sinks.write_bucketed(df, "small_b", str(tmp_path / f"small{n}"), ["report"], 4)
+        assert spark.table("small_b").count() == n
+        spark.sql("DROP TABLE small_b")
+
+
+def test_null_keys_are_appended_once(spark, frame, tmp_path):
+    batch = frame([(None, "a"), (1, "b")], "k int, v string")
+    for _ in range(3):
+        sinks.append_new(spark, batch, str(tmp_path / "n"), ["k"])
+    assert spark.read.parquet(str(tmp_path / "n")).count() == 2
+
+
+def test_csv_columns_in_another_order_are_an_error(spark, tmp_path):
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "a.csv").write_text("song,artist\nx,y\n")
+    with pytest.raises(Exception, match="CSV header"):
+        files.read_csv_tree(spark, str(tmp_path / "c"), T.StructType.fromDDL("artist string, song string")).collect()
 
 
 def test_append_new_is_idempotent(spark, frame, tmp_path):

@@ -235,10 +235,12 @@ def test_checks_as_sql(spark, frame):
         quality.run_checks(spark, [quality.Check("rows", "SELECT count(*) FROM {}", "two_rows", 3)])
 
 
-def test_an_empty_table_has_no_greatest_key_count(spark, frame):
+def test_an_empty_table_fails_only_the_check_that_it_is_not_empty(spark, frame):
     empty = frame([], "k int")
     result = quality.check_results(spark, [quality.unique_key("t", empty, ["k"])]).first()
-    assert result["actual"] is None and result["passed"] is False
+    assert result["actual"] == 1 and result["passed"] is True
+    result = quality.check_results(spark, [quality.not_empty("t", empty)]).first()
+    assert result["passed"] is False
 
 
 def test_rejects_and_report(frame):
