@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from driver_queries import roles
 from driver_queries.registry import query
 from driver_queries.roles import table
 from starmill.operators.aggregates import snapshot_probe
-from starmill.plans import drug
+from starmill.operators.setops import conform
+from starmill.plans import drug, scheduled
+from starmill.schemas import RAW_PRICING
 from starmill.session import scratch_path
 from starmill.sinks.tables import write_table
-from starmill.sources.files import read_table
+from starmill.sources.files import read_documents, read_table
 from starmill.sources.snapshots import snapshots
 
 
@@ -35,6 +38,39 @@ def safety_reports(spark, sf):
     return drug.build_safety_reports(roles.report_results(spark, sf))
 
 
+@query("documents_read", f"WITH {roles.SAFETY_REPORTS_SQL} SELECT * FROM safety_reports")
+def documents_read(spark, sf):
+    """Reports written as nested documents of at most 4096, one a file, and read again."""
+    path = scratch_path(spark, "documents")
+    reports = roles.report_results(spark, sf)
+    number = F.expr("cast(safetyreportid as bigint) div 4096")
+    documents = reports.groupBy(number.alias("document")).agg(F.collect_list(F.struct(*reports.columns)).alias("results"))
+    documents.write.partitionBy("document").json(path)
+    schema = T.StructType().add("results", T.ArrayType(reports.schema))
+    return drug.build_safety_reports(read_documents(spark, path, schema))
+
+
+@query(
+    "pricing_updates",
+    f"WITH {roles.PRICING_SQL} SELECT ndc, as_of_date, nadac_per_unit, otc FROM pricing WHERE as_of_date IS NOT NULL",
+)
+def pricing_updates(spark, sf):
+    """A first load, several unseen snapshots at once, and the same again."""
+    base = scratch_path(spark, "prices")
+    database = "starmill_" + base.rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{base}/database'")
+    prices = conform(roles.raw_pricing(spark, sf), RAW_PRICING)
+    seen = F.col("as_of_date").cast("timestamp_ntz")
+    scheduled.run_drug_warehouse(
+        spark, roles.label_results(spark, sf), roles.report_results(spark, sf),
+        prices.filter(seen < F.lit("1995-01-01").cast("timestamp_ntz")), f"{base}/house", database,
+    )
+    later = prices.filter(seen < F.lit("1997-01-01").cast("timestamp_ntz"))
+    for delivery in (later, prices, prices):
+        stored = scheduled.update_pricing(spark, delivery, f"{base}/house", database)
+    return stored.select("ndc", "as_of_date", "nadac_per_unit", "otc")
+
+
 @query("snapshot_probe", "SELECT count(o_orderdate) AS row_count, max(o_orderdate) AS max_as_of FROM orders")
 def snapshot_probe_query(spark, sf):
     return snapshot_probe(table(spark, sf, "orders"), "o_orderdate")

@@ -12,9 +12,11 @@ from driver_queries.music import SONGS_SQL, STAR_SQL
 from driver_queries.registry import query
 from driver_queries.roles import table
 from starmill.operators.dedupe import first_per_key
+from starmill.operators.setops import sorted_columns
+from starmill.operators.surrogate import unordered_ids
 from starmill.operators.upserts import insert_if_absent, merge_latest
 from starmill.plans import music, query_first, scheduled
-from starmill.schemas import MUSIC_TABLES, RAW_EVENTS, RAW_EVENTS_CSV, RAW_SONGS
+from starmill.schemas import MUSIC_TABLES, QUERY_FIRST_TABLES, RAW_EVENTS, RAW_EVENTS_CSV, RAW_SONGS
 from starmill.session import scratch_path
 from starmill.sinks import tables as sinks
 from starmill.sources import files
@@ -273,3 +275,94 @@ def incremental_latest(spark, sf):
             stream, name, f"{base}/out", ["user_id"], "last_start_time", ["level"], f"{base}/checkpoint"
         ).awaitTermination()
     return spark.table(name)
+
+
+# --- layouts -------------------------------------------------------------------------------
+
+
+@query(
+    "bucketed_join",
+    """SELECT o_orderkey, o_orderdate, l_linenumber, l_shipdate, l_extendedprice
+    FROM orders JOIN lineitem ON l_orderkey = o_orderkey""",
+)
+def bucketed_join(spark, sf):
+    """Both tables bucketed by the order key; the join then moves no rows."""
+    base = scratch_path(spark, "bucketed")
+    mark = base.rsplit("-", 1)[1]
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate")
+    lines = table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("o_orderkey"), "l_linenumber", "l_shipdate", "l_extendedprice"
+    )
+    for name, df in (("orders", orders), ("lines", lines)):
+        sinks.write_bucketed(df, f"{name}_{mark}", f"{base}/{name}", ["o_orderkey"], 8)
+    return spark.table(f"orders_{mark}").hint("merge").join(spark.table(f"lines_{mark}"), "o_orderkey")
+
+
+@query("gapped_ids", "SELECT count(*) AS n_rows, count(*) AS n_ids FROM lineitem")
+def gapped_ids(spark, sf):
+    numbered = unordered_ids(table(spark, sf, "lineitem").select("l_orderkey"), "id")
+    return numbered.agg(F.count("l_orderkey").alias("n_rows"), F.countDistinct("id").alias("n_ids"))
+
+
+@query(
+    "union_by_position",
+    "SELECT s_suppkey, s_name, s_acctbal FROM supplier UNION ALL SELECT s_suppkey, s_name, s_acctbal FROM supplier",
+)
+def union_by_position(spark, sf):
+    """Columns in two orders, put in one order before a union that matches by position."""
+    rows = table(spark, sf, "supplier").select("s_suppkey", "s_name", "s_acctbal")
+    return sorted_columns(rows).union(sorted_columns(rows.select(*reversed(rows.columns))))
+
+
+# --- query-first tables --------------------------------------------------------------------
+
+
+def query_tables(spark, sf):
+    """The app log through CSV files into the three tables."""
+    base = scratch_path(spark, "query-first")
+    log = roles.app_log(spark, sf)
+    columns = [F.col(f.name) if f.name in log.columns else F.lit("").alias(f.name) for f in RAW_EVENTS_CSV]
+    log.select(*columns).write.option("header", True).option("escape", '"').csv(f"{base}/raw")
+    slim = query_first.slim_events(files.read_csv_tree(spark, f"{base}/raw", RAW_EVENTS_CSV))
+    query_first.load_query_tables(slim, f"{base}/tables")
+    return {
+        name: files.read_table(spark, f"{base}/tables/{name}", declared.schema)
+        for name, declared in QUERY_FIRST_TABLES.items()
+    }
+
+
+SESSION_SONGS_SQL = f"""WITH {roles.RAW_EVENTS_SQL}, session_songs AS (
+  SELECT CAST(session_id AS INTEGER) AS session_id, CAST(item_in_session AS INTEGER) AS item_in_session,
+         artist, song, length, row_number() OVER (PARTITION BY session_id, item_in_session
+         ORDER BY artist DESC, song DESC, length DESC) AS rn FROM raw_events WHERE artist <> '')"""
+
+
+@query(
+    "query_first_session_songs",
+    f"{SESSION_SONGS_SQL} SELECT session_id, item_in_session, artist, song, length FROM session_songs WHERE rn = 1",
+)
+def query_first_session_songs(spark, sf):
+    return query_tables(spark, sf)["session_songs"]
+
+
+@query(
+    "query_first_song_users",
+    f"""WITH {roles.RAW_EVENTS_SQL}
+    SELECT DISTINCT song, user_id, first_name, last_name FROM raw_events WHERE artist <> '' AND user_id IS NOT NULL""",
+)
+def query_first_song_users(spark, sf):
+    """The whole table, without the listeners who had logged out."""
+    return query_tables(spark, sf)["song_users"].filter(F.col("user_id").isNotNull())
+
+
+@query(
+    "query_first_lookup",
+    f"""{SESSION_SONGS_SQL}
+    SELECT artist, song, length FROM session_songs WHERE rn = 1 ORDER BY session_id, item_in_session LIMIT 1""",
+)
+def query_first_lookup(spark, sf):
+    """What was heard at the first place of the first session."""
+    tables = query_tables(spark, sf)
+    place = F.min(F.struct("session_id", "item_in_session"))
+    first = tables["session_songs"].agg(place.alias("at")).select("at.*").first()
+    return query_first.item_of_session(tables["session_songs"], *first)

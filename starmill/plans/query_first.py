@@ -24,10 +24,10 @@ def slim_events(raw: DataFrame) -> DataFrame:
 
 
 def table_rows(slim: DataFrame, name: str) -> DataFrame:
-    """Columns of one query-first table, in its types."""
+    """Columns of one query-first table, in its types; an empty user id is NULL."""
     schema = QUERY_FIRST_TABLES[name].schema
     renamed = slim.withColumnsRenamed(SLIM_NAMES)
-    return renamed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    return renamed.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
 
 
 # Which key columns choose the partition; the rest order rows inside it.

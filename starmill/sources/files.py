@@ -8,7 +8,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from datetime import date, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,10 +16,36 @@ from starmill.functions.clean import fit_widths
 from starmill.functions.nested import pick_paths
 
 
-def read_json_tree(spark: SparkSession, path: str, schema: T.StructType, pattern: str = "*.json") -> DataFrame:
-    """JSON lines from every matching file below ``path``, however deep."""
+BAD_ROW = "_bad_row"
+
+
+def _reader(spark: SparkSession, schema: T.StructType, on_bad: str) -> DataFrameReader:
+    """A reader to which a broken row is an error (``fail``) or a row with its text in ``_bad_row`` (``keep``)."""
+    if on_bad == "fail":
+        return spark.read.schema(schema).option("mode", "FAILFAST")
+    if on_bad == "keep":
+        fields = [*schema.fields, T.StructField(BAD_ROW, T.StringType())]
+        return spark.read.schema(T.StructType(fields)).option("columnNameOfCorruptRecord", BAD_ROW)
+    raise ValueError(f"on_bad is 'fail' or 'keep', not {on_bad!r}")
+
+
+def split_bad_rows(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(whole rows, broken rows) of a table that was read with ``on_bad="keep"`` and stored.
+
+    Spark refuses to look at the text of broken rows alone in files that it is still parsing.
+    """
+    return df.filter(F.col(BAD_ROW).isNull()).drop(BAD_ROW), df.filter(F.col(BAD_ROW).isNotNull())
+
+
+def read_json_tree(
+    spark: SparkSession, path: str, schema: T.StructType, pattern: str = "*.json", on_bad: str = "fail"
+) -> DataFrame:
+    """JSON lines from every matching file below ``path``, however deep.
+
+    A line that isn't JSON of the schema's types is an error, or kept in ``_bad_row``.
+    """
     return (
-        spark.read.schema(schema)
+        _reader(spark, schema, on_bad)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
         .json(path)
@@ -34,15 +60,15 @@ def count_files(df: DataFrame) -> DataFrame:
 
 def read_csv_tree(
     spark: SparkSession, path: str, schema: T.StructType, header: bool = True, sep: str = ",",
-    pattern: str = "*.csv", multi_line: bool = False,
+    pattern: str = "*.csv", multi_line: bool = False, on_bad: str = "fail",
 ) -> DataFrame:
     """All CSV files below ``path`` as one table; quotes inside fields are doubled.
 
     A header that doesn't name the columns of ``schema`` in their order is an error, so no column
-    is taken for another.
+    is taken for another. So is a row with other fields than the schema's, unless ``on_bad`` keeps it.
     """
     return (
-        spark.read.schema(schema)
+        _reader(spark, schema, on_bad)
         .option("header", header)
         .option("enforceSchema", not header)
         .option("sep", sep)
@@ -55,9 +81,12 @@ def read_csv_tree(
 
 
 def read_documents(spark: SparkSession, path: str, schema: T.StructType, array: str = "results") -> DataFrame:
-    """One row per element of the ``array`` of each JSON document; absent fields are NULL."""
+    """One row per element of the ``array`` of each JSON document; absent fields are NULL.
+
+    A file holds one document and is read by one task; a broken document is an error.
+    """
     documents = (
-        spark.read.schema(schema)
+        _reader(spark, schema, "fail")
         .option("multiLine", True)
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.json")
@@ -93,20 +122,23 @@ def render_path(template: str, run_date: date | datetime) -> str:
 def stage(
     spark: SparkSession, path_template: str, run_date: date | datetime, schema: T.StructType,
     fmt: str = "csv", sep: str = ",", header: bool = True, mapping: Mapping[str, str] | None = None,
-    to: str | None = None,
+    to: str | None = None, on_bad: str = "fail",
 ) -> DataFrame:
     """Load one run's raw files; with ``to``, clear that staging table and fill it first.
 
     ``mapping`` is ``{column: dotted source path}``; without it columns match by name.
-    ``header`` applies to CSV only.
+    ``header`` applies to CSV only. Broken rows are errors, or with ``on_bad="keep"`` staged in
+    ``_bad_row``: see ``split_bad_rows``.
     """
     path = render_path(path_template, run_date)
     if fmt == "json":
-        raw = read_json_tree(spark, path, schema)
+        raw = read_json_tree(spark, path, schema, on_bad=on_bad)
     elif fmt == "csv":
-        raw = read_csv_tree(spark, path, schema, header=header, sep=sep)
+        raw = read_csv_tree(spark, path, schema, header=header, sep=sep, on_bad=on_bad)
     else:
         raise ValueError(f"unknown format {fmt!r}")
+    if mapping and on_bad == "keep":
+        mapping = {**mapping, BAD_ROW: BAD_ROW}
     staged = pick_paths(raw, mapping) if mapping else raw
     if to is None:
         return staged

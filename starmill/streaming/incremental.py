@@ -30,7 +30,9 @@ def append_stream(
     """
 
     def load(batch: DataFrame, _: int) -> None:
+        batch.persist()  # looked at several times; its files are parsed once
         append_new(batch.sparkSession, batch, path, keys, order)
+        batch.unpersist()
 
     return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
@@ -59,6 +61,8 @@ def latest_stream(
     """Keep a catalog table at the latest value of its changing columns."""
 
     def load(batch: DataFrame, _: int) -> None:
+        batch.persist()
         upsert_latest_into(batch.sparkSession, batch, table, base, keys, order, changing)
+        batch.unpersist()
 
     return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -241,3 +241,34 @@ def test_scratch_folder_is_the_shared_one(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(base)
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_broken_lines_are_errors_or_kept(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text('{"song": "x", "length": 1.5}\n{"song": "y", "len\n{"song": "z"}\n')
+    schema = T.StructType.fromDDL("song string, length double")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.read_json_tree(spark, str(tmp_path / "in"), schema).collect()
+    mapping = {"title": "song"}
+    staged = files.stage(
+        spark, str(tmp_path / "in"), date(2018, 11, 1), schema, "json", mapping=mapping,
+        to=str(tmp_path / "staged"), on_bad="keep",
+    )
+    good, bad = files.split_bad_rows(staged)
+    assert sorted(r["title"] for r in good.collect()) == ["x", "z"] and good.columns == ["title"]
+    assert [r[files.BAD_ROW] for r in bad.collect()] == ['{"song": "y", "len']
+    with pytest.raises(ValueError, match="on_bad"):
+        files.read_json_tree(spark, str(tmp_path / "in"), schema, on_bad="drop")
+
+
+def test_csv_rows_of_another_width_are_errors_or_kept(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("artist,length\nx,1.5\ny,2.5,3\n")
+    schema = T.StructType.fromDDL("artist string, length double")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.read_csv_tree(spark, str(tmp_path), schema).collect()
+
+
+def test_broken_document_is_an_error(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"results": [{"safetyreportid": "3"}')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        files.read_documents(spark, str(tmp_path), schemas.RAW_REPORT_DOCUMENT).collect()
