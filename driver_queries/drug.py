@@ -63,9 +63,9 @@ def pricing_updates(spark, sf):
     seen = F.col("as_of_date").cast("timestamp_ntz")
     scheduled.run_drug_warehouse(
         spark, roles.label_results(spark, sf), roles.report_results(spark, sf),
-        prices.filter(seen < F.lit("1995-01-01").cast("timestamp_ntz")), f"{base}/house", database,
+        prices.filter(seen < F.lit("1997-01-01").cast("timestamp_ntz")), f"{base}/house", database,
     )
-    later = prices.filter(seen < F.lit("1997-01-01").cast("timestamp_ntz"))
+    later = prices.filter(seen < F.lit("1999-01-01").cast("timestamp_ntz"))
     for delivery in (later, prices, prices):
         stored = scheduled.update_pricing(spark, delivery, f"{base}/house", database)
     return stored.select("ndc", "as_of_date", "nadac_per_unit", "otc")

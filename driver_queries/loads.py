@@ -174,7 +174,7 @@ def late_rows_across_months(spark, sf):
         "o_orderkey", "o_orderdate", "o_totalprice",
         F.year("o_orderdate").alias("year"), F.month("o_orderdate").alias("month"),
     )
-    own = F.when(F.col("year") < 1994, 0).when(F.col("year") < 1996, 1).otherwise(2)
+    own = F.when(F.col("year") < 1997, 0).when(F.col("year") < 1999, 1).otherwise(2)
     sent = orders.withColumn("delivery", F.least(own + (F.col("o_orderkey") % 7 == 0).cast("int"), F.lit(2)))
     for delivery in (0, 1, 2):
         for _ in range(2):
