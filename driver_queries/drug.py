@@ -196,6 +196,69 @@ def drug_profile(spark, sf):
     return drug.drug_profile(w["labels"], w["pricing"], w["drug_events"], w["reactions"])
 
 
+LABEL_TEXTS_SQL = " UNION ALL ".join(
+    f"""SELECT formatted_ndc AS ndc, '{c}' AS section, {c} AS entry, CAST(NULL AS TIMESTAMP) AS dated,
+        CAST(NULL AS DOUBLE) AS amount FROM drug_labels WHERE formatted_ndc IS NOT NULL AND {c} <> ''"""
+    for c in drug.LABEL_TEXTS
+)
+
+
+@query(
+    "drug_details",
+    f"""WITH {roles.LABELS_SQL}, {roles.PRICING_SQL}, {roles.REPORT_DRUGS_SQL}, {roles.SAFETY_REPORTS_SQL}
+    {LABEL_TEXTS_SQL}
+    UNION ALL SELECT ndc, 'price', NULL, as_of_date, nadac_per_unit FROM pricing
+    UNION ALL SELECT formatted_ndc, 'event', safetyreportid, CAST(receivedate AS TIMESTAMP), NULL
+    FROM drug_events JOIN safety_reports USING (safetyreportid)""",
+)
+def drug_details(spark, sf):
+    w = warehouse(spark, sf, "labels", "reports", "pricing")
+    return drug.drug_details(w["labels"], w["pricing"], w["drug_events"], w["safety_reports"])
+
+
+def report_deliveries(spark, sf):
+    """All reports; those of a death come twice, and open ones are followed up without reactions."""
+    reports = roles.report_results(spark, sf)
+    deadly = reports.filter("patient.patientdeath IS NOT NULL")
+    second = F.get("patient.reaction", F.lit(1))["reactionmeddrapt"]
+    later = reports.filter("patient.patientdeath IS NULL").filter(second == "").withColumns({
+        "receiptdate": F.lit("29991231"),
+        "patient": F.col("patient").withField("reaction", F.slice("patient.reaction", 1, 0)),
+    })
+    return reports.unionByName(deadly).unionByName(later)
+
+
+@query(
+    "rejected_reports",
+    """SELECT CAST(o_orderkey AS VARCHAR) AS safetyreportid, 'repeated_report' AS reason, CAST(1 AS BIGINT) AS n
+    FROM orders WHERE o_orderstatus IN ('F', 'O')
+    UNION ALL SELECT CAST(o_orderkey AS VARCHAR), 'missing_reactions', CAST(1 AS BIGINT)
+    FROM orders WHERE o_orderstatus = 'O'""",
+)
+def rejected_reports(spark, sf):
+    return drug.rejected_reports(report_deliveries(spark, sf))
+
+
+@query(
+    "report_versions",
+    f"""WITH {roles.SAFETY_REPORTS_SQL}, {roles.REPORT_DRUGS_SQL}, {roles.REACTIONS_SQL},
+    d AS (SELECT safetyreportid, count(*) AS n_drugs FROM drug_events GROUP BY 1),
+    r AS (SELECT safetyreportid, count(*) AS n_reactions FROM reactions GROUP BY 1),
+    o AS (SELECT CAST(o_orderkey AS VARCHAR) AS safetyreportid FROM orders WHERE o_orderstatus <> 'O')
+    SELECT * FROM safety_reports JOIN d USING (safetyreportid) JOIN r USING (safetyreportid)
+    JOIN o USING (safetyreportid)""",
+)
+def report_versions(spark, sf):
+    """Repeated reports count once, and the last version's reactions hold."""
+    path = scratch_path(spark, "reports")
+    deliveries = report_deliveries(spark, sf)
+    write_table(deliveries, path)
+    w = drug.build_warehouse(
+        roles.label_results(spark, sf), read_table(spark, path, deliveries.schema), roles.raw_pricing(spark, sf)
+    )
+    return drug.report_join(w["safety_reports"], w["drug_events"], w["reactions"])
+
+
 @query(
     "drug_event_ids",
     f"""WITH {roles.REPORT_DRUGS_SQL}

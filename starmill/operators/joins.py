@@ -33,15 +33,9 @@ def _row_bytes(df: DataFrame) -> Column:
 def fits_broadcast(
     df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """Measure the table against the broadcast bound.
-
-    Rows are counted first, for stored tables from the file footers alone; only a table with
-    few rows has its text measured too.
-    """
-    if df.count() > max_rows:
-        return False
-    size = df.agg(F.sum(_row_bytes(df).cast("bigint"))).first()[0] or 0
-    return size <= max_bytes
+    """Measure the table against the broadcast bound: rows and bytes in one pass over it."""
+    rows, size = df.agg(F.count(F.lit(1)), F.sum(_row_bytes(df).cast("bigint"))).first()
+    return rows <= max_rows and (size or 0) <= max_bytes
 
 
 def _any_null(on: list[str]) -> Column:

@@ -24,17 +24,20 @@ SERIOUSNESS = [
     "seriousnesshospitalization", "seriousnesslifethreatening",
 ]
 
+LABEL_SECTIONS = ["active_ingredient", "adverse_reactions", "drug_interactions", "indications_and_usage", "warnings"]
+LABEL_NAMES = ["brand_name", "generic_name"]
+LABEL_TEXTS = [*LABEL_SECTIONS, *LABEL_NAMES]
+
 
 # --- tables --------------------------------------------------------------------------------
 
 
 def build_labels(results: DataFrame) -> DataFrame:
     """One row per label and package code; a label without codes keeps one row."""
-    sections = ["active_ingredient", "adverse_reactions", "drug_interactions", "indications_and_usage", "warnings"]
-    texts = [F.array_join(F.col(s), " ").alias(s) for s in sections]
-    names = [F.array_join(F.col(f"openfda.{n}"), " ").alias(n) for n in ("brand_name", "generic_name")]
+    texts = [F.array_join(F.col(s), " ").alias(s) for s in LABEL_SECTIONS]
+    names = [F.array_join(F.col(f"openfda.{n}"), " ").alias(n) for n in LABEL_NAMES]
     flat = results.select(*texts, *names, F.col("openfda.package_ndc").alias("codes"))
-    rows = explode_values(flat, "codes", "package_ndc", [*sections, "brand_name", "generic_name"])
+    rows = explode_values(flat, "codes", "package_ndc", LABEL_TEXTS)
     return rows.withColumn("formatted_ndc", format_ndc(F.col("package_ndc")))
 
 
@@ -234,6 +237,52 @@ def drug_profile(
     return sections[0].unionByName(sections[1]).unionByName(sections[2])
 
 
+def drug_details(
+    labels: DataFrame, pricing: DataFrame, drug_events: DataFrame, safety_reports: DataFrame
+) -> DataFrame:
+    """The rows behind each code in one table: ndc, section, entry, dated, amount.
+
+    A label gives one row per text it has, a price its date and amount, an event the number and
+    the day of its report. Like the profile, a code's rows lie together once written with
+    ``write_clustered`` on (ndc, section, dated), and none has to fit into one record.
+    """
+    none = F.lit(None)
+    texts = F.inline(F.array(*[F.struct(F.lit(c).alias("section"), F.col(c).alias("entry")) for c in LABEL_TEXTS]))
+    known = require_values(labels, ["formatted_ndc"]).select(F.col("formatted_ndc").alias("ndc"), texts)
+    label_rows = require_text(known, ["entry"]).select(
+        "*", none.cast("timestamp_ntz").alias("dated"), none.cast("double").alias("amount")
+    )
+    prices = require_values(pricing, ["ndc"]).select(
+        "ndc", F.lit("price").alias("section"), none.cast("string").alias("entry"),
+        F.col("as_of_date").alias("dated"), F.col("nadac_per_unit").cast("double").alias("amount"),
+    )
+    days = safety_reports.select("safetyreportid", "receivedate")
+    events = drug_events.join(days, "safetyreportid").select(
+        F.col("formatted_ndc").alias("ndc"), F.lit("event").alias("section"), F.col("safetyreportid").alias("entry"),
+        F.col("receivedate").cast("timestamp_ntz").alias("dated"), none.cast("double").alias("amount"),
+    )
+    return label_rows.unionByName(prices).unionByName(events)
+
+
+def rejected_reports(results: DataFrame) -> DataFrame:
+    """What the load leaves out or finds incomplete: safetyreportid, reason, n.
+
+    ``missing_id`` and ``repeated_report`` count documents that are not loaded;
+    ``missing_reactions`` marks loaded reports that name none. Each id is counted down before the
+    shuffle, and only the chosen versions are looked into.
+    """
+    counts = results.groupBy("safetyreportid").agg(F.count(F.lit(1)).alias("n"))
+    missing = counts.filter(F.col("safetyreportid").isNull()).select("safetyreportid", F.lit("missing_id").alias("reason"), "n")
+    repeated = counts.filter(F.col("safetyreportid").isNotNull() & (F.col("n") > 1)).select(
+        "safetyreportid", F.lit("repeated_report").alias("reason"), (F.col("n") - 1).alias("n")
+    )
+    named = F.exists("patient.reaction", lambda r: F.coalesce(r["reactionmeddrapt"], F.lit("")) != "")
+    silent = latest_reports(results).filter(~F.coalesce(named, F.lit(False))).select(
+        "safetyreportid", F.lit("missing_reactions").alias("reason"), F.lit(1).cast("bigint").alias("n")
+    )
+    return missing.unionByName(repeated).unionByName(silent)
+
+
 def reject_rules() -> Mapping[str, object]:
     """Why an exploded drug row is kept out of drug_events."""
     return {

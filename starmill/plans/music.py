@@ -134,9 +134,10 @@ def fact_first_match(plays: DataFrame, songs: DataFrame, artists: DataFrame, sca
     The lookup is cut to one row per (title, artist, length) first, so plays never multiply.
     """
     on = ["song", "artist", "length"]
-    lookup = first_per_key(_on_title_name_length(song_lookup(songs, artists), scale), on, ["song_id"])
+    named = _on_title_name_length(song_lookup(songs, artists), scale)
+    lookup = first_per_key(named, on, ["song_id"])
     rows = plays.withColumn("length", _at_scale(F.col("length"), scale))
-    return lookup_join(rows, lookup, on, "left", measured=songs)
+    return lookup_join(rows, lookup, on, "left", measured=named)
 
 
 def fact_inner_title(plays: DataFrame, songs: DataFrame, columns: list[str]) -> DataFrame:

@@ -316,6 +316,27 @@ def test_drug_queries(drug_inputs):
     })
 
 
+def test_drug_details_and_rejected_reports(spark, drug_inputs):
+    w = drug.build_warehouse(*drug_inputs)
+    details = drug.drug_details(w["labels"], w["pricing"], w["drug_events"], w["safety_reports"])
+    own = details.filter("ndc = '01234567890'")
+    assert rows(own.filter("section = 'warnings'").select("entry", "dated", "amount")) == Counter({("Be careful", None, None): 1})
+    assert own.filter("section = 'price'").count() == 2
+    assert rows(own.filter("section = 'event'").select("entry")) == Counter({("1",): 1, ("3",): 1})
+
+    schema = "safetyreportid string, receiptdate string, patient struct<reaction: array<struct<reactionmeddrapt: string>>>"
+    rash = ([("Rash",)],)
+    reports = spark.createDataFrame(
+        [("1", "20180101", rash), ("1", "20180101", rash), ("2", "20180101", rash), ("2", "20180201", ([],)),
+         ("3", "20180101", ([("",), (None,)],)), ("4", None, None), (None, "20180101", rash), ("5", "20180101", rash)],
+        schema,
+    )
+    assert rows(drug.rejected_reports(reports)) == Counter({
+        ("1", "repeated_report", 1): 1, ("2", "repeated_report", 1): 1, ("2", "missing_reactions", 1): 1,
+        ("3", "missing_reactions", 1): 1, ("4", "missing_reactions", 1): 1, (None, "missing_id", 1): 1,
+    })
+
+
 def test_drug_warehouse_written_and_updated(spark, drug_inputs, tmp_path):
     house, database = str(tmp_path / "house"), "drug_test"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
