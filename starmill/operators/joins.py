@@ -7,6 +7,7 @@ rows are salted, so no task receives a hot key whole. Both ways give the same ro
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -15,8 +16,9 @@ from pyspark.sql import types as T
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 32
+MIN_SALTS = 32
 HOT_SHARE = 1 / 128
+MAX_HOT = 4096
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -42,52 +44,64 @@ def _any_null(on: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
 
 
+def _partitions(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def hot_share(partitions: int) -> float:
+    """The share beyond which a key is hot: four mean shuffle partitions, 1/128 at most."""
+    return min(HOT_SHARE, max(4 / partitions, 1 / MAX_HOT))
+
+
 def hot_keys(df: DataFrame, on: list[str], share: float = HOT_SHARE) -> list:
-    """Keys that hold more than ``share`` of the rows: at most ``1/share`` of them.
+    """Keys that hold more than ``share`` of the rows, at most ``1/share`` of them, each with its
+    share as ``_part``.
 
     Counts are merged inside each task before the shuffle; only the hot keys, whose number
     is bounded by the share, reach the driver.
     """
     counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
     total = counts.select(F.sum("_n")).scalar()
-    return counts.filter(F.col("_n") > total * F.lit(share)).select(*on).collect()
+    hot = counts.filter(F.col("_n") > total * F.lit(share))
+    return hot.select(*on, (F.col("_n") / F.lit(total)).alias("_part")).collect()
 
 
 def salted_join(
     fact: DataFrame, dim: DataFrame, on: list[str], how: str = "inner",
-    hot_from: DataFrame | None = None, salts: int = SALTS, share: float = HOT_SHARE,
+    hot_from: DataFrame | None = None, share: float | None = None,
 ) -> DataFrame:
-    """Shuffled join in which hot keys of ``fact`` are spread over ``salts`` groups.
+    """Shuffled join in which hot keys of ``fact`` are spread over groups by salts.
 
     Without hot keys it is a plain join. ``hot_from`` is the table to look for hot keys in; give
     it when ``fact`` is itself the result of joins and a table it came from has the same keys.
-    Which keys are salted decides where rows go, never which rows come out.
+    What is hot and how many salts a key has follow from the rows of a mean shuffle partition, so
+    a salted group is about one partition. That decides where rows go, never which rows come out.
 
     A row's salt is a hash of its content, so a task run again after a lost executor puts it
-    in the same place. Only lookup rows of hot keys are repeated. Rows with a NULL key never
-    match: a left join spreads them by salt, an inner join drops them before the shuffle.
+    in the same place; rows equal in all columns share a salt, and AQE's skew join splits those.
+    Only lookup rows of hot keys are repeated. Rows with a NULL key never match: a left join
+    spreads them by salt, an inner join drops them before the shuffle.
     """
     if how not in ("inner", "left"):
         raise ValueError("salted_join does inner and left joins")
     on = list(on)
-    found = hot_keys(fact if hot_from is None else hot_from, on, share)
-    hot = [tuple(row) for row in found if None not in tuple(row)]
+    partitions = _partitions(fact)
+    found = hot_keys(fact if hot_from is None else hot_from, on, share or hot_share(partitions))
+    salts = [(*tuple(r)[:-1], max(MIN_SALTS, math.ceil(r["_part"] * partitions))) for r in found]
+    hot = [row for row in salts if None not in row]
     if not hot and (how == "inner" or len(found) == 0):
         return fact.join(dim, on, how)
-    schema = T.StructType([T.StructField(c, fact.schema[c].dataType) for c in on]).add("_hot", "boolean")
-    marks = F.broadcast(fact.sparkSession.createDataFrame([(*key, True) for key in hot], schema))
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in fact.columns]), F.lit(salts)).cast("int")
-    every_salt = F.sequence(F.lit(0), F.lit(salts - 1))
+    schema = T.StructType([T.StructField(c, fact.schema[c].dataType) for c in on]).add("_salts", T.IntegerType())
+    marks = F.broadcast(fact.sparkSession.createDataFrame(hot, schema))
+    unmatched = max((row[-1] for row in salts if None in row), default=MIN_SALTS)
+    spread = F.when(_any_null(on), F.lit(unmatched)).otherwise(F.coalesce("_salts", F.lit(1)))
+    content = F.xxhash64(*[F.col(c) for c in fact.columns])
     source = fact.filter(~_any_null(on)) if how == "inner" else fact
-    left = (
-        source.join(marks, on, "left")
-        .withColumn("_salt", F.when(F.col("_hot") | _any_null(on), salt).otherwise(0))
-        .drop("_hot")
-    )
+    left = source.join(marks, on, "left").withColumn("_salt", F.pmod(content, spread).cast("int")).drop("_salts")
     right = (
         dim.join(marks, on, "left")
-        .withColumn("_salt", F.explode(F.when(F.col("_hot"), every_salt).otherwise(F.array(F.lit(0)))))
-        .drop("_hot")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_salts", F.lit(1)) - 1)))
+        .drop("_salts")
     )
     return left.join(right, [*on, "_salt"], how).drop("_salt")
 

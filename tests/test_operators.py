@@ -50,11 +50,22 @@ def test_salted_join_equals_brute_force(spark, skewed, how, on):
 def test_hot_keys_are_found_and_spread(spark, skewed):
     fact = spark.createDataFrame(skewed[0], "id int, k int, t string")
     assert sorted(tuple(r)[0] or 0 for r in joins.hot_keys(fact, ["k"], 0.1)) == [0, 1]
-    salts = fact.filter("k = 1").select(F.pmod(F.xxhash64("id", "k", "t"), F.lit(joins.SALTS)).alias("s"))
+    salts = fact.filter("k = 1").select(F.pmod(F.xxhash64("id", "k", "t"), F.lit(joins.MIN_SALTS)).alias("s"))
     biggest = salts.groupBy("s").count().agg(F.max("count")).first()[0]
     assert biggest < salts.count() / 8
 
 
+def test_salts_follow_the_partitions(spark, skewed, monkeypatch):
+    assert joins.hot_share(200) == joins.HOT_SHARE and joins.hot_share(2000) == 4 / 2000
+    assert joins.hot_share(10**6) == 1 / joins.MAX_HOT
+    monkeypatch.setattr(joins, "_partitions", lambda df: 600)
+    f = spark.createDataFrame(skewed[0], "id int, k int, t string")
+    d = spark.createDataFrame([(1, "one"), (2, "two")], "k int, v string")
+    joined = joins.salted_join(f, d, ["k"], "left")
+    assert joined.count() == 3000
+    assert joined.filter("k = 1").count() == joined.filter("v = 'one'").count() == f.filter("k = 1").count()
+
+
 def test_no_hot_key_gives_a_plain_join(spark, capsys):
     f = spark.range(1000).select(F.col("id").alias("k"), F.lit(1).alias("x"))
     d = spark.range(500).select(F.col("id").alias("k"), F.lit(2).alias("y"))
