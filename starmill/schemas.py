@@ -286,17 +286,25 @@ def drop_tables(spark: SparkSession, tables: dict[str, Table], database: str = "
         spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
 
 
-def table_checks(tables: dict[str, Table], frames: dict[str, DataFrame]) -> list[quality.Check]:
-    """Checks for every declared key, NOT NULL column and foreign key of the given frames."""
+def table_checks(
+    tables: dict[str, Table], frames: dict[str, DataFrame], loaded: dict[str, DataFrame] | None = None
+) -> list[quality.Check]:
+    """Checks for every declared key, NOT NULL column and foreign key of the given frames.
+
+    ``loaded`` names the part of a table to look at, such as the partitions a load has touched;
+    that a table is not empty is asked of the whole. The part of a parent must hold all keys that the
+    parts of its children use.
+    """
     checks = []
-    for name, df in frames.items():
+    for name, whole in frames.items():
         table = tables[name]
-        checks.append(quality.not_empty(name, df))
+        checks.append(quality.not_empty(name, whole))
+        df = (loaded or {}).get(name, whole)
         if table.key:
             checks.append(quality.unique_key(name, df, list(table.key)))
         if table.not_null:
             checks.append(quality.no_nulls(name, df, list(table.not_null)))
         for column, parent, parent_column in table.foreign_keys:
             if parent in frames:
-                checks.append(quality.no_orphans(name, df, column, frames[parent], parent_column))
+                checks.append(quality.no_orphans(name, df, column, (loaded or {}).get(parent, frames[parent]), parent_column))
     return checks

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -69,19 +69,21 @@ def write_bucketed(df: DataFrame, table: str, path: str, key: Sequence[str], buc
 
 def load_partitions(
     df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str], sort_by: Sequence[str] = ()
-) -> None:
+) -> Column:
     """Add the rows whose key their partition does not hold yet; nothing stored is lost.
 
     Late rows join the partition they belong to, and loading a batch again changes nothing. Only
-    the partitions named in the batch are read, so a key must determine its partition.
+    the partitions named in the batch are read, so a key must determine its partition. Returns
+    the condition that selects those partitions.
     """
     by = list(partition_by)
     existing = ensure_table(df.sparkSession, path, df.schema, by)
     named = df.select(*by).distinct().collect()  # one row per directory of the batch
     here = [reduce(and_, [F.col(c).eqNullSafe(F.lit(row[c])) for c in by]) for row in named]
-    touched = existing.filter(reduce(or_, here, F.lit(False)))
-    added = new_rows(touched, df, list(keys)).select(*df.columns)
+    touched = reduce(or_, here, F.lit(False))
+    added = new_rows(existing.filter(touched), df, list(keys)).select(*df.columns)
     write_table(added, path, mode="append", partition_by=by, sort_by=sort_by)
+    return touched
 
 
 # quotes are doubled inside fields, and text keeps its leading and trailing blanks
