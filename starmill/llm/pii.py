@@ -2,7 +2,8 @@
 
 One pattern finds e-mail addresses, phone, card, social security and bank account numbers, IPv4
 addresses, secrets after a name such as ``password=``, long hexadecimal keys and names after a
-title. What is found is reduced to its canonical form (digits of a number, lower case of an
+title. A secret is all that follows its name up to a space or quote, whatever its length, if it has a
+letter or digit; its marks stay in their places. What is found is reduced to its canonical form (digits of a number, lower case of an
 address, each word of a name), and every distinct form gets one keyed surrogate:
 
 * of the same type and layout: digits for digits, letters for letters of the same case,
@@ -35,7 +36,8 @@ ATTEMPTS = 200
 EMAIL = r"(?<![\p{L}0-9._%+-])[\p{L}0-9][\p{L}0-9._%+-]{0,63}@[\p{L}0-9][\p{L}0-9.-]{0,190}\.\p{L}{2,24}"
 SECRET = (
     r"(?i:(?<![\p{L}0-9])(?:password|passwd|pwd|token|secret|api[_-]?key|access[_-]?key)[\"']?\s{0,3}[:=]\s{0,3}[\"']?)"
-    r"(?=[^\s\"']{0,200}[0-9])[A-Za-z0-9_./+=-]{6,200}"
+    # a value of any length up to a space or quote, with a letter or digit; marks that close a phrase are not part of it
+    r"(?=[^\s\"'\p{L}\p{N}]*+[\p{L}\p{N}])[^\s\"']*[^\s\"',;.:)\]}>]"
 )
 HEX = r"(?<![\p{L}0-9])(?=[0-9a-fA-F]{0,23}[0-9])[0-9a-fA-F]{24,}(?![\p{L}0-9])"
 ACCESS = r"(?<![\p{L}0-9])AKIA[0-9A-Z]{16}(?![\p{L}0-9])"
@@ -95,7 +97,7 @@ def _like_characters(value: Column, key: Column, attempt: int) -> Column:
         n = _number(key, F.col("kind"), F.col("form"), F.lit(str(attempt)), i.cast("string"))
         letter = F.when(c.rlike(r"\p{Lu}"), F.lit(65)).otherwise(F.lit(97))
         return (
-            F.when(c.rlike("[0-9]"), (n % 10).cast("string"))
+            F.when(c.rlike(r"\p{N}"), (n % 10).cast("string"))
             .when(c.rlike(r"\p{L}"), F.char(letter + n % letters))
             .otherwise(c)
         )
@@ -125,7 +127,7 @@ def surrogate(key: Column, attempt: int) -> Column:
         .when(_is("he"), _name("he", key, attempt)).when(_is("she"), _name("she", key, attempt))
         .when(_is("family"), _name("family", key, attempt))
         # country codes of numbers and banks stay
-        .when(F.col("form").startswith("+") | _is("iban"),
+        .when((_is("phone") & F.col("form").startswith("+")) | _is("iban"),
               F.concat(F.substring("form", 1, 2), _like_characters(F.substring("form", 3, 1000), key, attempt)))
         .otherwise(_like_characters(F.col("form"), key, attempt))
     )
@@ -151,7 +153,7 @@ def _parts(found: Column) -> Column:
         F.array(part(F.lit("family"), last, title, last))
     )
     prefix = F.regexp_extract(found, r"^([^:=]*[:=]\s*[\"']?)", 1)
-    value = F.substring(found, F.length(prefix) + 1, F.lit(1000))
+    value = F.substring(found, F.length(prefix) + 1, F.length(found))
     bare = F.regexp_replace(found, r"[^0-9A-Z+]", "")
     return (
         F.when(kind == "person", person)

@@ -106,6 +106,21 @@ def test_surrogates_keep_type_layout_and_coreference(spark):
     assert pii.without_private(docs).columns == docs.columns and pii.without_private(docs.limit(0)).count() == 0
 
 
+def test_secrets_are_replaced_whole(spark):
+    token = "eyJ" + "aB3_x-9.Q" * 120
+    values = [token, "P@ssw0rd2024", "correcthorse", "hunter2!x", "+9" + "z7" * 600, "xq1", "пароль٣!k"]
+    texts = [f"a password={v} b" for v in values] + ["say token: {, or secret=*** b", 'x "api_key": "Xy&7#q", y']
+    out = pii.replace_private(documents(spark, [(i, t, "en", "") for i, t in enumerate(texts)])).collect()
+    new = {r.row.doc_id: r.new_text for r in out}
+    for i, v in enumerate(values):
+        made = new[i].removeprefix("a password=").removesuffix(" b")
+        assert len(made) == len(v) and made[:2] != v[:2], v
+        kept = [c == d for c, d in zip(v, made, strict=True) if c.isalnum()]
+        assert sum(kept[-20:]) <= len(kept[-20:]) / 2 and sum(kept) <= len(kept) / 2, v
+        assert [c for c in made if not c.isalnum()] == [c for c in v if not c.isalnum()], v
+    assert new[7] == texts[7] and new[8] != texts[8] and new[8].endswith('", y')
+
+
 def test_colliding_surrogates_draw_again(spark):
     forms = spark.createDataFrame([("ssn", f"{i:02d}") for i in range(30)], "kind string, form string")
     made = {r.form: r.made for r in pii.surrogates(forms, "k").collect()}
