@@ -11,7 +11,8 @@ address, each word of a name), and every distinct form gets one keyed surrogate:
 * of the same gender and script for names, which are made from syllables with an ending;
 * the same wherever the form occurs again, in any layout: coreference holds over the corpus;
 * different from the surrogate of any other form of that type and from every form that occurs.
-  Those that collide draw again, with the number of the attempt in the keyed hash, until none do.
+  Those that collide draw again, with the number of the attempt in the keyed hash, until none do. Every ``LENGTHEN`` attempts the
+  surrogates grow by a character (an IPv4 address by a port), so there is always a free one.
 
 Texts without anything found pass through unmoved. The others are written once, numbered, and
 rebuilt from the pieces between and the surrogates.
@@ -31,6 +32,7 @@ from starmill.llm.common import query, store, table, whole_row
 
 KEY = "change me: whoever has this key can test guesses"
 ATTEMPTS = 200
+LENGTHEN = 8  # attempts after which a surrogate is one character longer
 
 # How each type is written. Order is the order in which they are tried.
 EMAIL = r"(?<![\p{L}0-9._%+-])[\p{L}0-9][\p{L}0-9._%+-]{0,63}@[\p{L}0-9][\p{L}0-9.-]{0,190}\.\p{L}{2,24}"
@@ -117,19 +119,23 @@ def _name(role: str, key: Column, attempt: int) -> Column:
 
 def surrogate(key: Column, attempt: int) -> Column:
     """The surrogate of ``form`` of type ``kind`` at this attempt."""
+    # short forms run out, so all kinds lengthen as the names do: nothing at first, then one keyed digit or letter more
+    more = [_number(key, _kind_form(), F.lit(f"{attempt}+{i}")) for i in range(attempt // LENGTHEN)]
+    digits = F.concat(F.lit(""), *[(n % 10).cast("string") for n in more])
+    letters = F.concat(F.lit(""), *[F.char(97 + n % 26) for n in more])
     octets = [(1 + _number(key, _kind_form(), F.lit(f"{attempt}.{i}")) % 254).cast("string") for i in range(4)]
     at = F.length("form") - F.locate(".", F.reverse(F.col("form")))  # before the last dot
     email = F.concat(
-        _like_characters(F.substring(F.col("form"), F.lit(1), at), key, attempt), F.substring(F.col("form"), at + 1, F.lit(30))
+        _like_characters(F.substring(F.col("form"), F.lit(1), at), key, attempt), letters, F.substring(F.col("form"), at + 1, F.lit(30))
     )
     return (
-        F.when(_is("email"), email).when(_is("ip"), F.concat_ws(".", *octets))
+        F.when(_is("email"), email).when(_is("ip"), F.concat(F.concat_ws(".", *octets), F.lit(":" if more else ""), digits))
         .when(_is("he"), _name("he", key, attempt)).when(_is("she"), _name("she", key, attempt))
         .when(_is("family"), _name("family", key, attempt))
         # country codes of numbers and banks stay
         .when((_is("phone") & F.col("form").startswith("+")) | _is("iban"),
-              F.concat(F.substring("form", 1, 2), _like_characters(F.substring("form", 3, 1000), key, attempt)))
-        .otherwise(_like_characters(F.col("form"), key, attempt))
+              F.concat(F.substring("form", 1, 2), _like_characters(F.substring("form", 3, 1000), key, attempt), digits))
+        .otherwise(F.concat(_like_characters(F.col("form"), key, attempt), digits))
     )
 
 
@@ -174,6 +180,7 @@ def _poured(own: Column, form: Column, made: Column) -> Column:
     number = F.array_join(
         F.zip_with(marks, place, lambda c, i: F.when(c.rlike("[0-9A-Z+]"), F.substring(made, i, F.lit(1))).otherwise(c)), ""
     )
+    number = F.concat(number, F.substring(made, F.length(form) + 1, F.length(made)))  # of a lengthened one
     shouted = F.when((own == F.upper(own)) & (form == F.lower(form)), F.upper(made)).otherwise(made)
     return F.when(F.col("kind").isin(*LAYOUT_FREE), number).when(_is("email"), shouted).otherwise(made)
 

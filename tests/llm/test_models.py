@@ -127,6 +127,16 @@ def test_colliding_surrogates_draw_again(spark):
     assert len(made) == 30 == len(set(made.values())) and not set(made) & set(made.values())
 
 
+def test_short_forms_never_run_out(spark):
+    forms = [("ssn", f"{i:02d}") for i in range(90)] + [("email", f"{a}@{b}.io") for a in "abcdefgh" for b in "abcdefghijklmnopqrstuvwxyz"]
+    forms += [("email", f"{a}@{b}.io") for a in "ijklmnopqrst" for b in "abcdefghijklmnopqrstuvwxyz"]
+    made = {(r.kind, r.form): r.made for r in pii.surrogates(spark.createDataFrame(forms, "kind string, form string"), "k").collect()}
+    new = {(k, m) for (k, _), m in made.items()}
+    assert set(made) == set(forms) and len(new) == len(forms) and not new & set(forms)
+    longer = spark.createDataFrame([("ssn", "1-2", "12", "345")], "kind string, own string, form string, made string")
+    assert longer.select(pii._poured(F.col("own"), F.col("form"), F.col("made"))).first()[0] == "3-45"
+
+
 # --- mixing ---
 
 
