@@ -242,7 +242,9 @@ def link_nodes(docs: DataFrame, nodes: DataFrame, words: int, threshold: float)
     )
     groups = members.select(F.explode("leaders").alias("leader")).groupBy("leader").agg(F.count(F.lit(1)).alias("size"))
     large = store(groups.filter(F.col("size") > BLOCK), "large-groups")
-    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), "text", F.xxhash64("text").alias("_hash")).join(
+    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), "text", F.xxhash64("text").alias("_hash"))
+    # weights count the copies; of rows with one id and text one is enough, and each task sends one
+    texts = texts.dropDuplicates(["_id", "_hash"]).join(
         members, (F.col("_hash") == F.col("text_hash")) & F.col("_id").eqNullSafe(F.col("doc_id"))
     )
     sets = _with_sets(texts.select("text", "node", "weight", "leaders"), words)

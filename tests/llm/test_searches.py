@@ -123,6 +123,15 @@ def test_repeated_rows_null_ids_and_no_rows(spark):
     assert near_duplicates.one_of_each(df.limit(0)).count() == 0
 
 
+def test_copies_of_a_row_are_sent_once(spark, monkeypatch):
+    sent, with_sets = [], near_duplicates._with_sets
+    monkeypatch.setattr(near_duplicates, "_with_sets", lambda docs, words: sent.append(docs.count()) or with_sets(docs, words))
+    text = " ".join(words(80, 1))
+    texts = [(1, text)] * 20 + [(None, text + " more")] * 20 + [(2, text + " again")]
+    out = near_duplicates.near_duplicates(documents(spark, texts)).collect()
+    assert sent == [3] and len(out) == 41 and {(r.n_links, r.class_size) for r in out} == {(40, 41)}
+
+
 def test_bands_reach_the_recall():
     bands, rows = near_duplicates.choose_bands(0.8, 0.9999)
     assert 1 - (1 - 0.8**rows) ** bands >= 0.9999 and bands * rows <= near_duplicates.MAX_HASHES
