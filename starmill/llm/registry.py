@@ -2,7 +2,9 @@
 
 from starmill.llm import (  # noqa: F401  importing a module registers its query
     context_mixing,
+    conversations,
     language,
+    lexical_search,
     licenses,
     mixing,
     multi_index_hashing,
@@ -10,6 +12,7 @@ from starmill.llm import (  # noqa: F401  importing a module registers its query
     packing,
     pii,
     quality,
+    simhash,
     weighted_sampling,
 )
 from starmill.llm.common import ORACLES, QUERIES
