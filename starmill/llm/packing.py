@@ -24,9 +24,11 @@ ignored.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from bisect import bisect_left, insort
-from collections import defaultdict
+from collections import ChainMap, defaultdict
 from functools import lru_cache
 from unicodedata import normalize
 
@@ -41,13 +43,24 @@ from starmill.llm.common import query, store, table
 
 CAPACITY = 4096
 END_ID = 1
-CACHED_WORDS = 700_000  # per Python worker
+CACHE_BYTES = 48 << 20  # known words of a task
+ENTRY_BYTES = 200  # of a known word besides its text and ids
 CACHED_BYTES = 64  # longer words are encoded each time
-BATCH_BYTES = 2_000_000
-LATIN_END = "\u024f"
-# fixed values: how the vocabulary splits text
-SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-GAP = "\x01"  # stands between words encoded together; texts that hold it are encoded whole
+PORTION_BYTES = 1 << 20  # text encoded at once
+OTHERS = re.compile("[^\0-\u024f]")  # beyond Latin
+# fixed values: how the vocabulary that is encoded word by word folds and splits text, and marks the end of a word
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+FOLDING = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"},
+]}
+SPLITTING = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": PATTERN}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+]}
+WORD_END = "</w>"
+SPLIT = regex.compile(PATTERN)
+WHITE = re.compile(rb"[ \t-\r]")
+END, GAP = "\x01", "\x02"  # end of a part, border of words; texts that hold one are encoded whole
 
 
 @lru_cache(maxsize=1)
@@ -57,69 +70,117 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def _encode(path: str, text: str) -> np.ndarray:
-    return np.array(_tokenizer(path).encode(text, add_special_tokens=False).ids, np.uint32)
+def _encode(path: str, text: str) -> bytes:
+    return np.array(_tokenizer(path).encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
 
-@lru_cache(maxsize=1)
-def _merges(path: str):
-    """The same vocabulary for parts that are normalised and split already."""
-    from tokenizers import Tokenizer, pre_tokenizers
-
-    merges = Tokenizer(_tokenizer(path).model)
-    level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-    merges.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), level])
-    return merges
-
-
-_words: dict[bytes, bytes] = {}
+def _byte_symbols() -> dict[int, str]:
+    """The printable character by which a byte-level vocabulary writes each byte."""
+    printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(others)}
 
 
-def _learn(path: str, words: list[bytes]) -> dict[bytes, bytes]:
-    """Ids of words without white space.
+@lru_cache(maxsize=1)
+def _merges(path: str):
+    """The vocabulary's merges for folded and split parts, ids by rank, and the border's rank.
 
-    Latin words are normalised and split here by the vocabulary's own pattern and go through its
-    merges in one call, told apart by the gap's id; any others go through the whole tokenizer.
+    A part ends in ``END``, which merges with the byte before it first of all, as the mark of
+    a word's end stands in the vocabulary. None if the vocabulary folds or splits text in another way.
     """
-    latin, other = [], []
-    for w in words:
-        text = w.decode()
-        (latin if text.isascii() or max(text) <= LATIN_END else other).append((w, text))
-    parts = [
-        " ".join(SPLIT.findall(t if t.isascii() else "".join(c.lower() for c in normalize("NFC", t)))) for _, t in latin
-    ]
-    gap, ids = (
-        np.array(e.ids, np.uint32)
-        for e in _merges(path).encode_batch_fast([GAP, f" {GAP} ".join(parts)], add_special_tokens=False)
-    )
-    ends = np.append(np.flatnonzero(ids == gap[0]), len(ids))
-    starts = np.append(0, ends[:-1] + 1)
-    learnt = {w: ids[a:b].tobytes() for (w, _), a, b in zip(latin, starts, ends, strict=False)}
-    return learnt | {w: _encode(path, t).tobytes() for w, t in other}
-
-
-def encode_texts(path: str, texts: list[bytes]) -> list[bytes]:
-    """Ids of each UTF-8 text as little-endian 32-bit numbers, without special tokens.
-
-    This vocabulary folds case and treats white space as a border only, so words between ASCII
-    white space are encoded once and looked up from then on. Texts that hold the gap or may spell
-    a special token are encoded whole.
+    import tiktoken
+
+    with open(path, encoding="utf-8") as file:
+        spec = json.load(file)
+    model = spec["model"]
+    if (spec["normalizer"], spec["pre_tokenizer"], model.get("end_of_word_suffix")) != (FOLDING, SPLITTING, WORD_END):
+        return None
+    symbols = _byte_symbols()
+    bytes_of = {s: b for b, s in symbols.items()}
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    tokens = [*symbols.values(), *[s + WORD_END for b, s in symbols.items() if b != ord(END)], *["".join(m) for m in pairs]]
+    ranks = {}
+    for token in tokens:
+        inner = bytes(bytes_of[c] for c in token.removesuffix(WORD_END))
+        ranks[inner + END.encode() if token.endswith(WORD_END) else inner] = len(ranks)
+    if len(ranks) != len(tokens):
+        return None
+    merges = tiktoken.Encoding("parts", pat_str="[^ ]+", mergeable_ranks=ranks, special_tokens={})
+    return merges, np.array([model["vocab"][t] for t in tokens], "<u4"), ranks[(GAP + END).encode()]
+
+
+class Encoder:
+    """Ids of UTF-8 texts as little-endian 32-bit numbers, without special tokens.
+
+    The vocabulary folds case and takes white space as a border only, so words between ASCII white
+    space are encoded once and looked up from then on. Latin words are folded and split here;
+    any others go through the whole tokenizer, as do texts that hold a mark or may spell a
+    special token, and all texts if the vocabulary works in another way. Known words are bounded in
+    bytes and belong to one task.
     """
-    whole = [GAP.encode() in t or b"<|" in t for t in texts]
-    split = [[] if w else t.lower().split() for w, t in zip(whole, texts, strict=True)]
-    seen: set[bytes] = set().union(*split)
-    if len(_words) > CACHED_WORDS:
-        _words.clear()
-    rare = {}
-    if missing := seen.difference(_words):
-        fresh = _learn(path, list(missing))
-        _words.update((w, v) for w, v in fresh.items() if len(w) <= CACHED_BYTES)
-        rare = {w: v for w, v in fresh.items() if len(w) > CACHED_BYTES}
-    get = _words.__getitem__ if not rare else lambda w: _words[w] if w in _words else rare[w]
-    return [
-        _encode(path, t.decode()).tobytes() if w else b"".join(map(get, words))
-        for w, t, words in zip(whole, texts, split, strict=True)
-    ]
+
+    def __init__(self, path: str):
+        self.path, self.known, self.size = path, {}, 0
+
+    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+        merges, ids_of, border = _merges(self.path)
+        lines, learnt = (f" {GAP} ".encode()).join(words).decode(), {}
+        if not lines.isascii():
+            if OTHERS.search(lines):
+                learnt = {w: _encode(self.path, text) for w in words if OTHERS.search(text := w.decode())}
+                words = [w for w in words if w not in learnt]
+                lines = (f" {GAP} ".encode()).join(words).decode()
+            lines = normalize("NFC", lines).lower()
+        if words:
+            ranks = merges.encode_to_numpy((END + " ").join([*SPLIT.findall(lines), ""]))
+            borders = np.flatnonzero(ranks == border)
+            ids = ids_of[ranks]
+            starts, ends = [0, *(borders + 1).tolist()], [*borders.tolist(), len(ids)]
+            learnt |= {w: ids[a:b].tobytes() for w, a, b in zip(words, starts, ends, strict=True)}
+        return learnt
+
+    def _portion(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of texts without marks."""
+        split = [p.lower().split() for p in pieces]
+        if self.size > CACHE_BYTES:
+            self.known, self.size = {}, 0
+        ids = self.known
+        if missing := set().union(*split).difference(ids):
+            fresh = self._learn(list(missing))
+            kept = {w: v for w, v in fresh.items() if len(w) <= CACHED_BYTES}
+            self.size += sum(len(w) + len(v) + ENTRY_BYTES for w, v in kept.items())
+            ids.update(kept)
+            if len(kept) < len(fresh):
+                ids = ChainMap(fresh, ids)
+        return [b"".join(map(ids.__getitem__, words)) for words in split]
+
+    def encode(self, texts: list[bytes]) -> list[bytes]:
+        """Equal texts are encoded once; long ones in pieces that end at white space."""
+        out: dict[bytes, list[bytes]] = {t: [] for t in texts}
+        portion: list[tuple[bytes, bytes]] = []
+        size = 0
+
+        def flush():
+            for (text, _), ids in zip(portion, self._portion([p for _, p in portion]), strict=True):
+                out[text].append(ids)
+            portion.clear()
+
+        for text in out:
+            if END.encode() in text or GAP.encode() in text or b"<|" in text or _merges(self.path) is None:
+                out[text].append(_encode(self.path, text.decode()))
+                continue
+            at = 0
+            while at < len(text):
+                border = WHITE.search(text, at + PORTION_BYTES) if at + PORTION_BYTES < len(text) else None
+                end = border.start() if border else len(text)
+                portion.append((text, text[at:end]))
+                size, at = size + end - at, max(end, at + 1)
+                if size >= PORTION_BYTES:
+                    flush()
+                    size = 0
+        flush()
+        joined = {t: ids[0] if len(ids) == 1 else b"".join(ids) for t, ids in out.items()}
+        return [joined[t] for t in texts]
 
 
 PIECES = "doc_id long, piece int, start long, length int, ids_crc32 long, task int, place long"
@@ -131,15 +192,16 @@ def cut_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY) -> Dat
 
     def run(batches):
         task, place = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
+        encoder = Encoder(tokenizer)
         for batch in batches:
             doc_ids, texts, at = batch.column(0).to_pylist(), batch.column(1), 0
             while at < batch.num_rows:
                 group, size = [], 0
-                while at + len(group) < batch.num_rows and (not group or size < BATCH_BYTES):
+                while at + len(group) < batch.num_rows and (not group or size < PORTION_BYTES):
                     group.append(texts[at + len(group)].as_py() or b"")
                     size += len(group[-1])
                 out = []
-                for doc_id, ids in zip(doc_ids[at:], encode_texts(tokenizer, group), strict=False):
+                for doc_id, ids in zip(doc_ids[at:], encoder.encode(group), strict=False):
                     ids += end
                     for i, start in enumerate(range(0, len(ids), 4 * capacity)):
                         part = ids[start : start + 4 * capacity]

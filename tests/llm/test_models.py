@@ -169,6 +169,24 @@ def test_passes_are_whole_and_the_last_keeps_its_budget(spark):
     assert mixing.mix(docs.limit(0)).count() == 0
 
 
+def test_equal_rows_keep_to_the_budget(spark):
+    """A source of one repeated row, and one of which a part repeats; tokens taken are those asked for."""
+    rows = [(1, "w " * 15, None, "a")] * 2000 + [(i, "v " * 5, None, "b") for i in range(3000)] + [(9, "u " * 9, None, "b")] * 500
+    rows += [(i, "x", None, "c") for i in range(40)]
+    docs = documents(spark, rows).repartition(6)
+    out = mixing.mix(docs, max_repeats=1.3).select("row.*", "pass").collect()
+    tokens, taken = Counter(), Counter()
+    for _, t, _, s in rows:
+        tokens[s] += len(t.split())
+    for r in out:
+        taken[r.source] += len(r.text.split())
+    want = mixing.repeats_at(tokens, mixing.fit_exponent(tokens, max_repeats=1.3))
+    for s, n in tokens.items():
+        assert abs(taken[s] - n * want[s]) <= 15, s
+    first = Counter((r.source, r.doc_id) for r in out if r["pass"] == 0)
+    assert first == Counter((s, i) for i, _, _, s in rows)
+
+
 # --- scores ---
 
 
@@ -222,12 +240,44 @@ def test_pieces_are_exact_and_sequences_gapless(spark):
     assert packing.pack(documents(spark, []).limit(0), path).count() == 0
 
 
-def test_tokens_equal_those_of_the_whole_tokenizer():
-    path = packing.public_tokenizer()
-    tokenizer = Tokenizer.from_file(path)
-    for text in ("", " ", "Çá va? I'd they'LL 12ab x y İstanbul ΣΑΣ", "a\x01b <|endoftext|> c", "\t\nx\x85y", "½ ² 한국어", "École"):
-        ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
-        assert packing.encode_texts(path, [text.encode()]) == [ids]
+def whole_ids(text):
+    tokenizer = Tokenizer.from_file(packing.public_tokenizer())
+    return np.array(tokenizer.encode(text, add_special_tokens=False).ids, np.uint32).tobytes()
+
+
+def test_tokens_equal_those_of_the_whole_tokenizer(monkeypatch):
+    encoder = packing.Encoder(packing.public_tokenizer())
+    texts = ["", " ", "Çá va? I'd they'LL 12ab x y İstanbul ΣΑΣ", "a\x01b <|endoftext|> c", "a\x02b \x00c", "\t\nx\x85y", "½ ² 한국어", "École"]
+    rng = random.Random(6)
+    letters = "abcdefghijklmnopqrstuvwxyzABCXYZäöüßéèñŽ0123456789'.,;:!?()-_/\\#@$%&*+=[]{}\"\u00a0—’"
+    for _ in range(300):
+        texts.append(" ".join("".join(rng.choices(letters, k=rng.randrange(1, 14))) for _ in range(20)))
+    texts += ["the quick brown fox " * 30, "x" * 5000, "ab" * 100]
+    want = [whole_ids(t) for t in texts]
+    assert encoder.encode([t.encode() for t in texts]) == want
+    monkeypatch.setattr(packing, "PORTION_BYTES", 40)  # pieces, and words forgotten in between
+    monkeypatch.setattr(packing, "CACHE_BYTES", 2000)
+    small = packing.Encoder(packing.public_tokenizer())
+    assert small.encode([t.encode() for t in texts + texts[:5]]) == want + want[:5]
+
+
+def test_known_words_stay_within_their_bound(monkeypatch):
+    monkeypatch.setattr(packing, "CACHE_BYTES", 100_000)
+    monkeypatch.setattr(packing, "PORTION_BYTES", 2000)
+    encoder = packing.Encoder(packing.public_tokenizer())
+    for i in range(60):
+        encoder.encode([" ".join(f"w{i}x{j}" for j in range(300)).encode()])
+        assert encoder.size < 250_000 and len(encoder.known) * packing.ENTRY_BYTES < 250_000
+
+
+def test_other_vocabularies_are_encoded_whole():
+    import public_tokenizers
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    text = "Hello  World, it's\nÉté"
+    ids = Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+    assert packing._merges(path) is None
+    assert packing.Encoder(path).encode([text.encode()]) == [np.array(ids, np.uint32).tobytes()]
 
 
 def test_plans_place_every_length_once():
