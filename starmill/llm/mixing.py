@@ -13,7 +13,8 @@ are neither sorted nor moved.
 a block, so every stretch of the sequence holds the sources by their weights.
 
 Defined cases: a null source is a source of its own. A source without tokens is taken once.
-A null or empty text has no tokens. Repeated rows are separate documents. No rows give no rows.
+A null or empty text has no tokens. Repeated rows are separate documents; where the
+last pass ends among equal ones, it takes as many of them as its budget needs. No rows give no rows.
 More than ``MAX_SOURCES`` sources raise an error: their weights are fitted on the driver.
 """
 
@@ -99,6 +100,17 @@ def _hash(*parts: Column) -> Column:
     return F.xxhash64(F.lit(SEED), F.col("pass"), F.col("identity"), *parts)
 
 
+def _first_of_each(rows: DataFrame) -> DataFrame:
+    """As many rows of each ``number`` as it needs. They are counted per written task, so no group meets in one."""
+    written = store(rows.withColumn("_id", F.monotonically_increasing_id()), "copies")
+    written = written.withColumn("_task", F.shiftright("_id", 33))
+    counts = written.groupBy("number", "_task").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("number").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("number", "_task", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    place = F.col("_start") + F.row_number().over(Window.partitionBy("number", "_task").orderBy("_id"))
+    return written.join(starts, ["number", "_task"]).filter(place <= F.col("needed")).select(*rows.columns)
+
+
 def mix(docs: DataFrame, max_repeats: float | None = 2.0, target_entropy: float | None = None,
         budget: int | None = None, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """The rows of ``docs`` as ``row``, one for each pass that takes them, with ``pass``, ``block``,
@@ -141,24 +153,34 @@ def mix(docs: DataFrame, max_repeats: float | None = 2.0, target_entropy: float
         F.broadcast(cuts).alias("c"),
         F.col("l.origin").eqNullSafe(F.col("c.origin")) & (F.col("block") == F.col("cut")),
     )
-    in_block = Window.partitionBy("l.origin").orderBy("hash").rowsBetween(Window.unboundedPreceding, -1)
-    inside = inside.withColumn("before", F.col("start") + F.coalesce(F.sum("n").over(in_block), F.lit(0)))
+    # equal rows share a hash: they are one group, of which the cut takes as many as the budget needs
+    alike = inside.groupBy(F.col("l.origin").alias("origin"), "rest", "start", "cut", "hash").agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("copies")
+    )
+    in_block = Window.partitionBy("origin").orderBy("hash").rowsBetween(Window.unboundedPreceding, -1)
+    alike = alike.withColumn("left", F.col("rest") - F.col("start") - F.coalesce(F.sum("n").over(in_block), F.lit(0)))
+    needed = F.when(F.col("n") > 0, F.ceil(F.col("left") * F.col("copies") / F.col("n"))).otherwise(F.col("copies"))
     ends = (
-        inside.filter(F.col("before") < F.col("rest"))
-        .groupBy(F.col("l.origin").alias("origin"), "cut").agg(F.max("hash").alias("cut_hash"))
-    )
-    found_cuts = {r.origin: (r.cut, r.cut_hash) for r in ends.collect()}  # one row per source
-    cut_rows = [(s, *found_cuts.get(s, (-1, 0))) for s in tokens]
+        alike.filter(F.col("left") > 0)
+        .groupBy("origin", "cut")
+        .agg(F.max(F.struct("hash", F.least(needed, F.col("copies")).alias("needed"), "copies")).alias("end"))
+    )
+    found_cuts = {r.origin: (r.cut, *r.end) for r in ends.collect()}  # one row per source
+    cut_rows = [(n, s, *found_cuts.get(s, (-1, 0, 0, 0))) for n, s in enumerate(tokens)]
     with_cuts = plan.alias("p").join(
-        spark.createDataFrame(cut_rows, "origin string, cut long, cut_hash long").alias("c"),
+        spark.createDataFrame(cut_rows, "number int, origin string, cut long, cut_hash long, needed long, copies long").alias("c"),
         F.col("p.origin").eqNullSafe(F.col("c.origin")),
-    ).select("p.*", "cut", "cut_hash")
+    ).select("p.*", "number", "cut", "cut_hash", "needed", "copies")
     dealt = passed(rows, with_cuts, F.sequence(F.lit(0).cast("long"), F.col("whole")))
+    at_cut = (F.col("pass") == F.col("whole")) & (F.col("block") == F.col("cut")) & (F.col("hash") == F.col("cut_hash"))
+    parted = at_cut & (F.col("needed") < F.col("copies"))
     kept = dealt.filter(
         (F.col("pass") < F.col("whole"))
         | (F.col("block") < F.col("cut"))
-        | ((F.col("block") == F.col("cut")) & (F.col("hash") <= F.col("cut_hash")))
+        | ((F.col("block") == F.col("cut")) & (F.col("hash") <= F.col("cut_hash")) & ~parted)
     )
+    if any(needed < copies for _, _, _, _, needed, copies in cut_rows):
+        kept = kept.unionByName(_first_of_each(dealt.filter(parted)))
     place = (F.col("pass") + F.col("block") / F.col("blocks")) / F.col("repeats")
     return kept.select("row", "pass", "block", place.alias("place"), "hash")
 
