@@ -17,8 +17,9 @@ most. So no bucket, however common its vector, is ever gathered.
 
 Defined cases: vectors that are null, empty, zero or hold a null or non-finite number take no
 part, nor do vectors that have not the most common length. A vector with a null id is never a
-query and never found. Repeated rows of an id are separate candidates, but not for that id. No
-rows give no rows. Further columns are ignored.
+query and never found. Repeated rows of an id are separate candidates, but not for that id. A
+query row that is repeated is searched once; an id with several vectors is several queries, each with
+its own ranks. No rows give no rows. Further columns are ignored.
 """
 
 from __future__ import annotations
@@ -45,6 +46,11 @@ PAIRS = 1 << 18  # candidates ranked at once
 SEED = 5
 
 
+def query_key() -> Column:
+    """Tells the queries of one id apart."""
+    return F.xxhash64("embedding")
+
+
 def usable(vectors: DataFrame) -> DataFrame:
     """vec_id, embedding (doubles) and dims of the vectors that take part."""
     finite = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
@@ -137,10 +143,10 @@ NEAR = [np.bitwise_count(np.arange(256, dtype=np.uint8)) <= r for r in range(SUB
 VALUES = [np.flatnonzero(near).astype(np.uint8) for near in NEAR]
 
 
-def search(queries, query_ids, vectors, ids, query_codes, index: Index, radius: int, k: int):
-    """Up to ``k`` (query, row id, score) per query, by descending score and ascending id."""
+def search(queries, query_ids, query_keys, vectors, ids, query_codes, index: Index, radius: int, k: int):
+    """Up to ``k`` (query id and key, row id, score) per query, by descending score and ascending id."""
     out = []
-    for q, query_id, code in zip(queries, query_ids, query_codes, strict=True):
+    for q, query_id, key, code in zip(queries, query_ids, query_keys, query_codes, strict=True):
         rows = index.probe(code, radius)
         rows = rows[ids[rows] != query_id]
         score = np.concatenate([(vectors[rows[i : i + PAIRS]] * q).sum(1) for i in range(0, len(rows), PAIRS)] or [np.zeros(0)])
@@ -148,7 +154,7 @@ def search(queries, query_ids, vectors, ids, query_codes, index: Index, radius:
             kept = score >= np.partition(score, len(score) - k)[len(score) - k]
             rows, score = rows[kept], score[kept]
         best = np.lexsort((ids[rows], -score))[:k]
-        out.append((np.full(len(best), query_id), ids[rows[best]], score[best]))
+        out.append((np.full(len(best), query_id), np.full(len(best), key), ids[rows[best]], score[best]))
     return [np.concatenate(c) for c in zip(*out, strict=True)]
 
 
@@ -166,7 +172,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, recall: float = RE
         return rows.sparkSession.createDataFrame([], out)
     taken = rows.orderBy(F.xxhash64("embedding"), "vec_id").limit(SAMPLE).toPandas()
     mean, rotations, radius = fit(np.stack(taken["embedding"]), total, k, recall)
-    query_rows = rows.filter(is_query)
+    query_rows = store(rows.filter(is_query).dropDuplicates(["vec_id", "embedding"]), "queries")
     row_blocks = -(-total // ROW_BLOCK)
 
     def searched(queries: DataFrame, radius: int) -> DataFrame:
@@ -175,7 +181,7 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, recall: float = RE
         def blocks(own: str, n: int, other: str, m: int, side: int, df: DataFrame) -> DataFrame:
             block = F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(n)).cast("int")
             return df.select(
-                block.alias(own), F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias(other), F.lit(side).alias("side"), "vec_id", "embedding"
+                block.alias(own), F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias(other), F.lit(side).alias("side"), "vec_id", "embedding", query_key().alias("query_key")
             )
 
         sent = blocks("row_block", row_blocks, "query_block", query_blocks, 0, rows).unionByName(
@@ -185,28 +191,32 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = K, recall: float = RE
         def run(group: pa.Table) -> pa.Table:
             side = group.column("side").to_numpy() == 1
             x, ids = _matrix(group.column("embedding")), group.column("vec_id").to_numpy()
-            columns = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
+            columns = [*np.zeros((3, 0), np.int64), np.zeros(0)]
             if side.any() and not side.all():
                 codes = encode(x, mean, rotations)
                 index = Index(codes[~side])
-                columns = search(x[side], ids[side], x[~side], ids[~side], codes[side], index, radius, k)
-            return pa.table(dict(zip(("query_id", "vec_id", "score"), columns, strict=True)))
+                keys = group.column("query_key").to_numpy()
+                columns = search(x[side], ids[side], keys[side], x[~side], ids[~side], codes[side], index, radius, k)
+            return pa.table(dict(zip(("query_id", "query_key", "vec_id", "score"), columns, strict=True)))
 
-        return sent.groupBy("row_block", "query_block").applyInArrow(run, "query_id long, vec_id long, score double")
+        found = "query_id long, query_key long, vec_id long, score double"
+        return sent.groupBy("row_block", "query_block").applyInArrow(run, found)
 
     def ranked(found: DataFrame) -> DataFrame:
-        order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+        order = Window.partitionBy("query_id", "query_key").orderBy(F.desc("score"), "vec_id")
         return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
 
     first = store(ranked(searched(query_rows, radius)), "found")
-    counts = first.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"))
+    counts = first.groupBy("query_id", "query_key").agg(F.count(F.lit(1)).alias("n"))
     wanted = min(k, total - 1)
-    short = query_rows.join(counts.filter(F.col("n") >= wanted), F.col("vec_id") == F.col("query_id"), "left_anti")
+    same = (F.col("vec_id") == F.col("query_id")) & (query_key() == F.col("query_key"))
+    short = query_rows.join(counts.filter(F.col("n") >= wanted), same, "left_anti")
     short = store(short, "short")
     found = first
     if not short.isEmpty():
         again = ranked(searched(short, rotations.shape[1]))
-        found = first.join(short, F.col("query_id") == short["vec_id"], "left_anti").unionByName(again)
+        keys = short.select(F.col("vec_id").alias("query_id"), query_key().alias("query_key"))
+        found = first.join(keys, ["query_id", "query_key"], "left_anti").unionByName(again.select(*first.columns))
     return found.select("query_id", "rank", "vec_id", "score")
 
 
