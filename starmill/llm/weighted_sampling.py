@@ -29,7 +29,7 @@ SEED = 41
 ID_BITS = 24
 RANGE_ROWS = 512
 MAX_RANGES = 100_000  # beyond, ranges hold more rows: the table of ranges is broadcast
-STEP = -7046029254386353131  # odd
+STEP = 40_503  # odd, so steps differ in the low bits
 
 
 def terms(text: Column) -> Column:
@@ -68,8 +68,9 @@ def draw(k: int) -> Column:
     step = F.floor(F.col("log_n") / r + beta)
     value = F.log(c) - r * (step - beta + 1)
     high = F.floor((F.least(F.greatest(value, F.lit(-127.0)), F.lit(127.0)) + 128) * 2.0**31)
-    sample = F.shiftrightunsigned(one.bitwiseXOR(step * F.lit(1_000_003) * F.lit(2_147_483_659)), 64 - ID_BITS)
-    return F.shiftleft(high, ID_BITS).bitwiseOR(sample)
+    # a step is below 2^36 (the logarithm of a count over the least gamma value), so the product fits
+    mixed = one.bitwiseXOR(two).bitwiseXOR(step * F.lit(STEP))
+    return F.shiftleft(high, ID_BITS).bitwiseOR(mixed.bitwiseAND(F.lit((1 << ID_BITS) - 1)))
 
 
 def draws(exploded: DataFrame, *key: str, k: int = K) -> DataFrame:

@@ -60,6 +60,22 @@ def test_few_vectors_give_all_candidates(spark):
     assert multi_index_hashing.nearest(df.filter("vec_id < 0"), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_repeated_queries_are_searched_once_and_each_vector_of_an_id_by_itself(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 8)).round(2)
+    rows = [(i, v.tolist(), 7, 0) for i, v in enumerate(x)] + [(20, x[20].tolist(), 7, 0)] * 2 + [(40, (-x[40]).tolist(), 7, 0)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, query_id int, rank int")
+    found = multi_index_hashing.nearest(df, F.col("vec_id") % 20 == 0, k=10).collect()
+    assert Counter(r.query_id for r in found) == {i: 20 if i == 40 else 10 for i in range(0, 300, 20)}
+    twenty = [r.vec_id for r in sorted(found, key=lambda r: r["rank"]) if r.query_id == 20]
+    assert len(set(twenty)) == 10
+    both = Counter((r["rank"], r.score > 0) for r in found if r.query_id == 40)
+    assert {rank for rank, _ in both} == set(range(1, 11)) and set(both.values()) <= {1, 2}
+    vectors = [(i, v) for i, v, _, _ in rows]
+    want = sorted((-float(np.dot(x[20], v)), i) for i, v in vectors if i != 20)[:10]
+    assert len({i for _, i in want} & set(twenty)) >= 8
+
+
 def test_probing_finds_every_code_within_the_radius():
     rng = np.random.default_rng(2)
     codes = rng.integers(0, 256, (500, 4), dtype=np.uint8)
@@ -161,6 +177,31 @@ def test_fingerprints_estimate_generalised_jaccard(spark, monkeypatch):
     assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.06
 
 
+def test_registered_draws_are_unbiased_and_as_close_as_their_number_allows(spark):
+    rng = random.Random(12)
+    texts = []
+    for i in range(150):
+        base = [f"t{i}x{rng.randrange(40)}" for _ in range(120)]
+        texts += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(base[: 120 - i // 2] + [f"u{i}x{rng.randrange(40)}" for _ in range(i // 2)]))]
+    prints = {r.doc_id: r.samples for r in weighted_sampling.fingerprint(documents(spark, texts)).collect()}
+    plain = dict(texts)
+    k = weighted_sampling.K
+    errors = [
+        sum(x == y for x, y in zip(prints[2 * i], prints[2 * i + 1])) / k - jaccard(plain[2 * i], plain[2 * i + 1])
+        for i in range(150)
+    ]
+    spread = 0.5 / k**0.5  # the standard error at one half, the greatest
+    assert all(len(p) == k for p in prints.values())
+    assert abs(np.mean(errors)) < 3 * spread / 150**0.5 and np.std(errors) < 1.2 * spread and np.abs(errors).max() < 4.5 * spread
+
+
+def test_steps_of_tiny_gamma_values_do_not_overflow(spark):
+    """A weight so great that each step is as long as that of the least gamma value."""
+    rows = spark.range(2000).select(F.concat(F.lit("t"), "id").alias("term"), F.lit(3e10).alias("log_n"))
+    found = rows.select(*[weighted_sampling.draw(k).alias(f"d{k}") for k in range(weighted_sampling.K)]).collect()
+    assert len({r.d0 for r in found}) == 2000 and all(d >= 0 for r in found for d in r)
+
+
 def test_each_document_meets_the_next_one(spark, monkeypatch):
     monkeypatch.setattr(weighted_sampling, "RANGE_ROWS", 7)
     texts = [(i * i, " ".join(words(5 + i, i))) for i in range(90)] + [(-5, ""), (10**12, None), (None, "last one")]
@@ -207,4 +248,5 @@ def test_licenses_base_places_and_suppression(spark):
 
 def test_empty_tables_give_no_rows(spark):
     none = documents(spark, []).limit(0)
+    assert weighted_sampling.fingerprint(none).count() == 0
     assert licenses.scan(none).count() == weighted_sampling.with_next(none).count() == 0
