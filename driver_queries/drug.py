@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from driver_queries import roles
 from driver_queries.registry import query
 from driver_queries.roles import table
+from starmill.operators import history
 from starmill.operators.aggregates import snapshot_probe
 from starmill.operators.setops import conform
 from starmill.plans import drug, scheduled
@@ -275,3 +276,60 @@ def drug_event_ids(spark, sf):
         (F.max("drug_event_id") - F.min("drug_event_id") + 1).alias("span"),
         F.min("drug_event_id").alias("first_id"),
     )
+
+
+# --- price history -------------------------------------------------------------------------
+
+# a snapshot a month, which holds the greatest price of each code in that month
+PRICE_HISTORY_SQL = f"""{roles.PRICING_SQL},
+price_list AS (SELECT ndc, date_trunc('month', as_of_date)::TIMESTAMP AS month, max((nadac_per_unit, otc)) AS state
+               FROM pricing WHERE as_of_date IS NOT NULL GROUP BY ALL),
+months AS (SELECT month, lead(month) OVER (ORDER BY month) AS next_month, row_number() OVER (ORDER BY month) AS pos
+           FROM (SELECT DISTINCT month FROM price_list)),
+listed AS (SELECT *, lag(pos) OVER w AS pos_before, lag(state) OVER w AS state_before FROM price_list JOIN months USING (month)
+           WINDOW w AS (PARTITION BY ndc ORDER BY pos)),
+runs AS (SELECT *, sum(CASE WHEN pos_before + 1 = pos AND state_before IS NOT DISTINCT FROM state THEN 0 ELSE 1 END)
+         OVER (PARTITION BY ndc ORDER BY pos) AS run FROM listed),
+history AS (SELECT ndc, any_value(state)[1] AS nadac_per_unit, any_value(state)[2] AS otc, min(month) AS valid_from,
+                   CASE WHEN max(pos) < (SELECT max(pos) FROM months) THEN max(next_month) END AS valid_to
+            FROM runs GROUP BY ndc, run)"""
+OLD, NEW = "1996-03-15", "1997-09-01"
+
+
+def _held(day: str) -> str:
+    return f"valid_from <= TIMESTAMP '{day}' AND (valid_to IS NULL OR valid_to > TIMESTAMP '{day}')"
+
+
+def price_intervals(spark, sf):
+    prices = drug.build_pricing(roles.raw_pricing(spark, sf))
+    month = F.date_trunc("month", "as_of_date").cast("timestamp_ntz")
+    return history.validity(prices.withColumn("month", month), ["ndc"], "month", ["nadac_per_unit", "otc"])
+
+
+@query("price_history", f"WITH {PRICE_HISTORY_SQL} SELECT * FROM history")
+def price_history(spark, sf):
+    """Each code's prices with the months in which they held."""
+    return price_intervals(spark, sf)
+
+
+@query("price_as_of", f"WITH {PRICE_HISTORY_SQL} SELECT ndc, nadac_per_unit, otc FROM history WHERE {_held(OLD)}")
+def price_as_of(spark, sf):
+    """The price list of a past day."""
+    when = F.lit(OLD).cast("timestamp_ntz")
+    return history.as_of(price_intervals(spark, sf), when).select("ndc", "nadac_per_unit", "otc")
+
+
+@query(
+    "price_changes",
+    f"""WITH {PRICE_HISTORY_SQL},
+    old AS (SELECT * FROM history WHERE {_held(OLD)}), new AS (SELECT * FROM history WHERE {_held(NEW)})
+    SELECT ndc, CASE WHEN old.valid_from IS NULL THEN 'insert' WHEN new.valid_from IS NULL THEN 'close' ELSE 'change' END AS change,
+           old.nadac_per_unit AS old_nadac_per_unit, new.nadac_per_unit AS new_nadac_per_unit,
+           old.otc AS old_otc, new.otc AS new_otc
+    FROM old FULL JOIN new USING (ndc)
+    WHERE old.valid_from IS NULL OR new.valid_from IS NULL OR (old.nadac_per_unit, old.otc) <> (new.nadac_per_unit, new.otc)""",
+)
+def price_changes(spark, sf):
+    """What was inserted, changed and closed between two days."""
+    days = [F.lit(d).cast("timestamp_ntz") for d in (OLD, NEW)]
+    return history.changes(price_intervals(spark, sf), ["ndc"], ["nadac_per_unit", "otc"], *days)

@@ -18,9 +18,12 @@ from starmill.operators.upserts import insert_if_absent, merge_latest
 from starmill.plans import music, query_first, scheduled
 from starmill.schemas import MUSIC_TABLES, QUERY_FIRST_TABLES, RAW_EVENTS, RAW_EVENTS_CSV, RAW_SONGS
 from starmill.session import scratch_path
+from starmill.sinks import hashed, known_keys
 from starmill.sinks import tables as sinks
 from starmill.sources import files
-from starmill.streaming.incremental import append_stream, latest_stream, new_files
+from starmill.streaming.incremental import (
+    append_stream, append_unknown_stream, latest_stream, latest_touched_stream, new_files,
+)
 
 MIDDLE = "2024-01-15"
 
@@ -277,6 +280,47 @@ def incremental_latest(spark, sf):
     return spark.table(name)
 
 
+@query("upsert_latest_touched", UPSERT_SQL)
+def upsert_latest_touched(spark, sf):
+    """The history in three batches, and the last one again, into a table of 16 directories."""
+    path = scratch_path(spark, "users-hashed")
+    rows = user_rows(roles.history(spark, sf))
+    hashed.create_hashed(spark, path, rows.schema, ["user_id"], 16)
+    early, late = halves(rows, "last_start_time")
+    few = F.col("user_id") % 97 == 0
+    for batch in (early, late.filter(~few | few.isNull()), late.filter(few), late.filter(few)):
+        hashed.merge_touched(spark, batch, path, "last_start_time", ["level"])
+    return hashed.read_hashed(spark, path)
+
+
+@query("incremental_latest_touched", UPSERT_SQL)
+def incremental_latest_touched(spark, sf):
+    base = scratch_path(spark, "incremental-hashed")
+    rows = user_rows(roles.history(spark, sf))
+    hashed.create_hashed(spark, f"{base}/out", rows.schema, ["user_id"], 8)
+    for delivery in halves(rows, "last_start_time"):
+        delivery.write.mode("append").parquet(f"{base}/in")
+        stream = new_files(spark, f"{base}/in", rows.schema, "parquet")
+        latest_touched_stream(
+            stream, f"{base}/out", "last_start_time", ["level"], f"{base}/checkpoint"
+        ).awaitTermination()
+    return hashed.read_hashed(spark, f"{base}/out")
+
+
+@query("incremental_load_bitmap", "SELECT event_id, ts, user_id, event_type, value FROM events")
+def incremental_load_bitmap(spark, sf):
+    """Two deliveries by stream, the second repeating all of the first; then all again as a batch."""
+    base = scratch_path(spark, "incremental-bitmap")
+    events = table(spark, sf, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    early, _ = halves(events)
+    for delivery in (early, events):
+        delivery.write.mode("append").parquet(f"{base}/in")
+        stream = new_files(spark, f"{base}/in", events.schema, "parquet")
+        append_unknown_stream(stream, f"{base}/out", "event_id", f"{base}/checkpoint").awaitTermination()
+    known_keys.append_unknown(spark, events, f"{base}/out", "event_id")
+    return files.read_table(spark, f"{base}/out", events.schema)
+
+
 # --- layouts -------------------------------------------------------------------------------
 
 

@@ -40,9 +40,10 @@ def insert_if_absent(
     return existing.unionByName(new_rows(existing, batch, keys, order))
 
 
-def _fold(rows: DataFrame, keys: list[str], order: str, changing: list[str], fixed: list[str]) -> DataFrame:
-    # at most two rows per key; _batch 0 = already in the table: it names the fixed columns
-    # and wins a tie on order
+def fold_latest(rows: DataFrame, keys: list[str], order: str, changing: list[str], fixed: list[str]) -> DataFrame:
+    """Stored (``_batch`` 0) and incoming rows (1) of each key to one; a stored row names the fixed
+    columns and wins a tie on order."""
+    # at most two rows per key
     return (
         rows.groupBy(*keys)
         .agg(
@@ -74,7 +75,7 @@ def merge_latest(
         small = F.broadcast(batch_keys)
         touched = _by_key(existing, small, keys, "left_semi").withColumn("_batch", F.lit(0))
         untouched = _by_key(existing, small, keys, "left_anti")
-        merged = _fold(touched.unionByName(incoming), keys, order, changing, fixed)
+        merged = fold_latest(touched.unionByName(incoming), keys, order, changing, fixed)
         return untouched.unionByName(merged)
     rows = existing.withColumn("_batch", F.lit(0)).unionByName(incoming)
-    return _fold(rows, keys, order, changing, fixed).select(*columns)
+    return fold_latest(rows, keys, order, changing, fixed).select(*columns)

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from starmill.sinks.hashed import merge_touched
+from starmill.sinks.known_keys import append_unknown
 from starmill.sinks.tables import append_new, upsert_latest_into
 
 
@@ -66,3 +68,27 @@ def latest_stream(
         batch.unpersist()
 
     return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def append_unknown_stream(
+    stream: DataFrame, path: str, key: str, checkpoint: str, order: Sequence[str] = ()
+) -> StreamingQuery:
+    """As ``append_stream`` for an integer key; batches meet key bitmaps, not the table."""
+
+    def load(batch: DataFrame, _: int) -> None:
+        batch.persist()
+        append_unknown(batch.sparkSession, batch, path, key, order)
+        batch.unpersist()
+
+    return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def latest_touched_stream(
+    stream: DataFrame, path: str, order: str, changing: Sequence[str], checkpoint: str
+) -> StreamingQuery:
+    """Keep a table made by ``create_hashed`` at the latest values; a batch rewrites the directories it touches."""
+
+    def load(batch: DataFrame, _: int) -> None:
+        merge_touched(batch.sparkSession, batch, path, order, changing)  # stages the batch itself
+
+    return stream.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
