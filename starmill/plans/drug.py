@@ -13,10 +13,11 @@ from starmill.functions.nested import explode_structs, explode_values
 from starmill.operators.aggregates import trend
 from starmill.operators.dedupe import last_per_key
 from starmill.operators.filters import drop_incomplete, require_text, require_values
-from starmill.operators.joins import lookup_join
+from starmill.operators.joins import fits_broadcast, lookup_join
 from starmill.operators.setops import union_distinct
 from starmill.operators.surrogate import dense_ids
 from starmill.schemas import DRUG_TABLES
+from starmill.session import scratch_path
 from starmill.sources.snapshots import snapshots
 
 SERIOUSNESS = [
@@ -45,10 +46,24 @@ def latest_reports(results: DataFrame) -> DataFrame:
     """One version per report: the last received, whole with its drugs and reactions.
 
     A report delivered again, or followed up, then counts once; its other columns decide between
-    versions of one date. Reports without an id cannot be told apart and stay out.
+    versions of one date. Reports without an id cannot be told apart and stay out. The ids
+    alone are counted first: most reports have one version and are neither sorted nor moved.
     """
+    spark = results.sparkSession
     known = results.filter(F.col("safetyreportid").isNotNull())
-    return last_per_key(known, ["safetyreportid"], ["receiptdate"])
+    counts = known.groupBy("safetyreportid").agg(F.count(F.lit(1)).alias("_n"))
+    repeated = counts.filter(F.col("_n") > 1).select("safetyreportid")
+    if repeated.isEmpty():
+        return known
+    path = scratch_path(spark, "repeated-reports")
+    repeated.write.parquet(path)
+    repeated = spark.read.schema(repeated.schema).parquet(path)
+    if not fits_broadcast(repeated):  # then all reports have to move in any case
+        return last_per_key(known, ["safetyreportid"], ["receiptdate"])
+    marks = F.broadcast(repeated)
+    versions = known.join(marks, "safetyreportid", "left_semi").select(*known.columns)
+    once = known.join(marks, "safetyreportid", "left_anti").select(*known.columns)
+    return once.unionByName(last_per_key(versions, ["safetyreportid"], ["receiptdate"]))
 
 
 def build_drug_events(results: DataFrame) -> DataFrame:
@@ -70,15 +85,16 @@ def build_reactions(results: DataFrame) -> DataFrame:
     return require_text(rows.select("reactionmeddrapt", "safetyreportid"), ["reactionmeddrapt"])
 
 
-def build_safety_reports(results: DataFrame) -> DataFrame:
-    """Distinct report headers with dates and flags."""
-    return results.select(
+def build_safety_reports(results: DataFrame, one_version: bool = False) -> DataFrame:
+    """Distinct report headers with dates and flags; with ``one_version`` ids are known to be unique."""
+    headers = results.select(
         "safetyreportid",
         F.col("patient.patientdeath").isNotNull().alias("patientdeath"),
         parse_date(F.col("receiptdate")).alias("receiptdate"),
         parse_date(F.col("receivedate")).alias("receivedate"),
         *[flag(F.col(c)).alias(c) for c in SERIOUSNESS],
-    ).distinct()
+    )
+    return headers if one_version else headers.distinct()
 
 
 def build_pricing(raw: DataFrame, latest_only: bool = False) -> DataFrame:
@@ -108,7 +124,7 @@ def build_warehouse(
         "ndc": build_ndc(labels, pricing),
         "drug_events": build_drug_events(report_results),
         "reactions": build_reactions(report_results),
-        "safety_reports": build_safety_reports(report_results),
+        "safety_reports": build_safety_reports(report_results, one_version=True),
     }
 
 

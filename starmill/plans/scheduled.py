@@ -12,7 +12,9 @@ from starmill.functions.clean import fit_widths
 from starmill.operators.quality import run_checks
 from starmill.plans import drug, music
 from starmill.schemas import DRUG_TABLES, MUSIC_TABLES, RAW_EVENTS, RAW_SONGS, create_tables, table_checks
-from starmill.sinks.tables import append_new, load_fact, load_partitions, refresh_table, upsert_latest_into, write_table
+from starmill.sinks.tables import (
+    append_new, in_partitions, load_fact, load_partitions, refresh_table, upsert_latest_into, write_table,
+)
 from starmill.sources.files import read_table, stage
 
 
@@ -52,7 +54,7 @@ def run(
     star = {name: spark.table(full) for name, full in names.items()}
     if check:
         # a key determines its month, so the months of this run hold all that could be wrong in them
-        loaded = {name: star[name].filter(months) for name, months in touched.items()}
+        loaded = {name: in_partitions(star[name], months) for name, months in touched.items()}
         run_checks(spark, table_checks(MUSIC_TABLES, star, loaded))
     return star
 

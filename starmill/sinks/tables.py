@@ -7,12 +7,15 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmill.operators.dedupe import last_per_key
+from starmill.operators.dedupe import first_per_key, last_per_key
+from starmill.operators.joins import fits_broadcast
 from starmill.operators.upserts import merge_latest, new_rows
+from starmill.session import scratch_path
+from starmill.sinks import paths
 
 
 def write_table(
@@ -69,21 +72,44 @@ def write_bucketed(df: DataFrame, table: str, path: str, key: Sequence[str], buc
 
 def load_partitions(
     df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str], sort_by: Sequence[str] = ()
-) -> Column:
+) -> DataFrame:
     """Add the rows whose key their partition does not hold yet; nothing stored is lost.
 
-    Late rows join the partition they belong to, and loading a batch again changes nothing. Only
-    the partitions named in the batch are read, so a key must determine its partition. Returns
-    the condition that selects those partitions.
+    Late rows join the partition they belong to, and loading a batch again changes nothing. The
+    batch is computed once. Only the partitions named in it are read, so a key must determine its
+    partition. Returns those partitions, one row each; see ``in_partitions``.
     """
-    by = list(partition_by)
-    existing = ensure_table(df.sparkSession, path, df.schema, by)
-    named = df.select(*by).distinct().collect()  # one row per directory of the batch
-    here = [reduce(and_, [F.col(c).eqNullSafe(F.lit(row[c])) for c in by]) for row in named]
-    touched = reduce(or_, here, F.lit(False))
-    added = new_rows(existing.filter(touched), df, list(keys)).select(*df.columns)
+    spark, by = df.sparkSession, list(partition_by)
+    existing = ensure_table(spark, path, df.schema, by)
+    staged, listed = scratch_path(spark, "batch"), scratch_path(spark, "partitions")
+    df.write.parquet(staged)
+    batch = spark.read.schema(df.schema).parquet(staged)
+    batch.select(*by).distinct().write.parquet(listed)
+    named = spark.read.schema(batch.select(*by).schema).parquet(listed)
+    if paths.folders(spark, path):
+        added = new_rows(in_partitions(existing, named), batch, list(keys)).select(*df.columns)
+    else:  # nothing is stored yet
+        added = first_per_key(batch, list(keys))
     write_table(added, path, mode="append", partition_by=by, sort_by=sort_by)
-    return touched
+    paths.remove(spark, staged)
+    return named
+
+
+def in_partitions(table: DataFrame, named: DataFrame) -> DataFrame:
+    """The rows of a partitioned table in the given partitions; the other directories are not read.
+
+    Equal values prune directories while the query runs, however many they are; a NULL partition is
+    looked for only if it is asked for.
+    """
+    by = named.columns
+    missing = reduce(or_, [F.col(c).isNull() for c in by])
+    marks = F.broadcast(named) if fits_broadcast(named) else named
+    rows = table.join(marks.filter(~missing), by, "left_semi")
+    if named.filter(missing).isEmpty():
+        return rows
+    other = named.filter(missing).select(*[F.col(c).alias(f"_part_{c}") for c in by])
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_part_{c}")) for c in by])
+    return rows.unionByName(table.filter(missing).join(other, same, "left_semi"))
 
 
 # quotes are doubled inside fields, and text keeps its leading and trailing blanks
