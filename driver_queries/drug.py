@@ -333,3 +333,25 @@ def price_changes(spark, sf):
     """What was inserted, changed and closed between two days."""
     days = [F.lit(d).cast("timestamp_ntz") for d in (OLD, NEW)]
     return history.changes(price_intervals(spark, sf), ["ndc"], ["nadac_per_unit", "otc"], *days)
+
+
+# --- leading reactions ---------------------------------------------------------------------
+
+
+@query(
+    "leading_reactions",
+    f"""WITH {roles.SAFETY_REPORTS_SQL}, {roles.REPORT_DRUGS_SQL}, {roles.REACTIONS_SQL},
+    counts AS (SELECT formatted_ndc, reactionmeddrapt, CAST(date_trunc('month', receivedate) AS DATE) AS period, count(*) AS n
+               FROM drug_events JOIN safety_reports USING (safetyreportid) JOIN reactions USING (safetyreportid)
+               WHERE receivedate IS NOT NULL GROUP BY ALL),
+    ranked AS (SELECT formatted_ndc, period, CAST(row_number() OVER (PARTITION BY formatted_ndc, period
+               ORDER BY n DESC, reactionmeddrapt) AS INTEGER) AS rank, reactionmeddrapt, n FROM counts),
+    calendar AS (SELECT formatted_ndc, CAST(unnest(generate_series(min(period), max(period), INTERVAL 1 MONTH)) AS DATE) AS period
+                 FROM counts GROUP BY formatted_ndc)
+    SELECT * FROM ranked WHERE rank <= 3
+    UNION ALL SELECT formatted_ndc, period, 0, NULL, 0 FROM calendar ANTI JOIN counts USING (formatted_ndc, period)""",
+)
+def leading_reactions(spark, sf):
+    """The three reactions named most with each code in each month, months without any among them."""
+    w = warehouse(spark, sf, "reports")
+    return drug.leading_reactions(w["drug_events"], w["reactions"], w["safety_reports"])

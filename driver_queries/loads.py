@@ -18,7 +18,7 @@ from starmill.operators.upserts import insert_if_absent, merge_latest
 from starmill.plans import music, query_first, scheduled
 from starmill.schemas import MUSIC_TABLES, QUERY_FIRST_TABLES, RAW_EVENTS, RAW_EVENTS_CSV, RAW_SONGS
 from starmill.session import scratch_path
-from starmill.sinks import hashed, known_keys
+from starmill.sinks import compaction, counted, hashed, interleaved, known_keys
 from starmill.sinks import tables as sinks
 from starmill.sources import files
 from starmill.streaming.incremental import (
@@ -103,6 +103,35 @@ def scheduled_run(spark, sf):
     return star["songplays"].withColumn("session_id", F.col("session_id").cast("bigint"))
 
 
+@query(
+    "scheduled_load_report",
+    f"""WITH {STAR_SQL}, written AS (
+      SELECT 'songs' AS table_name, (SELECT count(*) FROM raw_songs) AS rows_in, (SELECT count(*) FROM songs) AS rows_out
+      UNION ALL SELECT 'artists', (SELECT count(*) FROM raw_songs), (SELECT count(*) FROM artists)
+      UNION ALL SELECT 'users', (SELECT count(*) FROM raw_events), (SELECT count(*) FROM users)
+      UNION ALL SELECT 'time', (SELECT count(*) FROM raw_events), (SELECT count(*) FROM times)
+      UNION ALL SELECT 'songplays', (SELECT count(*) FROM raw_events), (SELECT count(*) FROM songplays))
+    SELECT 1 AS run, * FROM written
+    UNION ALL SELECT 2, table_name, rows_in, CASE WHEN table_name = 'users' THEN rows_out ELSE 0 END FROM written""",
+)
+def scheduled_load_report(spark, sf):
+    """What two runs over the same files read and wrote; the second adds nothing."""
+    base = scratch_path(spark, "scheduled-report")
+    database = "starmill_" + base.rsplit("-", 1)[1]
+    log = roles.app_log(spark, sf).withColumn("sessionId", F.col("sessionId").cast("int"))
+    log.write.json(f"{base}/log/2018/11")
+    roles.raw_songs(spark, sf).drop("p_partkey").write.json(f"{base}/songs")
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{base}/database'")
+    template, rows = base + "/log/{execution_date.year}/{execution_date.month}", []
+    for run in (1, 2):
+        counts = {}
+        scheduled.run(
+            spark, date(2018, 11, 1), template, f"{base}/songs", f"{base}/house", database, check=False, counts=counts
+        )
+        rows += [(run, name, *found) for name, found in counts.items()]
+    return spark.createDataFrame(rows, "run int, table_name string, rows_in long, rows_out long")
+
+
 # --- files ---------------------------------------------------------------------------------
 
 
@@ -186,6 +215,50 @@ def late_rows_across_months(spark, sf):
     return files.read_table(spark, path, orders.schema).select(*orders.columns)
 
 
+@query(
+    "compacted_partitions",
+    """SELECT o_orderkey, o_orderdate, o_totalprice, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders""",
+)
+def compacted_partitions(spark, sf):
+    """A table of many small files, compacted twice."""
+    path = scratch_path(spark, "small-files")
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", "o_orderdate", "o_totalprice", F.year("o_orderdate").alias("year")
+    )
+    orders.repartition(6, "o_orderkey").write.partitionBy("year").parquet(path)
+    for _ in range(2):
+        compaction.compact(spark, path, ["year"], ["o_orderkey"])
+    return files.read_table(spark, path, orders.schema)
+
+
+@query(
+    "interleaved_filters",
+    """SELECT l_orderkey, l_linenumber, l_partkey, l_shipdate FROM lineitem
+    WHERE l_partkey BETWEEN 100 AND 150 OR l_shipdate BETWEEN TIMESTAMP '1995-03-01' AND TIMESTAMP '1995-04-15'""",
+)
+def interleaved_filters(spark, sf):
+    """Lines laid along the curve of part and date, asked for by either."""
+    path = scratch_path(spark, "interleaved")
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_shipdate")
+    interleaved.write_interleaved(lines, path, ["l_partkey", "l_shipdate"])
+    stored = files.read_table(spark, path, lines.schema)
+    days = [F.lit(d).cast("timestamp_ntz") for d in ("1995-03-01", "1995-04-15")]
+    return stored.filter(F.col("l_partkey").between(100, 150) | F.col("l_shipdate").between(*days))
+
+
+@query(
+    "counted_load",
+    """SELECT 'orders' AS table_name, count(*) AS rows_in,
+           count(*) FILTER (WHERE NOT (o_totalprice < 1000 OR o_orderstatus = 'P')) AS rows_out,
+           count(*) FILTER (WHERE o_totalprice < 1000 OR o_orderstatus = 'P') AS rejected FROM orders""",
+)
+def counted_load(spark, sf):
+    """Counts of a load that turns rows away, taken while it writes."""
+    rules = {"cheap": F.col("o_totalprice") < 1000, "pending": F.col("o_orderstatus") == "P"}
+    counts = counted.write_counted(table(spark, sf, "orders"), scratch_path(spark, "counted"), rules)
+    return counted.report(spark, {"orders": counts})
+
+
 # --- upserts -------------------------------------------------------------------------------
 
 LINE_COLUMNS = ["l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmill.functions.clean import flag, parse_date, parse_timestamp
@@ -222,6 +222,37 @@ def reaction_trend(
     return trend(weighted, [attribute, "reactionmeddrapt"], F.col("receivedate"), unit, weight="_pairs")
 
 
+def leading_reactions(
+    drug_events: DataFrame, reactions: DataFrame, safety_reports: DataFrame, k: int = 3, unit: str = "MONTH"
+) -> DataFrame:
+    """The ``k`` reactions most often reported with each code in each period, with a row for empty periods.
+
+    Columns: formatted_ndc, period, rank, reactionmeddrapt, n. Equal counts rank by name. Codes run from
+    their first to their last period; a period without reports has rank 0, no reaction and n 0.
+
+    Pairs are counted per (code, reaction, period) before anything is ranked, and each task keeps the
+    first ``k`` of a code and period before the shuffle, so no task holds all of a code's reactions.
+    """
+    rank_of = ["formatted_ndc", "period"]
+    drugs = drug_events.groupBy("safetyreportid", "formatted_ndc").agg(F.count(F.lit(1)).alias("_drugs"))
+    dated = drugs.join(safety_reports.select("safetyreportid", "receivedate"), "safetyreportid")
+    pairs = dated.join(_reaction_counts(reactions), "safetyreportid")
+    weighted = pairs.withColumn("_pairs", F.col("_drugs") * F.col("_reactions"))
+    counts = trend(weighted, ["formatted_ndc", "reactionmeddrapt"], F.col("receivedate"), unit, weight="_pairs")
+    path = scratch_path(counts.sparkSession, "reaction-counts")
+    counts.filter(F.col("period").isNotNull()).write.parquet(path)
+    counts = counts.sparkSession.read.schema(counts.schema).parquet(path)
+    order = Window.partitionBy(*rank_of).orderBy(F.desc("n"), "reactionmeddrapt")
+    leading = counts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+    spans = counts.groupBy("formatted_ndc").agg(F.min("period").alias("_first"), F.max("period").alias("_last"))
+    step = F.expr(f"interval 1 {unit}")
+    calendar = spans.select("formatted_ndc", F.explode(F.sequence("_first", "_last", step)).alias("period"))
+    empty = calendar.join(counts.select(*rank_of).distinct(), rank_of, "left_anti").select(
+        *rank_of, F.lit(0).alias("rank"), F.lit(None).cast("string").alias("reactionmeddrapt"), F.lit(0).cast("long").alias("n")
+    )
+    return leading.select(*rank_of, "rank", "reactionmeddrapt", "n").unionByName(empty)
+
+
 def drug_profile(
     labels: DataFrame, pricing: DataFrame, drug_events: DataFrame, reactions: DataFrame
 ) -> DataFrame:

@@ -13,7 +13,7 @@ from starmill.operators.quality import run_checks
 from starmill.plans import drug, music
 from starmill.schemas import DRUG_TABLES, MUSIC_TABLES, RAW_EVENTS, RAW_SONGS, create_tables, table_checks
 from starmill.sinks.tables import (
-    append_new, in_partitions, load_fact, load_partitions, refresh_table, upsert_latest_into, write_table,
+    RowCount, append_new, in_partitions, load_fact, load_partitions, refresh_table, upsert_latest_into, write_table,
 )
 from starmill.sources.files import read_table, stage
 
@@ -21,37 +21,49 @@ from starmill.sources.files import read_table, stage
 def run(
     spark: SparkSession, run_date: date | datetime, events_template: str, songs_template: str,
     warehouse: str, database: str = "default", events_mapping: Mapping[str, str] | None = None,
-    check: bool = True,
+    check: bool = True, counts: dict[str, tuple[int, int]] | None = None,
 ) -> dict[str, DataFrame]:
     """Load the star for one run date; the same run again leaves the tables as they are.
 
+    ``counts`` is filled with (rows staged from the table's source, rows written) by table name, as the
+    writes count them; no table is read again for it.
+
     Facts and times join their months by key, so late rows are added and none is lost.
     Songs and artists gain the ids they lack, users take the most recent level. All five
     are tables of ``database``, ready for SQL. Times and facts are checked in the months of the run.
     """
+    events_in, songs_in = RowCount(), RowCount()
     staged_events = stage(
         spark, events_template, run_date, RAW_EVENTS, "json", mapping=events_mapping,
-        to=f"{warehouse}/staging_events",
+        to=f"{warehouse}/staging_events", count=events_in,
     )
-    staged_songs = stage(spark, songs_template, run_date, RAW_SONGS, "json", to=f"{warehouse}/staging_songs")
+    staged_songs = stage(
+        spark, songs_template, run_date, RAW_SONGS, "json", to=f"{warehouse}/staging_songs", count=songs_in
+    )
+    written = {name: RowCount() for name in MUSIC_TABLES}
     create_tables(spark, MUSIC_TABLES, warehouse, database)
     paths = {name: f"{warehouse}/{name}" for name in MUSIC_TABLES}
     names = {name: f"{database}.{name}" for name in MUSIC_TABLES}
 
     for name, df in zip(("songs", "artists"), music.build_catalogue(staged_songs)):
         table = MUSIC_TABLES[name]
-        append_new(spark, df, paths[name], table.key, partition_by=table.partition_by, sort_by=table.sort_by)
+        append_new(spark, df, paths[name], table.key, partition_by=table.partition_by, sort_by=table.sort_by, count=written[name])
         refresh_table(spark, names[name])
     songs, artists = spark.table(names["songs"]), spark.table(names["artists"])
 
     users, time, songplays = music.build_plays(music.normalise_events(staged_events), songs, artists)
-    upsert_latest_into(spark, users, names["users"], paths["users"], ["user_id"], "last_start_time", ["level"])
+    upsert_latest_into(
+        spark, users, names["users"], paths["users"], ["user_id"], "last_start_time", ["level"], written["users"]
+    )
     touched = {}
     for name, df in (("time", time), ("songplays", songplays)):
         table = MUSIC_TABLES[name]
-        touched[name] = load_partitions(df, paths[name], table.key, table.partition_by, table.sort_by)
+        touched[name] = load_partitions(df, paths[name], table.key, table.partition_by, table.sort_by, written[name])
         refresh_table(spark, names[name])
     star = {name: spark.table(full) for name, full in names.items()}
+    if counts is not None:
+        sources = {name: songs_in if name in ("songs", "artists") else events_in for name in MUSIC_TABLES}
+        counts.update({name: (sources[name].rows, written[name].rows) for name in MUSIC_TABLES})
     if check:
         # a key determines its month, so the months of this run hold all that could be wrong in them
         loaded = {name: in_partitions(star[name], months) for name, months in touched.items()}

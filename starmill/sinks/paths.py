@@ -39,3 +39,16 @@ def replace(spark: SparkSession, source: str, target: str) -> None:
     files.delete(place, True)
     if not files.rename(folder, place):
         raise OSError(f"cannot move {source} to {target}")
+
+
+def files_below(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Names of the data files below a folder by their directory's path from it."""
+    files, folder = _at(spark, path)
+    base, found = files.makeQualified(folder).toUri().getPath(), {}
+    listing = files.listFiles(folder, True)
+    while listing.hasNext():
+        file = listing.next().getPath()
+        if not file.getName().startswith(("_", ".")):
+            directory = file.getParent().toUri().getPath().removeprefix(base).strip("/")
+            found.setdefault(directory, []).append(file.getName())
+    return found

@@ -7,7 +7,8 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,6 +19,27 @@ from starmill.session import scratch_path
 from starmill.sinks import paths
 
 
+class RowCount:
+    """The number of rows that pass through a DataFrame when it is written; 0 if it never is."""
+
+    def __init__(self):
+        self._observation, self._used = Observation(), False
+
+    def on(self, df: DataFrame) -> DataFrame:
+        """The same rows, counted by the next action on them alone."""
+        self._used = True
+        return df.observe(self._observation, F.count(F.lit(1)).alias("rows"))
+
+    @property
+    def rows(self) -> int:
+        if not self._used:
+            return 0
+        try:
+            return self._observation.get["rows"]
+        except Py4JJavaError:  # no metric: the planner saw while running that there are no rows, and cut the count
+            return 0
+
+
 def write_table(
     df: DataFrame, path: str, mode: str = "overwrite",
     partition_by: Sequence[str] = (), sort_by: Sequence[str] = (),
@@ -71,8 +93,9 @@ def write_bucketed(df: DataFrame, table: str, path: str, key: Sequence[str], buc
 
 
 def load_partitions(
-    df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str], sort_by: Sequence[str] = ()
-) -> DataFrame:
+    df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str], sort_by: Sequence[str] = (),
+    count: RowCount | None = None,
+) -> DataFrame:
     """Add the rows whose key their partition does not hold yet; nothing stored is lost.
 
     Late rows join the partition they belong to, and loading a batch again changes nothing. The
@@ -90,7 +113,7 @@ def load_partitions(
         added = new_rows(in_partitions(existing, named), batch, list(keys)).select(*df.columns)
     else:  # nothing is stored yet
         added = first_per_key(batch, list(keys))
-    write_table(added, path, mode="append", partition_by=by, sort_by=sort_by)
+    write_table(count.on(added) if count else added, path, mode="append", partition_by=by, sort_by=sort_by)
     paths.remove(spark, staged)
     return named
 
@@ -152,12 +175,12 @@ def load_dimension(
 
 def append_new(
     spark: SparkSession, batch: DataFrame, path: str, keys: Sequence[str], order: Sequence[str] = (),
-    partition_by: Sequence[str] = (), sort_by: Sequence[str] = (),
+    partition_by: Sequence[str] = (), sort_by: Sequence[str] = (), count: RowCount | None = None,
 ) -> None:
     """Append the batch rows whose key the table does not hold yet (insert or do nothing)."""
     existing = ensure_table(spark, path, batch.schema)
     added = new_rows(existing, batch, list(keys), list(order)).select(*batch.columns)
-    write_table(added, path, mode="append", partition_by=partition_by, sort_by=sort_by)
+    write_table(count.on(added) if count else added, path, mode="append", partition_by=partition_by, sort_by=sort_by)
 
 
 def publish(spark: SparkSession, table: str, path: str) -> None:
@@ -178,7 +201,7 @@ def refresh_table(spark: SparkSession, table: str) -> None:
 
 def upsert_latest_into(
     spark: SparkSession, batch: DataFrame, table: str, base: str,
-    keys: Sequence[str], order: str, changing: Sequence[str],
+    keys: Sequence[str], order: str, changing: Sequence[str], count: RowCount | None = None,
 ) -> None:
     """Merge the batch into a catalog table whose folders lie under ``base``; see ``merge_latest``.
 
@@ -188,7 +211,8 @@ def upsert_latest_into(
     known = spark.catalog.tableExists(table)
     existing = spark.table(table) if known else spark.createDataFrame([], batch.schema)
     path = f"{base}/{uuid.uuid4().hex}"
-    write_table(merge_latest(existing, batch, list(keys), order, list(changing)), path, sort_by=keys)
+    merged = merge_latest(existing, batch, list(keys), order, list(changing))
+    write_table(count.on(merged) if count else merged, path, sort_by=keys)
     publish(spark, table, path)
 
 

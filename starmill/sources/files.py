@@ -122,10 +122,12 @@ def render_path(template: str, run_date: date | datetime) -> str:
 def stage(
     spark: SparkSession, path_template: str, run_date: date | datetime, schema: T.StructType,
     fmt: str = "csv", sep: str = ",", header: bool = True, mapping: Mapping[str, str] | None = None,
-    to: str | None = None, on_bad: str = "fail",
+    to: str | None = None, on_bad: str = "fail", count=None,
 ) -> DataFrame:
     """Load one run's raw files; with ``to``, clear that staging table and fill it first.
 
+    ``count``, a ``RowCount``, then counts the rows as they are written.
+
     ``mapping`` is ``{column: dotted source path}``; without it columns match by name.
     ``header`` applies to CSV only. Broken rows are errors, or with ``on_bad="keep"`` staged in
     ``_bad_row``: see ``split_bad_rows``.
@@ -142,5 +144,5 @@ def stage(
     staged = pick_paths(raw, mapping) if mapping else raw
     if to is None:
         return staged
-    staged.write.mode("overwrite").parquet(to)
+    (count.on(staged) if count else staged).write.mode("overwrite").parquet(to)
     return spark.read.schema(staged.schema).parquet(to)
