@@ -14,6 +14,7 @@ from starmill.operators.setops import conform
 from starmill.plans import drug, scheduled
 from starmill.schemas import RAW_PRICING
 from starmill.session import scratch_path
+from starmill.sinks.colocated import count_colocated, write_colocated
 from starmill.sinks.tables import write_table
 from starmill.sources.files import read_documents, read_table
 from starmill.sources.snapshots import snapshots
@@ -155,6 +156,27 @@ def report_join(spark, sf):
     return drug.report_join(w["safety_reports"], w["drug_events"], w["reactions"])
 
 
+@query(
+    "report_join_stored",
+    f"""WITH {roles.SAFETY_REPORTS_SQL}, {roles.REPORT_DRUGS_SQL}, {roles.REACTIONS_SQL},
+    d AS (SELECT safetyreportid, count(*) AS n_drugs FROM drug_events GROUP BY 1),
+    r AS (SELECT safetyreportid, count(*) AS n_reactions FROM reactions GROUP BY 1)
+    SELECT * FROM safety_reports JOIN d USING (safetyreportid) JOIN r USING (safetyreportid)""",
+)
+def report_join_stored(spark, sf):
+    """The same from three tables stored in the same buckets: no rows are moved."""
+    w = warehouse(spark, sf, "reports")
+    base = scratch_path(spark, "colocated")
+    mark = base.rsplit("-", 1)[1]
+    names = {n: f"{n}_{mark}" for n in ("safety_reports", "drug_events", "reactions")}
+    stored = write_colocated(
+        {names["safety_reports"]: w["safety_reports"]}, {names[n]: w[n] for n in ("drug_events", "reactions")},
+        base, "safetyreportid", 8,
+    )
+    many = {"n_drugs": stored[names["drug_events"]], "n_reactions": stored[names["reactions"]]}
+    return count_colocated(spark, stored[names["safety_reports"]], many, "safetyreportid")
+
+
 @query(
     "report_drug_lines",
     f"""WITH {roles.SAFETY_REPORTS_SQL}, {roles.REPORT_DRUGS_SQL}

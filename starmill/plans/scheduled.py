@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -71,6 +71,43 @@ def run(
     return star
 
 
+def steps(
+    spark: SparkSession, events_template: str, songs_template: str, warehouse: str, database: str = "default"
+) -> dict[str, Callable[[date], object]]:
+    """The parts of ``run`` as steps of a ledger; each works from what the one before it has written."""
+    paths = {name: f"{warehouse}/{name}" for name in MUSIC_TABLES}
+    names = {name: f"{database}.{name}" for name in MUSIC_TABLES}
+
+    def staged(day: date, name: str, schema) -> DataFrame:
+        return read_table(spark, f"{warehouse}/staging/{day}/{name}", schema)
+
+    def stage_files(day: date) -> None:
+        for name, template, schema in (("events", events_template, RAW_EVENTS), ("songs", songs_template, RAW_SONGS)):
+            stage(spark, template, day, schema, "json", to=f"{warehouse}/staging/{day}/{name}")
+        create_tables(spark, MUSIC_TABLES, warehouse, database)
+
+    def load_catalogue(day: date) -> None:
+        for name, df in zip(("songs", "artists"), music.build_catalogue(staged(day, "songs", RAW_SONGS)), strict=True):
+            table = MUSIC_TABLES[name]
+            append_new(spark, df, paths[name], table.key, partition_by=table.partition_by, sort_by=table.sort_by)
+            refresh_table(spark, names[name])
+
+    def plays(day: date) -> tuple[DataFrame, DataFrame, DataFrame]:
+        events = music.normalise_events(staged(day, "events", RAW_EVENTS))
+        return music.build_plays(events, spark.table(names["songs"]), spark.table(names["artists"]))
+
+    def load_users(day: date) -> None:
+        upsert_latest_into(spark, plays(day)[0], names["users"], paths["users"], ["user_id"], "last_start_time", ["level"])
+
+    def load_plays(day: date) -> None:
+        for name, df in zip(("time", "songplays"), plays(day)[1:], strict=True):
+            table = MUSIC_TABLES[name]
+            load_partitions(df, paths[name], table.key, table.partition_by, table.sort_by)
+            refresh_table(spark, names[name])
+
+    return {"stage": stage_files, "catalogue": load_catalogue, "users": load_users, "plays": load_plays}
+
+
 def run_drug_warehouse(
     spark: SparkSession, label_results: DataFrame, report_results: DataFrame, raw_pricing: DataFrame,
     warehouse: str, database: str = "default", check: bool = True,
