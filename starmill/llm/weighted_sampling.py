@@ -34,7 +34,7 @@ STEP = 40_503  # odd, so steps differ in the low bits
 
 def terms(text: Column) -> Column:
     """term and count of the distinct words of a text."""
-    words = F.filter(F.split(F.translate(text, "\n\r\t\f\x0b", "     "), " "), lambda w: w != "")
+    words = F.array_remove(F.split(text, r"[ \t-\r]+"), "")
 
     def runs(ordered: Column) -> Column:
         n = F.size(ordered)
@@ -59,9 +59,9 @@ def _uniform(bits: Column) -> Column:
 
 
 def draw(k: int) -> Column:
-    """Value and sample of ``term`` with log weight ``log_n`` in draw ``k``, in one number."""
-    one = F.xxhash64(F.lit(2 * k + SEED), "term")
-    two = F.xxhash64(F.lit(2 * k + 1 + SEED), "term")
+    """Value and sample of a term of hash ``term_hash`` and log weight ``log_n`` in draw ``k``, in one number."""
+    one = F.xxhash64(F.lit(2 * k + SEED), "term_hash")
+    two = F.xxhash64(F.lit(2 * k + 1 + SEED), "term_hash")
     r = -F.log(_uniform(one) * _uniform(F.shiftrightunsigned(one, 32)))
     c = -F.log(_uniform(two) * _uniform(F.shiftrightunsigned(two, 32)))
     beta = _uniform(F.shiftrightunsigned(one.bitwiseXOR(two), 16))
@@ -75,7 +75,9 @@ def draw(k: int) -> Column:
 
 def draws(exploded: DataFrame, *key: str, k: int = K) -> DataFrame:
     """The fingerprint of each group of terms: an array of ``k`` samples; 0 in all without terms."""
-    weighted = exploded.withColumn("log_n", F.log(F.col("n").cast("double")))
+    weighted = exploded.select(
+        *key, F.xxhash64("term").alias("term_hash"), F.log(F.col("n").cast("double")).alias("log_n")
+    )
     mask = F.lit((1 << ID_BITS) - 1)
     least = weighted.groupBy(*key).agg(*[F.min(draw(i)).alias(f"_{i}") for i in range(k)])
     samples = [F.coalesce(F.col(f"_{i}").bitwiseAND(mask), F.lit(0).cast("long")) for i in range(k)]

@@ -197,7 +197,7 @@ def test_registered_draws_are_unbiased_and_as_close_as_their_number_allows(spark
 
 def test_steps_of_tiny_gamma_values_do_not_overflow(spark):
     """A weight so great that each step is as long as that of the least gamma value."""
-    rows = spark.range(2000).select(F.concat(F.lit("t"), "id").alias("term"), F.lit(3e10).alias("log_n"))
+    rows = spark.range(2000).select(F.xxhash64(F.concat(F.lit("t"), "id")).alias("term_hash"), F.lit(3e10).alias("log_n"))
     found = rows.select(*[weighted_sampling.draw(k).alias(f"d{k}") for k in range(weighted_sampling.K)]).collect()
     assert len({r.d0 for r in found}) == 2000 and all(d >= 0 for r in found for d in r)
 
