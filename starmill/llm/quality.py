@@ -29,6 +29,7 @@ from starmill.operators.joins import lookup_join
 
 SAMPLE = 12_000
 FEATURES = 1 << 17
+FIT_TASKS = 12
 THRESHOLD = 0.5
 EDGE = 1e-4  # classifier probabilities are kept this far from 0 and 1
 PARTS = r"\p{L}+|[^\p{L}\s]+"
@@ -52,7 +53,8 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     kinds = {r.good for r in train.groupBy("good").count().collect()}
     if len(kinds) < 2:
         return None
-    features = _features(train.repartition(12, "doc_id"), "text").select("features", "good")
+    # a bounded sample: few tasks, or each round of the fit sends a vector of weights per task to the driver
+    features = _features(train.coalesce(FIT_TASKS), "text").select("features", "good")
     model = LogisticRegression(
         featuresCol="features", labelCol="good", maxIter=40, regParam=0.002, standardization=False
     )
