@@ -54,7 +54,7 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) ->
     if len(kinds) < 2:
         return None
     # a bounded sample: few tasks, or each round of the fit sends a vector of weights per task to the driver
-    features = _features(train.coalesce(FIT_TASKS), "text").select("features", "good")
+    features = _features(train.repartition(FIT_TASKS), "text").select("features", "good")
     model = LogisticRegression(
         featuresCol="features", labelCol="good", maxIter=40, regParam=0.002, standardization=False
     )
