@@ -15,6 +15,7 @@ SKEW_SENSITIVE = [
     "star_songplays", "star_join_all", "fact_left_first_match", "fact_inner_title", "fact_three_key",
     "left_chain_coalesce", "song_lookup", "report_drug_lines", "reaction_trend", "drug_profile",
     "upsert_do_nothing", "upsert_latest", "plays_by_weekday", "dq_foreign_key", "drug_event_ids",
+    "upsert_latest_touched", "incremental_load_bitmap", "price_history", "report_join_stored", "leading_reactions",
 ]
 
 
