@@ -1,11 +1,13 @@
 """Language, quality, private data, mixing, scores and packing."""
 
+import ipaddress
 import math
 import random
 from collections import Counter
 
 import numpy as np
 import pytest
+import regex
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -106,6 +108,70 @@ def test_surrogates_keep_type_layout_and_coreference(spark):
     assert pii.without_private(docs).columns == docs.columns and pii.without_private(docs.limit(0)).count() == 0
 
 
+def test_names_are_followed_and_check_digits_fit(spark):
+    texts = [
+        "Mr. John Smith came. Smith left, and John waved; Johnson's and Smithy stay. Mrs. Smith's O'Neill? SMITH",
+        "Smith and John without a title", "Frau Anne-Marie O'Neill: Anne stays, Anne-Marie and O'Neill's go",
+        "cards 4539 1488 0343 6467 and 4539148803436467 and 4539148803436461, bank DE89 3704 0044 0532 0130 00",
+        "GB82WEST12345698765432 2001:0db8:85a3:0000:0000:8a2e:0370:7334 and 2001:DB8::FF00:42:8329 or 2001:db8::ff00:42:8329",
+        "std::vec a::b 12:30:45 C::D::E and fe::cafe",
+    ]
+    out = {r.row.doc_id: r for r in pii.replace_private(documents(spark, [(i, t, "en", "") for i, t in enumerate(texts)])).collect()}
+    new = [out[i].new_text for i in range(len(texts))]
+    john, smith = new[0].removeprefix("Mr. ").split(" came")[0].split(" ")
+    assert new[0] == texts[0].replace("John Smith", f"{john} {smith}").replace("Smith left, and John w", f"{smith} left, and {john} w").replace("Mrs. Smith", f"Mrs. {smith}")
+    assert {john, smith}.isdisjoint({"John", "Smith"}) and new[1] == texts[1] and new[5] == texts[5]
+    assert out[0].n_replaced == 4
+    anne, neill = new[2].removeprefix("Frau ").split(":")[0].split(" ")
+    assert new[2] == f"Frau {anne} {neill}: Anne stays, {anne} and {neill}'s go"
+
+    def luhn(number):
+        return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(number))) % 10 == 0
+
+    spaced, plain, unfit = regex.findall(r"[0-9]{4}(?: ?[0-9]{4}){3}", new[3].split(", bank")[0])
+    assert spaced.replace(" ", "") == plain != unfit and luhn(plain) and plain not in texts[3] and unfit not in texts[3]
+    for bank in (new[3].split("bank ")[1], new[4].split(" ")[0]):
+        number = bank.replace(" ", "")
+        assert int("".join(str(int(c, 36)) for c in number[4:] + number[:4])) % 97 == 1 and bank not in "".join(texts)
+    six = new[4].split(" ")[1::2]
+    assert ipaddress.ip_address(six[0]) != ipaddress.ip_address(texts[4].split(" ")[1])
+    assert six[1].lower() == six[2] != texts[4].split(" ")[-1] and six[1] == six[1].upper() and ipaddress.ip_address(six[2])
+
+
+def test_private_data_against_brute_force(spark):
+    rng = random.Random(4)
+    shapes = ["Mr. {} {}", "{}", "so {}, then", "jo{}@{}.com", "Herr {}", "123-45-678{}", "10.0.{}.1", "and", "+49 30 1234 56{}", "password=x{}"]
+    names = ["John", "Smith", "Иван", "O'Neill", "Anne-Marie", "7", "9", "Will"]
+    texts = [" ¦ ".join(rng.choice(shapes).format(rng.choice(names), rng.choice(names)) for _ in range(rng.randrange(0, 40))) for _ in range(120)]
+    texts += texts[:5] + ["x " * 30_000 + "¦ Mr. John Smith" + " ¦ John ¦ a@b.com" * 2000]
+    out = {r.row.doc_id: r for r in pii.replace_private(documents(spark, [(i, t, "en", "") for i, t in enumerate(texts)]), "k").collect()}
+    assert len(out) == len(texts)
+    made, any_ = {}, regex.compile(pii.ANY)
+    for i, text in enumerate(texts):
+        alone = {w for m in any_.findall(text) if regex.fullmatch(pii.PERSON, m) for w in m.split(" ")[1:]}
+        words = "|".join(sorted(alone, key=lambda w: (len(w), w), reverse=True))
+        own = regex.compile(pii.ANY + (rf"|(?<!\p{{L}})(?=\p{{Lu}})(?:{words})(?!\p{{L}})" if alone else ""))
+        assert out[i].n_replaced == len(own.findall(text))
+        old, new = text.split(" ¦ "), out[i].new_text.split(" ¦ ")
+        assert len(old) == len(new)
+        for a, b in zip(old, new, strict=True):
+            found = own.findall(a)
+            if len(found) != 1:
+                assert found or a == b
+                continue
+            before, after = own.split(a)
+            assert b.startswith(before) and b.endswith(after) and a != b
+            one = b[len(before) : len(b) - len(after)]
+            parts = zip(found[0].split(" "), one.split(" "), strict=True) if regex.fullmatch(pii.PERSON, found[0]) else [(found[0], one)]
+            for x, y in parts:
+                made.setdefault(x.lower() if "@" in x else x, set()).add(y)
+    titles = {"Mr.", "Herr"}
+    assert all(len(v) == 1 for k, v in made.items() if k not in ("John", "Smith", "Will", "Anne-Marie", "O'Neill", "Иван"))
+    assert all(len(v) <= 2 for v in made.values())  # a word as given and as family name
+    assert all(made[t] == {t} for t in titles) and len(made) > 20
+    assert sum(len(v) for v in made.values()) == len(set().union(*made.values()))
+
+
 def test_secrets_are_replaced_whole(spark):
     token = "eyJ" + "aB3_x-9.Q" * 120
     values = [token, "P@ssw0rd2024", "correcthorse", "hunter2!x", "+9" + "z7" * 600, "xq1", "пароль٣!k"]
