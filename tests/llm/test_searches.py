@@ -246,6 +246,43 @@ def test_licenses_base_places_and_suppression(spark):
     assert len(licenses.rules()) > 300
 
 
+def test_license_rules_against_brute_force(spark):
+    rules = licenses.rules()
+    lines = [line.split(" ", 2)[2] for line in licenses.PHRASES.strip().splitlines()]
+    for line in lines:  # every phrase lies within reach of its anchor
+        before, after = re.sub(r"\(\?:([^|)]*)[^)]*\)\??", r"\1", line).split("#")
+        assert len(before.split()) <= licenses.REACH and len(after.split()) <= licenses.REACH
+    plain = [re.sub(r"\(\?: ?c\)\?|[#?]|\(\?:|\)|\[0-9]\{4\}", "", line.replace("[0-9]{4}", "2019")).replace("|", " ") for line in lines]
+    rng = random.Random(8)
+    names = ["mit license", "gnu general public license version 2", "licensed under cc by sa 4 0", "apache software foundation license", "cc by no derivs license"]
+    texts = [" ".join(rng.choice((*plain, *names, "a word", "license", "general public", "under the")) for _ in range(rng.randrange(1, 14))) for _ in range(60)]
+    texts += [*plain, *names, "mit license " * 300]
+    found = {r.doc_id: r.found for r in licenses.scan(documents(spark, list(enumerate(texts)))).collect()}
+    compiled = [(n, label, priority, re.compile(pattern)) for n, _, label, priority, pattern in rules]
+    keywords = set(licenses.keywords())
+    for i, text in enumerate(texts):
+        words, hits = text.split(), []
+        for a in [j for j, w in enumerate(words) if w in keywords]:
+            first = max(0, a - licenses.REACH)
+            window = " ".join([*words[first:a], "#" + words[a], *words[a + 1 : a + 1 + licenses.REACH]])
+            for n, label, priority, pattern in compiled:  # all rules at all anchors: no gates
+                m = pattern.search(window)
+                if m:
+                    start = a - m[0].split("#")[0].count(" ")
+                    hits.append((n, label, priority, start, start + len(m[0].split())))
+        key = lambda x: (x[2], x[4] - x[3], -x[0])
+        kept = {x for x in hits if not any(y[3] <= x[3] and y[4] >= x[4] and key(y) > key(x) for y in hits)}
+        assert {tuple(x) for x in found[i] or []} == kept, text
+    assert all(found[60 + i] for i in range(len(plain) + len(names)))  # each phrase is found by some rule
+    assert len({x.number for f in found.values() for x in f or []}) > 180
+
+
+def test_licenses_of_a_long_text_of_anchors(spark):
+    df = documents(spark, [(1, "mit license " * 8000)])
+    row = licenses.scan(df).first()
+    assert len(row.base) == 8000 and len(row.found) == 8000 and {x.label for x in row.found} == {"mit"}
+
+
 def test_empty_tables_give_no_rows(spark):
     none = documents(spark, []).limit(0)
     assert weighted_sampling.fingerprint(none).count() == 0
