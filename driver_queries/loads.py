@@ -26,6 +26,13 @@ from starmill.streaming.incremental import (
 )
 
 MIDDLE = "2024-01-15"
+RAW_ROWS = 1_000_000  # in a raw file: a compressed file is read by one task
+
+
+def raw_files(df):
+    """A writer of raw files as a source delivers them: compressed, each of bounded size."""
+    fast = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
+    return df.write.options(**fast).option("maxRecordsPerFile", RAW_ROWS)
 
 
 def halves(df, column="ts", middle=MIDDLE):
@@ -60,7 +67,7 @@ def json_tree_read(spark, sf):
 def stage_json_mapped(spark, sf):
     base = scratch_path(spark, "log-json")
     log = roles.app_log(spark, sf).withColumn("sessionId", F.col("sessionId").cast("int"))
-    log.write.json(f"{base}/raw/2018/11")
+    raw_files(log).json(f"{base}/raw/2018/11")
     mapping = {
         "session_id": "sessionId", "item_in_session": "itemInSession", "song": "song", "artist": "artist",
         "length": "length", "page": "page", "level": "level",
@@ -81,7 +88,7 @@ def stage_csv_slim(spark, sf):
     base = scratch_path(spark, "log-csv")
     log = roles.app_log(spark, sf)
     columns = [F.col(f.name) if f.name in log.columns else F.lit("").alias(f.name) for f in RAW_EVENTS_CSV]
-    log.select(*columns).write.option("header", True).option("escape", '"').csv(f"{base}/raw")
+    raw_files(log.select(*columns)).option("header", True).option("escape", '"').csv(f"{base}/raw")
     raw = files.read_csv_tree(spark, f"{base}/raw", RAW_EVENTS_CSV)
     slim = query_first.slim_events(raw)
     sinks.write_slim_csv(slim, f"{base}/slim", slim.columns)
@@ -94,8 +101,8 @@ def scheduled_run(spark, sf):
     base = scratch_path(spark, "scheduled")
     database = "starmill_" + base.rsplit("-", 1)[1]
     log = roles.app_log(spark, sf).withColumn("sessionId", F.col("sessionId").cast("int"))
-    log.write.json(f"{base}/log/2018/11")
-    roles.raw_songs(spark, sf).drop("p_partkey").write.json(f"{base}/songs")
+    raw_files(log).json(f"{base}/log/2018/11")
+    raw_files(roles.raw_songs(spark, sf).drop("p_partkey")).json(f"{base}/songs")
     spark.sql(f"CREATE DATABASE {database} LOCATION '{base}/database'")
     template = base + "/log/{execution_date.year}/{execution_date.month}"
     for _ in range(2):
@@ -119,8 +126,8 @@ def scheduled_load_report(spark, sf):
     base = scratch_path(spark, "scheduled-report")
     database = "starmill_" + base.rsplit("-", 1)[1]
     log = roles.app_log(spark, sf).withColumn("sessionId", F.col("sessionId").cast("int"))
-    log.write.json(f"{base}/log/2018/11")
-    roles.raw_songs(spark, sf).drop("p_partkey").write.json(f"{base}/songs")
+    raw_files(log).json(f"{base}/log/2018/11")
+    raw_files(roles.raw_songs(spark, sf).drop("p_partkey")).json(f"{base}/songs")
     spark.sql(f"CREATE DATABASE {database} LOCATION '{base}/database'")
     template, rows = base + "/log/{execution_date.year}/{execution_date.month}", []
     for run in (1, 2):
@@ -140,8 +147,8 @@ def backfill_run(spark, sf):
     log = roles.app_log(spark, sf).withColumn("sessionId", F.col("sessionId").cast("int"))
     part = F.coalesce(F.expr("ts div 86400000 div 30 % 3"), F.lit(0))  # a time is in one delivery
     for month in range(3):
-        log.filter(part == month).write.json(f"{base}/log/2018/{month + 1}")
-    roles.raw_songs(spark, sf).drop("p_partkey").write.json(f"{base}/songs")
+        raw_files(log.filter(part == month)).json(f"{base}/log/2018/{month + 1}")
+    raw_files(roles.raw_songs(spark, sf).drop("p_partkey")).json(f"{base}/songs")
     spark.sql(f"CREATE DATABASE {database} LOCATION '{base}/database'")
     template = base + "/log/{execution_date.year}/{execution_date.month}"
     steps = scheduled.steps(spark, template, f"{base}/songs", f"{base}/house", database)
@@ -466,7 +473,7 @@ def query_tables(spark, sf):
     base = scratch_path(spark, "query-first")
     log = roles.app_log(spark, sf)
     columns = [F.col(f.name) if f.name in log.columns else F.lit("").alias(f.name) for f in RAW_EVENTS_CSV]
-    log.select(*columns).write.option("header", True).option("escape", '"').csv(f"{base}/raw")
+    raw_files(log.select(*columns)).option("header", True).option("escape", '"').csv(f"{base}/raw")
     slim = query_first.slim_events(files.read_csv_tree(spark, f"{base}/raw", RAW_EVENTS_CSV))
     query_first.load_query_tables(slim, f"{base}/tables")
     return {

@@ -1,6 +1,7 @@
 """File readers with explicit schemas (SRC-1 to SRC-10).
 
-One reader call covers all files, so listing, splitting and parsing are one distributed job.
+One reader call covers all files, so listing, splitting and parsing are one distributed job. Files
+may be compressed with gzip; such a file is read by one task.
 """
 
 from __future__ import annotations
@@ -38,7 +39,7 @@ def split_bad_rows(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def read_json_tree(
-    spark: SparkSession, path: str, schema: T.StructType, pattern: str = "*.json", on_bad: str = "fail"
+    spark: SparkSession, path: str, schema: T.StructType, pattern: str = "*.{json,json.gz}", on_bad: str = "fail"
 ) -> DataFrame:
     """JSON lines from every matching file below ``path``, however deep.
 
@@ -60,7 +61,7 @@ def count_files(df: DataFrame) -> DataFrame:
 
 def read_csv_tree(
     spark: SparkSession, path: str, schema: T.StructType, header: bool = True, sep: str = ",",
-    pattern: str = "*.csv", multi_line: bool = False, on_bad: str = "fail",
+    pattern: str = "*.{csv,csv.gz}", multi_line: bool = False, on_bad: str = "fail",
 ) -> DataFrame:
     """All CSV files below ``path`` as one table; quotes inside fields are doubled.
 
