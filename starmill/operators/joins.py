@@ -66,6 +66,21 @@ def hot_keys(df: DataFrame, on: list[str], share: float = HOT_SHARE) -> list:
     return hot.select(*on, (F.col("_n") / F.lit(total)).alias("_part")).collect()
 
 
+def may_have_hot_keys(df: DataFrame, on: list[str]) -> bool:
+    """Whether one key may hold more than a hot share of the rows; False is certain.
+
+    Each task counts hashes of its keys in a sketch of fixed size, so no keys are shuffled. The
+    sketch names every key with more than a quarter of a hot share and never counts one too low.
+    """
+    share = hot_share(_partitions(df))
+    tracked = min(1 << 18, max(1024, 16 * math.ceil(1 / share)))
+    counted = df.select(F.xxhash64(*on).alias("_key")).agg(
+        F.count(F.lit(1)), F.expr(f"get(approx_top_k(_key, 1, {tracked}), 0).count")
+    )
+    total, most = counted.first()
+    return (most or 0) > max(1, total * share)
+
+
 def salted_join(
     fact: DataFrame, dim: DataFrame, on: list[str], how: str = "inner",
     hot_from: DataFrame | None = None, share: float | None = None,

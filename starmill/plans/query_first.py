@@ -42,11 +42,9 @@ def load_query_tables(slim: DataFrame, base: str) -> None:
     """Write the three tables, one row per primary key."""
     for name, table in QUERY_FIRST_TABLES.items():
         rows = table_rows(slim, name)
-        if name == "song_users":
-            rows = rows.distinct()
         partition = PARTITION_KEYS[name]
         clustering = [c for c in table.key if c not in partition]
-        upsert_last_write(rows, f"{base}/{name}", partition, clustering, [])
+        upsert_last_write(rows, f"{base}/{name}", partition, clustering, [], distinct=name == "song_users")
 
 
 def item_of_session(session_songs: DataFrame, session_id: int, item: int) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmill.operators.dedupe import first_per_key, last_per_key
-from starmill.operators.joins import fits_broadcast
+from starmill.operators.joins import fits_broadcast, may_have_hot_keys
 from starmill.operators.upserts import merge_latest, new_rows
 from starmill.session import scratch_path
 from starmill.sinks import paths
@@ -217,8 +217,20 @@ def upsert_latest_into(
 
 
 def upsert_last_write(
-    df: DataFrame, path: str, partition_key: Sequence[str], clustering: Sequence[str], order: Sequence[str]
-) -> None:
-    """Write a query-first table: one row per primary key, the last written one."""
-    rows = last_per_key(df, [*partition_key, *clustering], list(order))
-    write_clustered(rows, path, partition_key, clustering)
+    df: DataFrame, path: str, partition_key: Sequence[str], clustering: Sequence[str], order: Sequence[str],
+    distinct: bool = False,
+) -> None:
+    """Write a query-first table: one row per primary key, the last written one.
+
+    Rows are moved once: ranges of the whole key hold all rows of a key, so the last one is chosen
+    where the file is written. Only if a key may be hot are its rows first brought down in each task.
+    ``distinct`` drops rows that are equal in all columns before the choice.
+    """
+    keys = [*partition_key, *clustering]
+    hot = may_have_hot_keys(df, keys)
+    rows = df if hot else df.repartitionByRange(*keys)
+    rows = last_per_key(rows.distinct() if distinct else rows, keys, list(order))
+    if hot:
+        write_clustered(rows, path, partition_key, clustering)
+    else:
+        rows.sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)

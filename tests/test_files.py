@@ -8,7 +8,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from driver_queries import loads
 from starmill import schemas
+from starmill.operators.dedupe import last_per_key
 from starmill.session import scratch_path
 from starmill.sinks import tables as sinks
 from starmill.sources import files
@@ -175,6 +177,42 @@ def test_last_write_wins_per_primary_key(spark, frame, tmp_path):
     assert rows(files.read_table(spark, path).select("s", "i", "v")) == Counter({(1, 2, "new"): 1, (1, 1, "x"): 1})
 
 
+@pytest.mark.parametrize("distinct", [False, True])
+def test_last_write_wins_moves_rows_once_unless_a_key_is_hot(spark, tmp_path, monkeypatch, distinct):
+    moved_twice, write = [], sinks.write_clustered
+    monkeypatch.setattr(sinks, "write_clustered", lambda df, path, *rest: moved_twice.append(path) or write(df, path, *rest))
+    even = spark.range(4000).select(
+        F.when(F.col("id") % 500 > 0, F.col("id") % 500).alias("s"), (F.col("id") % 2).alias("i"),
+        F.col("id").cast("string").alias("v"), F.col("id").alias("w"),
+    )
+    hot = even.withColumn("s", F.when(F.col("w") % 4 == 0, F.col("s")).otherwise(7))
+    for name, df in (("even", even), ("hot", hot)):
+        path = str(tmp_path / name)
+        expected = {}
+        for r in df.collect():
+            if (r.s, r.i) not in expected or r.w > expected[r.s, r.i].w:
+                expected[r.s, r.i] = r
+        sinks.upsert_last_write(df.union(df), path, ["s"], ["i"], ["w"], distinct=distinct)
+        found = files.read_table(spark, path)
+        assert rows(found) == Counter(tuple(r) for r in expected.values())
+    assert moved_twice == [str(tmp_path / "hot")]
+    ranged = last_per_key(even.repartitionByRange("s", "i").distinct(), ["s", "i"], ["w"])
+    assert ranged._jdf.queryExecution().executedPlan().toString().count("Exchange ") == 1
+
+
+def test_raw_files_are_compressed_and_bounded(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(loads, "RAW_ROWS", 100)
+    df = spark.range(0, 1000, 1, 2).select(F.col("id").cast("int").alias("n"), F.lit("one, \"two\"").alias("t"))
+    loads.raw_files(df).json(str(tmp_path / "j/2018/11"))
+    loads.raw_files(df).option("header", True).option("escape", '"').csv(str(tmp_path / "c"))
+    for name, end in (("j/2018/11", "*.json.gz"), ("c", "*.csv.gz")):
+        assert len(list((tmp_path / name).glob(end))) == 10
+    assert rows(files.read_json_tree(spark, str(tmp_path / "j"), df.schema)) == rows(df)
+    assert rows(files.read_csv_tree(spark, str(tmp_path / "c"), df.schema)) == rows(df)
+    staged = files.stage(spark, str(tmp_path / "j/2018"), date(2018, 11, 1), df.schema, "json", to=str(tmp_path / "s"))
+    assert rows(staged) == rows(df)
+
+
 def test_clustered_write_splits_a_hot_key_and_keeps_order(spark, tmp_path):
     df = spark.range(8000).select(F.lit(1).alias("k"), F.col("id").alias("i"))
     path = str(tmp_path / "c")
