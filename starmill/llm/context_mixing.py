@@ -11,8 +11,10 @@ distribution over texts, and depends on the text and the model alone.
 
 Counting is a shuffled sum: tasks send the cells they have seen, in pieces of fixed size, and
 these are summed in two steps, so no task gathers more than a part of them. The tables that reach
-all tasks have fixed size. At most ``TUNING`` training texts are held back from the tables and
-fit the gates' weights.
+all tasks have fixed size. All training texts are counted in the tables, and all of them fit the
+gates' weights: each lies in one of two folds, equal texts in the same one, and is predicted from
+the tables of the other fold. One scan sums the gradients and curvatures of these predictions, of
+fixed size, and the weights take one Newton step from ``WEIGHTS``.
 
 Words have exact counts. The most frequent, at most ``FREQUENT`` of them, are looked up in the task
 that scores a text; the others go through a join.
@@ -29,7 +31,7 @@ import heapq
 import math
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -49,12 +51,15 @@ TASKS_SUMMED = 256
 STRENGTH = 0.4  # pseudo-count of the prediction without a context
 SCALE = 12.0  # of logits in one byte
 BLOCK = 256
-TEXTS = 128  # that go through the model side by side
+TEXTS = 32  # that go through the model side by side
 CHUNK_BYTES = 300_000
 ROWS_AT_ONCE = 1000
-TUNING = 192
-RATES = (0.0, 2e-4, 6e-4, 2e-3)
+FOLDS = 2
+RATE = 6e-4  # of the weights that a text refines as it goes
 GATES = 8
+WEIGHTS = np.array([[0.3]] * len(ROWS) + [[0.0], [0.0]], np.float32)  # before training, of all gates
+RIDGE = 30.0  # bits' worth of pull towards them
+LEARNT_BYTES = 1 << 16  # that go through the model at once while weights are learnt
 FREQUENT = 1 << 18
 FREQUENT_BYTES = 64
 COUNTED_WORDS = 400_000
@@ -183,8 +188,8 @@ class Model:
         self.signs = np.array([2 * b - 1 for p in self.paths for _, b in p], np.float32)
         self.depth = np.concatenate([np.minimum(np.arange(n), GATES // 2 - 1) for n in lengths])
         self.logit = np.log(self.plain / (1 - self.plain)).astype(np.float32)
-        self.weights = np.tile(np.array([[0.3]] * len(ROWS) + [[0.0], [0.0]], np.float32), GATES)
-        self.rate = RATES[1]
+        self.weights = np.tile(WEIGHTS, GATES)
+        self.rate = RATE
 
     def inputs(self, data: np.ndarray, rows: np.ndarray, at: np.ndarray, gates: np.ndarray):
         """Logits (one row per predictor, then the plain one and one), signs and gates of the bits
@@ -207,8 +212,8 @@ class Model:
         gate += self.depth.take(flat)
         return x, self.signs.take(flat), gate, lengths
 
-    def run(self, texts: list[bytes], learning: float = 0.0) -> np.ndarray:
-        """log2 probability of each text; with ``learning`` the gates' weights follow along."""
+    def run(self, texts: list[bytes]) -> np.ndarray:
+        """log2 probability of each text."""
         out = np.zeros(len(texts))
         order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
         for run in chunks([texts[i] for i in order], most=TEXTS):
@@ -241,28 +246,57 @@ class Model:
                     x[i] *= odds
                     if self.rate:
                         refined[i, :active, 0] += self.rate * np.add.reduceat(x[i], first)
-                    if learning:
-                        each = gate % GATES
-                        seen = np.bincount(each, minlength=GATES)
-                        self.weights[i] += learning * np.bincount(each, x[i], GATES) / np.sqrt(seen + 1.0)
             out[own] = total / math.log(2)
         return out
 
-    def tune(self, texts: list[bytes]) -> None:
-        """Fit the gates' weights and then the rate on texts that the tables have not seen."""
-        if not texts:
+    def slopes(self, texts: list[bytes]) -> np.ndarray:
+        """Per gate: curvature matrix and, in the last column, gradient of the texts' log probability."""
+        k = len(WEIGHTS)
+        out = np.zeros((GATES, k, k + 1))
+        for run in chunks(texts):
+            data, starts, ends = laid_out([texts[i] for i in run])
+            rows, coded = context_rows(data), _coded(starts, ends)
+            for first in range(0, len(coded), LEARNT_BYTES):
+                at = coded[first : first + LEARNT_BYTES]
+                for inside in (0, GATES // 2):
+                    self._add_slopes(data, rows, at[INSIDE[data[at - 1]] == inside], out[inside : inside + GATES // 2])
+        return out
+
+    def _add_slopes(self, data: np.ndarray, rows: np.ndarray, at: np.ndarray, out: np.ndarray) -> None:
+        """The same for places with one first gate, depth by depth; long paths first, so the rest is a prefix."""
+        k = len(WEIGHTS)
+        if not len(at):
             return
-        self.rate = 0.0
-        for learning in (0.02, 0.01, 0.005, 0.002):
-            self.run(texts, learning)
-        losses = {}
-        for rate in RATES:
-            self.rate = rate
-            losses[rate] = -self.run(texts).sum()
-        self.rate = min(losses, key=losses.get)
+        first_gate = int(INSIDE[data[at[0] - 1]])
+        at = at[np.argsort(-self.length.astype(np.int16)[data[at]], kind="stable")]
+        symbols, lengths = data[at], self.length[data[at]]
+        cells = rows[:, at].astype(np.int64) << 8
+        for depth in range(int(lengths[0])):
+            n = int(np.searchsorted(-lengths, -depth, "left"))
+            flat = self.first[symbols[:n]] + depth
+            node, sign, gate = self.nodes[flat], self.signs[flat], min(depth, GATES // 2 - 1)
+            x = np.empty((k, n), np.float32)
+            np.multiply(self.tables.take(cells[:, :n] + node), np.float32(1 / SCALE), out=x[: len(ROWS)])
+            x[-2] = self.logit[node]
+            x[-1] = 1
+            margin = np.clip(self.weights[:, first_gate + gate] @ x * sign, -14, 14)
+            wrong = 1 / (1 + np.exp(margin))  # probability of the bit that did not come
+            out[gate, :, k] += x @ (wrong * sign)
+            out[gate, :, :k] += (x * (wrong * (1 - wrong))) @ x.T
+
+    def fit(self, slopes: np.ndarray) -> None:
+        """One Newton step of the gates' weights; rounded, so the order of sums does not show."""
+        pull = RIDGE * np.eye(len(WEIGHTS))
+        for g in range(GATES):
+            step = np.linalg.solve(slopes[g, :, :-1] + pull, slopes[g, :, -1])
+            self.weights[:, g] = np.round(self.weights[:, g] + step, 4)
 
+    def tune(self, texts: list[bytes]) -> None:
+        """Fit the gates' weights on texts that the tables have not seen."""
+        self.fit(self.slopes(texts))
 
-COUNTED = "kind int, piece int, task int, word binary, n long, data binary"
+
+COUNTED = "kind int, fold int, piece int, task int, word binary, n long, data binary"
 
 
 def _binary(docs: DataFrame, *columns) -> DataFrame:
@@ -270,15 +304,19 @@ def _binary(docs: DataFrame, *columns) -> DataFrame:
 
 
 def count_training(train: DataFrame) -> DataFrame:
-    """One scan: counts of words (kind 0), of cells in pieces (1) and of bytes (2, one piece).
+    """Counts of words (kind 0), of cells in pieces (1) and of bytes (2, one piece), fold by fold.
 
-    Texts with ``tuning`` set count for the words alone.
+    A task counts texts of one fold, so it holds one table.
     """
+    return reduce(DataFrame.union, [count_fold(train.filter(F.col("fold") == fold), fold) for fold in range(FOLDS)])
+
 
+def count_fold(train: DataFrame, fold: int) -> DataFrame:
     def rows(kind: int, pieces, words, n, data) -> pa.RecordBatch:
         size, task = max(len(pieces), len(words)), TaskContext.get().partitionId() // TASKS_SUMMED
         return pa.RecordBatch.from_arrays(
-            [pa.array([kind] * size, pa.int32()), pa.array(pieces or [0] * size, pa.int32()), pa.array([task] * size, pa.int32()),
+            [pa.array([kind] * size, pa.int32()), pa.array([fold] * size, pa.int32()),
+             pa.array(pieces or [0] * size, pa.int32()), pa.array([task] * size, pa.int32()),
              pa.array(words or [None] * size, pa.binary()), pa.array(n or [0] * size, pa.int64()), pa.array(data or [None] * size, pa.binary())],
             [c.split()[0] for c in COUNTED.split(", ")],
         )
@@ -298,11 +336,10 @@ def count_training(train: DataFrame) -> DataFrame:
                 if len(words) > COUNTED_WORDS:
                     yield from of_words(words)
                     words = Counter()
-            learnt = [t for t, held in zip(texts, batch.column("tuning").to_pylist(), strict=True) if not held]
-            count_cells(learnt, cells)
-            for t in learnt:
+            count_cells(texts, cells)
+            for t in texts:
                 symbols += np.bincount(np.frombuffer(t, np.uint8), minlength=256)
-            symbols[END] += len(learnt)
+            symbols[END] += len(texts)
         yield from of_words(words)
         for piece in range(CELLS // PIECE):
             own = cells[piece * PIECE : (piece + 1) * PIECE]
@@ -310,7 +347,7 @@ def count_training(train: DataFrame) -> DataFrame:
                 yield rows(1, [piece], [], [len(seen)], [seen.astype(np.uint16).tobytes() + own[seen].tobytes()])
         yield rows(2, [0], [], [0], [symbols.tobytes()])
 
-    return _binary(train, "tuning").mapInArrow(run, COUNTED)
+    return _binary(train).mapInArrow(run, COUNTED)
 
 
 def _dense(n: int, data: bytes) -> np.ndarray:
@@ -320,22 +357,25 @@ def _dense(n: int, data: bytes) -> np.ndarray:
 
 
 def sum_pieces(pieces: DataFrame) -> DataFrame:
-    """piece and its summed counts as 64-bit numbers; first over groups of tasks, then over groups."""
+    """piece and its summed counts as 64-bit numbers, one fold after the other; first over groups of
+    tasks, then over groups."""
 
     def sparse(group: pa.Table) -> pa.Table:
         total = sum(_dense(n.as_py(), d.as_py()) for n, d in zip(group.column("n"), group.column("data"), strict=True))
-        return pa.table({"piece": group.column("piece")[:1], "data": pa.array([total.tobytes()], pa.binary())})
+        return pa.table({"fold": group.column("fold")[:1], "piece": group.column("piece")[:1], "data": pa.array([total.tobytes()], pa.binary())})
 
     def dense(group: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(d.as_py(), np.int64) for d in group.column("data"))
+        total = np.zeros((FOLDS, PIECE), np.int64)
+        for fold, d in zip(group.column("fold"), group.column("data"), strict=True):
+            total[fold.as_py()] += np.frombuffer(d.as_py(), np.int64)
         return pa.table({"piece": group.column("piece")[:1], "data": pa.array([total.tobytes()], pa.binary())})
 
-    out = "piece int, data binary"
-    return pieces.groupBy("piece", "task").applyInArrow(sparse, out).groupBy("piece").applyInArrow(dense, out)
+    by_task = pieces.groupBy("fold", "piece", "task").applyInArrow(sparse, "fold int, piece int, data binary")
+    return by_task.groupBy("piece").applyInArrow(dense, "piece int, data binary")
 
 
-def build_model(counted: DataFrame, tuning: list[bytes]) -> Model:
-    """Tables of fixed size from the counts, weights from the texts held back."""
+def build_model(counted: DataFrame, train: DataFrame) -> Model:
+    """Tables of fixed size from the counts of all texts, weights from the same texts fold by fold."""
     symbols = np.zeros(256, np.int64)
     whole = counted.filter("kind = 2").groupBy("task").applyInArrow(
         lambda g: pa.table({"data": pa.array([sum(np.frombuffer(d.as_py(), np.int64) for d in g.column("data")).tobytes()], pa.binary())}),
@@ -348,21 +388,47 @@ def build_model(counted: DataFrame, tuning: list[bytes]) -> Model:
 
     def convert(batches):
         for batch in batches:
-            made = [
-                predictors(np.frombuffer(d.as_py(), np.int64).reshape(-1, 256), sides, plain).tobytes()
-                for d in batch.column("data")
-            ]
+            made = []
+            for d in batch.column("data"):
+                folds = np.frombuffer(d.as_py(), np.int64).reshape(FOLDS, -1, 256)
+                total = folds.sum(0)
+                # of all texts, then of all but those of each fold
+                made.append(b"".join(predictors(c, sides, plain).tobytes() for c in (total, *(total - folds))))
             yield pa.RecordBatch.from_arrays([batch.column("piece"), pa.array(made, pa.binary())], ["piece", "data"])
 
-    tables = np.tile(predictors(np.zeros((1, 256)), sides, plain), (int(FIRST[-1]), 1)).reshape(-1)
-    summed = sum_pieces(counted.filter("kind = 1").select("piece", "task", "n", "data"))
+    unseen = predictors(np.zeros((1, 256)), sides, plain)
+    tables = np.tile(unseen, (1 + FOLDS, int(FIRST[-1]), 1)).reshape(1 + FOLDS, -1)
+    summed = sum_pieces(counted.filter("kind = 1").select("fold", "piece", "task", "n", "data"))
     for row in summed.mapInArrow(convert, "piece int, data binary").toLocalIterator():  # of fixed size in all
-        tables[row.piece * PIECE : (row.piece + 1) * PIECE] = np.frombuffer(row.data, np.int8)
-    model.tables = tables
-    model.tune(tuning)
+        tables[:, row.piece * PIECE : (row.piece + 1) * PIECE] = np.frombuffer(row.data, np.int8).reshape(1 + FOLDS, -1)
+    model.fit(sum_slopes(train, model, tables[1:]))
+    model.tables = tables[0]
     return model
 
 
+def sum_slopes(train: DataFrame, model: Model, tables: np.ndarray) -> np.ndarray:
+    """``Model.slopes`` of all training texts, each by the tables that its fold is not in."""
+    shared = train.sparkSession.sparkContext.broadcast((model, tables))  # of fixed size
+
+    def run(batches):
+        model, tables = shared.value
+        total = np.zeros((GATES, len(WEIGHTS), len(WEIGHTS) + 1))
+        for batch in parts(batches):
+            texts, folds = batch.column("text").to_pylist(), batch.column("fold").to_pylist()
+            for fold in range(FOLDS):
+                model.tables = tables[fold]
+                total += model.slopes([t.lower() for t, f in zip(texts, folds, strict=True) if f == fold])
+        cells = pa.array(np.arange(total.size, dtype=np.int32))
+        yield pa.RecordBatch.from_arrays([cells, pa.array(total.reshape(-1))], ["cell", "value"])
+
+    out = np.zeros((GATES, len(WEIGHTS), len(WEIGHTS) + 1))
+    sums = _binary(train, "fold").mapInArrow(run, "cell int, value double").groupBy("cell").agg(F.sum("value").alias("value"))
+    for row in sums.collect():  # a row per weight and input
+        out.reshape(-1)[row.cell] = row.value
+    shared.destroy()
+    return out
+
+
 SCORED = (
     "number long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, n_bytes long, "
     "rare array<struct<word:binary,n:int>>"
@@ -405,17 +471,11 @@ def score_texts(docs: DataFrame, model: Model, frequent: dict[bytes, float]) ->
 
 def score_documents(docs: DataFrame) -> DataFrame:
     """Scores of ``docs`` (doc_id, text, held_out), learnt from those that are not held out."""
-    spark = docs.sparkSession
-    order = F.xxhash64("doc_id", "text")
-    train = docs.filter(~F.col("held_out")).withColumn("_order", order)
-    least = [r[0] for r in train.select("_order").orderBy("_order").limit(TUNING + 1).collect()]
-    # strictly below a hash, so equal ones cannot make it more than TUNING; a tenth of a small table
-    n = min(TUNING, len(least) // 10 if len(least) <= TUNING else TUNING)
-    limit = least[n] if least else 0
-    tuning = F.col("_order") < F.lit(limit)
-    held = _binary(train.filter(tuning)).collect()
-    counted = store(count_training(train.withColumn("tuning", tuning)), "counted")
-    model = build_model(counted, [bytes(r.text).lower() for r in held])
+    # equal texts lie in one fold, or copies would make the tables look better than they are
+    fold = F.pmod(F.xxhash64(text_or_empty()), F.lit(FOLDS)).cast("int")
+    train = docs.filter(~F.col("held_out")).withColumn("fold", fold)
+    counted = store(count_training(train), "counted")
+    model = build_model(counted, train)
     words = store(
         counted.filter("kind = 0").select("word", "n").groupBy("word").agg(F.sum("n").alias("n")), "words"
     )

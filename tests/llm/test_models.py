@@ -279,6 +279,32 @@ def test_base_scores_and_a_proper_distribution(spark):
     assert total < 1 and model.run([b"abracadabra"])[0] > model.run([b"dxbgacaqqqa"])[0]
 
 
+def test_all_training_texts_are_counted_and_fit_the_weights(spark):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(["mill", "star", "sun", "a"]) for _ in range(rng.randrange(1, 30))) for _ in range(60)]
+    texts += [texts[0], "", None]
+    docs = documents(spark, [(i, t, None, "") for i, t in enumerate(texts)]).select("doc_id", "text")
+    train = docs.withColumn("fold", (F.col("doc_id") % 2).cast("int")).repartition(3)
+    counted = context_mixing.count_training(train).cache()
+    plain = [(t or "").encode() for t in texts]
+    symbols = sum(np.frombuffer(r.data, np.int64) for r in counted.filter("kind = 2").collect())
+    assert symbols.sum() == sum(len(t) + 1 for t in plain) and symbols[context_mixing.END] == len(texts)
+    model = context_mixing.build_model(counted, train)
+    tables, sums = [], 0
+    for texts_of in (plain, plain[1::2], plain[::2]):  # all, then without a fold
+        cells = np.zeros(context_mixing.CELLS, np.uint32)
+        context_mixing.count_cells(texts_of, cells)
+        tables.append(context_mixing.predictors(cells.reshape(-1, 256), model.sides, model.plain).reshape(-1))
+    assert (model.tables == tables[0]).all()
+    by_hand = context_mixing.Model(symbols)
+    for fold in range(2):
+        by_hand.tables = tables[1 + fold]
+        sums = sums + by_hand.slopes(plain[fold::2])
+    by_hand.fit(sums)
+    assert np.allclose(by_hand.weights, model.weights, atol=2e-3)
+    assert not np.allclose(model.weights, context_mixing.WEIGHTS, atol=0.05)
+
+
 # --- packing ---
 
 
