@@ -229,12 +229,16 @@ def join_time(songplays: DataFrame, time: DataFrame) -> DataFrame:
 
 
 def join_all(star: dict[str, DataFrame]) -> DataFrame:
-    """Plays with all four dimensions."""
+    """Plays with all four dimensions.
+
+    Times and songs, which grow with the plays and the catalogue, come first: when they are shuffled,
+    plays have few columns yet.
+    """
     users = star["users"].select("user_id", "first_name", "last_name", "gender")
     songs = star["songs"].select("song_id", "title", "duration", F.col("year").alias("song_year"))
     artists = star["artists"].select("artist_id", "name", F.col("location").alias("artist_location"))
     time = star["time"].select("start_time", "hour", "day", "week", "weekday")
     rows = star["songplays"]
-    for dimension, key in ((songs, "song_id"), (artists, "artist_id"), (users, "user_id"), (time, "start_time")):
+    for dimension, key in ((time, "start_time"), (songs, "song_id"), (artists, "artist_id"), (users, "user_id")):
         rows = lookup_join(rows, dimension, [key], hot_from=star["songplays"])
     return rows

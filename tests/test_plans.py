@@ -355,3 +355,18 @@ def test_drug_warehouse_written_and_updated(spark, drug_inputs, tmp_path):
         assert sorted(r["pricing_id"] for r in pricing.collect()) == [1, 2, 3, 4, 5]
     assert spark.table(f"{database}.ndc").count() == 4
     spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def test_plays_meet_the_growing_dimensions_first(spark, frame, monkeypatch):
+    order, join = [], music.lookup_join
+    monkeypatch.setattr(music, "lookup_join", lambda fact, dim, on, **more: order.append(on) or join(fact, dim, on, **more))
+    star = {
+        "songplays": frame([("p", 5, 1, "s", "a")], "songplay_id string, start_time int, user_id int, song_id string, artist_id string"),
+        "users": frame([(1, "x", "y", "F")], "user_id int, first_name string, last_name string, gender string"),
+        "songs": frame([("s", "t", 1.5, 0)], "song_id string, title string, duration double, year int"),
+        "artists": frame([("a", "n", "l")], "artist_id string, name string, location string"),
+        "time": frame([(5, 1, 2, 3, 4)], "start_time int, hour int, day int, week int, weekday int"),
+    }
+    found = music.join_all(star).select("songplay_id", "title", "name", "first_name", "hour", "weekday").collect()
+    assert [tuple(r) for r in found] == [("p", "t", "n", "x", 1, 4)]
+    assert order == [["start_time"], ["song_id"], ["artist_id"], ["user_id"]]
