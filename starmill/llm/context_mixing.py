@@ -51,30 +51,33 @@ TASKS_SUMMED = 256
 STRENGTH = 0.4  # pseudo-count of the prediction without a context
 SCALE = 12.0  # of logits in one byte
 BLOCK = 256
-TEXTS = 32  # that go through the model side by side
+STRETCH = 16  # blocks whose bits are laid out at once
+SPAN = 1 << 14  # places of one node that go through the model at once
 CHUNK_BYTES = 300_000
+HASHED_BYTES = 32_000  # whose context rows are computed at once, in the processor's cache
 ROWS_AT_ONCE = 1000
 FOLDS = 2
 RATE = 6e-4  # of the weights that a text refines as it goes
 GATES = 8
 WEIGHTS = np.array([[0.3]] * len(ROWS) + [[0.0], [0.0]], np.float32)  # before training, of all gates
+ONE, LIMIT = np.float32(1), np.float32(14)  # of a mixed logit
+SHARES = (np.array([SCALE] * len(ROWS) + [1, 1]) ** -2).astype(np.float32)  # of a refinement, by the inputs' scales
 RIDGE = 30.0  # bits' worth of pull towards them
-LEARNT_BYTES = 1 << 16  # that go through the model at once while weights are learnt
 FREQUENT = 1 << 18
 FREQUENT_BYTES = 64
 COUNTED_WORDS = 400_000
 WHITE = np.zeros(256, bool)
 WHITE[[0, 9, 10, 11, 12, 13, 32]] = True
-INSIDE = np.where(WHITE, 0, GATES // 2)  # gates by the byte before: start of a word or not
+INSIDE = np.where(WHITE, 0, 1).astype(np.uint16)  # by the byte before: start of a word or not
 FACTOR = 0x9E3779B97F4A7C15
 INVERSE = pow(FACTOR, -1, 1 << 64)
 
 
-def chunks(texts: list[bytes], size: int = CHUNK_BYTES, most: int = 1 << 30) -> Iterator[list[int]]:
+def chunks(texts: list[bytes], size: int = CHUNK_BYTES) -> Iterator[list[int]]:
     """Runs of texts with about ``size`` bytes, by place."""
     run, total = [], 0
     for i, t in enumerate(texts):
-        if run and (total + len(t) > size or len(run) == most):
+        if run and total + len(t) > size:
             yield run
             run, total = [], 0
         run.append(i)
@@ -110,27 +113,37 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 def context_rows(data: np.ndarray) -> np.ndarray:
     """Row of each context at each place, numbered over all tables."""
     n = len(data)
-    factor = np.uint64(FACTOR)
     out = np.empty((len(ROWS), n), np.int32)
-    # the last eight bytes in one number; the gaps make the first eight places irrelevant
-    last = np.zeros(n, np.uint64)
-    last[8:] = np.lib.stride_tricks.sliding_window_view(data[:-1], 8).copy().view(">u8")[: n - 8, 0]
-    keys = [(last & np.uint64((1 << (8 * k)) - 1)) * np.uint64(k) for k in (2, 3, 5)]
+    wide = data.astype(np.uint64)
+    # the bytes before a place in one number; the gaps make the first places irrelevant
+    last, taken = np.zeros(n, np.uint64), 0
+    for i, k in enumerate((2, 3, 5)):
+        for back in range(taken, k):
+            last[back + 1 :] |= wide[: n - back - 1] << np.uint64(8 * back)
+        taken = k
+        out[i] = (last * np.uint64(k * FACTOR % (1 << 64))) >> np.uint64(64 - ROWS[i].bit_length() + 1)
     power, inverse = (p[: n + 1] for p in _powers(1 << max(18, n.bit_length())))
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * power[:-1], out=total[1:])
-    start = np.zeros(n, np.int32)
-    start[1:] = np.arange(1, n, dtype=np.int32) * WHITE[data[:-1]]
-    np.maximum.accumulate(start, out=start)
-    word = (total[:-1] - total[start]) * inverse[start]
+    wide += np.uint64(1)
+    wide *= power[:-1]
+    np.cumsum(wide, out=total[1:])
+    start = np.concatenate(([0], np.flatnonzero(WHITE.take(data[:-1])) + 1))
+    lengths = np.diff(start, append=n)
+    word = total[:-1] - np.repeat(total.take(start), lengths)
+    word *= np.repeat(inverse.take(start), lengths)
     word ^= word >> np.uint64(29)
-    for i, key in enumerate((*keys, word)):
-        key *= factor
-        key >>= np.uint64(64 - ROWS[i].bit_length() + 1)
-        np.add(key.astype(np.int32), np.int32(FIRST[i]), out=out[i])
+    word *= np.uint64(FACTOR)
+    out[3] = word >> np.uint64(64 - ROWS[3].bit_length() + 1)
+    out += FIRST[: len(ROWS), None].astype(np.int32)
     return out
 
 
+def text_rows(texts: list[bytes]) -> np.ndarray:
+    """``context_rows`` of texts that are laid out one after the other."""
+    runs = chunks(texts, HASHED_BYTES)
+    return np.concatenate([context_rows(laid_out([texts[i] for i in run])[0]) for run in runs], 1)
+
+
 def _coded(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     lengths = ends - starts
     return np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
@@ -139,11 +152,15 @@ def _coded(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 def count_cells(texts: list[bytes], counts: np.ndarray) -> None:
     """Add (context row, byte) counts of texts."""
     for run in chunks(texts):
-        data, starts, ends = laid_out([texts[i] for i in run])
+        own = [texts[i] for i in run]
+        data, starts, ends = laid_out(own)
         at = _coded(starts, ends)
-        rows, symbols = context_rows(data), data[at].astype(np.int32)
+        rows, symbols = text_rows(own), data.take(at).astype(np.int32)
         for own in rows:
-            np.add.at(counts, (own[at] << 8) + symbols, np.uint32(1))  # of the same type: the fast way
+            cells = (own.take(at) << 8) + symbols
+            cells.sort()  # cheaper than to add one by one all over the table
+            last = np.append(np.flatnonzero(cells[1:] != cells[:-1]), len(cells) - 1)
+            counts[cells.take(last)] += np.diff(last, prepend=-1).astype(np.uint32)
 
 
 def huffman(counts: np.ndarray) -> tuple[list[list[tuple[int, int]]], np.ndarray]:
@@ -174,116 +191,179 @@ def predictors(counts: np.ndarray, sides: np.ndarray, plain: np.ndarray) -> np.n
 
 
 class Model:
-    """Tables, tree and weights; ``tables`` is flat: row * 256 + node."""
+    """Tables, tree and weights; ``tables`` is flat: row * 256 + node.
+
+    Places are worked off node by node: in the order of the tree's leaves those that pass a node are a
+    run, in which table column, gate and plain prediction are the same.
+    """
 
     def __init__(self, symbols: np.ndarray, tables: np.ndarray | None = None):
         self.paths, self.sides = huffman(symbols)
         total = symbols + 1.0
         zero, one = self.sides[0] @ total, self.sides[1] @ total
         self.plain = (one / (zero + one)).astype(np.float32)
-        self.tables = tables
+        self.logit = np.log(self.plain / (1 - self.plain)).astype(np.float32)
         lengths = np.array([len(p) for p in self.paths])
         self.length, self.first = lengths, np.cumsum(lengths) - lengths
         self.nodes = np.array([n for p in self.paths for n, _ in p])
-        self.signs = np.array([2 * b - 1 for p in self.paths for _, b in p], np.float32)
-        self.depth = np.concatenate([np.minimum(np.arange(n), GATES // 2 - 1) for n in lengths])
-        self.logit = np.log(self.plain / (1 - self.plain)).astype(np.float32)
+        # of each step of a path, after a space and inside a word, with the sign of the bit that did not come:
+        # plain prediction and one
+        wrong = np.array([1 - 2 * b for p in self.paths for _, b in p], np.float32)
+        self.others = np.tile(np.stack([self.logit[self.nodes] * wrong, wrong]), 2)
+        leaves = sorted(range(len(self.paths)), key=lambda s: [b for _, b in self.paths[s]])
+        self.rank = np.argsort(leaves).astype(np.uint16)
+        below = self.sides.sum(2).astype(int)  # leaves on either side of a node, which follow each other
+        first = [int(self.rank[self.sides[:, n].any(0)].min()) for n in range(len(below[0]))]
+        self.leaves = np.stack([first, first + below[0], first + below.sum(0)], 1)
+        self.depth = np.zeros(len(first), int)
+        for path in self.paths:
+            self.depth[[n for n, _ in path]] = np.arange(len(path))
         self.weights = np.tile(WEIGHTS, GATES)
         self.rate = RATE
+        self.tables = tables
+
+    @property
+    def tables(self) -> np.ndarray | None:
+        return None if self.columns is None else self.columns.T.reshape(-1)
 
-    def inputs(self, data: np.ndarray, rows: np.ndarray, at: np.ndarray, gates: np.ndarray):
-        """Logits (one row per predictor, then the plain one and one), signs and gates of the bits
-        of places, and how many bits each place has. ``gates`` holds the first gate of each place."""
-        symbols = data[at]
-        lengths = self.length.take(symbols)
-        ends = np.cumsum(lengths)
-        place = np.repeat(np.arange(len(at)), lengths)
-        flat = (self.first.take(symbols) - (ends - lengths)).take(place)
-        flat += np.arange(len(flat))
-        node = self.nodes.take(flat)
-        x = np.empty((len(ROWS) + 2, len(flat)), np.float32)
-        for i in range(len(ROWS)):
-            cells = (rows[i][at].astype(np.int64) << 8).take(place)
-            cells += node
-            np.multiply(self.tables.take(cells), np.float32(1 / SCALE), out=x[i])
-        x[-2] = self.logit.take(node)
-        x[-1] = 1
-        gate = gates.take(place)
-        gate += self.depth.take(flat)
-        return x, self.signs.take(flat), gate, lengths
+    @tables.setter
+    def tables(self, tables: np.ndarray | None) -> None:
+        """Kept by node: one column is small enough for the processor's cache."""
+        self.columns = None if tables is None else np.ascontiguousarray(tables.reshape(-1, 256).T)
+
+    def by_node(self, texts: list[bytes]):
+        """Of the places of texts: sizes of the texts, symbols, first gates (0, 1); the order by node, context rows in
+        it, and its runs: node, first gate, begin, first place with bit 1, end."""
+        data, starts, ends = laid_out(texts)
+        at = _coded(starts, ends)
+        symbols, inside = data.take(at), INSIDE.take(data.take(at - 1))
+        key = self.rank.take(symbols) + (inside << 8)
+        order = np.argsort(key, kind="stable")
+        bounds = np.concatenate(([0], np.cumsum(np.bincount(key, minlength=512))))
+        runs = []
+        for gate in (0, 1):
+            cuts = bounds[self.leaves + (gate << 8)].tolist()
+            runs += [(node, gate, begin, middle, end) for node, (begin, middle, end) in enumerate(cuts) if begin < end]
+        rows, at = np.empty((len(ROWS), len(at)), np.int64), at.take(order)
+        for own, into in zip(text_rows(texts), rows, strict=True):
+            into[:] = own.take(at)
+        return ends - starts, symbols, inside, order, rows, runs
+
+    def spans(self, runs: list):
+        """Runs cut to ``SPAN`` places, with the gate."""
+        for node, inside, begin, middle, end in runs:
+            gate = inside * (GATES // 2) + min(int(self.depth[node]), GATES // 2 - 1)
+            for a in range(begin, end, SPAN):
+                b = min(end, a + SPAN)
+                yield node, gate, a, min(max(middle, a), b), b
+
+    def near(self, node: int, rows: np.ndarray, out: np.ndarray) -> np.ndarray:
+        """The contexts' scaled logits of a node."""
+        for own, into in zip(rows, out, strict=True):
+            self.columns[node].take(own, None, into, "clip")
+        return out
 
     def run(self, texts: list[bytes]) -> np.ndarray:
         """log2 probability of each text."""
         out = np.zeros(len(texts))
-        order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
-        for run in chunks([texts[i] for i in order], most=TEXTS):
-            own = [order[i] for i in run]
-            data, starts, ends = laid_out([texts[i] for i in own])
-            rows = context_rows(data)
-            refined = np.zeros((len(ROWS) + 2, len(own), 1), np.float32)
-            total = np.zeros(len(own))
-            for offset in range(0, int((ends - starts).max()), BLOCK):
-                active = int(np.searchsorted(-(ends - starts), -offset, "left"))
-                a = starts[:active] + offset
-                b = np.minimum(a + BLOCK, ends[:active])
-                at = _coded(a, b)
-                text = np.repeat(np.arange(active), b - a)
-                x, signs, gate, lengths = self.inputs(data, rows, at, INSIDE[data[at - 1]] + text * GATES)
-                per_text = np.add.reduceat(lengths, np.cumsum(b - a) - (b - a))
-                first = np.cumsum(per_text) - per_text
-                margin = np.zeros(len(signs), np.float32)
-                for i in range(len(x)):
-                    weight = (self.weights[i] + refined[i, :active]).reshape(-1).take(gate)
-                    weight *= x[i]
-                    margin += weight
-                margin *= signs
-                np.clip(margin, -14, 14, out=margin)
-                odds = np.exp(-margin)  # of the bit that did not come
-                total[:active] -= np.add.reduceat(np.log(1 + odds), first, dtype=np.float64)
-                odds /= 1 + odds
-                odds *= signs  # now the error
-                for i in range(len(x)):
-                    x[i] *= odds
-                    if self.rate:
-                        refined[i, :active, 0] += self.rate * np.add.reduceat(x[i], first)
-            out[own] = total / math.log(2)
+        rates = self.rate * SHARES
+        for run in chunks(texts):
+            sizes, symbols, inside, order, rows, runs = self.by_node([texts[i] for i in run])
+            lengths = self.length.take(symbols)
+            bits = np.concatenate(([0], np.cumsum(lengths)))  # the first bit of each place
+            inputs, place = self.inputs(rows, runs, int(bits[-1])), np.empty(len(order), np.int64)
+            place[order] = np.arange(len(order))
+            first = self.first.take(symbols) + inside * np.int64(len(self.nodes))
+            odds = np.empty(bits[-1], np.float32)
+            edges = np.concatenate(([0], np.cumsum(sizes))).tolist()
+            blocks = [b for a, z in zip(edges[:-1], edges[1:], strict=True) for b in range(a, z, BLOCK)] + edges[-1:]
+            fresh, refined = set(edges), None
+            for i in range(0, len(blocks) - 1, STRETCH):
+                places = blocks[i : i + STRETCH + 1]
+                a, z = places[0], places[-1]
+                cuts = bits[places].tolist()
+                x, margin = self.laid(inputs, place[a:z], first[a:z] - bits[a:z] + bits[a], lengths[a:z])
+                for text, b, e in zip(places, cuts[:-1], cuts[1:]):
+                    if text in fresh:
+                        refined = np.zeros(len(WEIGHTS), np.float32)
+                    own = slice(b - cuts[0], e - cuts[0])
+                    self.code(x[:, own], margin[own], refined, rates, odds[b:e])
+            out[run] = -np.add.reduceat(np.log(odds), bits[edges[:-1]], dtype=np.float64) / math.log(2)
         return out
 
+    def inputs(self, rows: np.ndarray, runs: list, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The contexts' scaled logits and the logit mixed from all, run after run, with the sign of the bit that did
+        not come; of each step of a path, after a space and inside a word, what to add to a place to find it there."""
+        near, mixed, filled = np.empty((len(ROWS), bits), np.int8), np.empty(bits, np.float32), 0
+        shift = np.zeros((2, len(self.depth)), np.int64)
+        for node, inside, begin, _, end in runs:
+            shift[inside, node] = filled - begin
+            filled += end - begin
+        filled = 0
+        for node, gate, begin, middle, end in self.spans(runs):
+            own = self.near(node, rows[:, begin:end], near[:, filled : filled + end - begin])
+            np.negative(own[:, middle - begin :], out=own[:, middle - begin :])
+            x = own.astype(np.float32)
+            x *= self.weights[: len(ROWS), gate, None] / np.float32(SCALE)
+            margin = mixed[filled : filled + end - begin]
+            np.add(x[0], x[1], out=margin)
+            for other in x[2:]:
+                margin += other
+            constant = self.logit[node] * self.weights[-2, gate] + self.weights[-1, gate]
+            margin[: middle - begin] += constant
+            margin[middle - begin :] -= constant
+            filled += end - begin
+        return near, mixed, shift[:, self.nodes].reshape(-1)
+
+    def laid(self, inputs: tuple, place: np.ndarray, first: np.ndarray, lengths: np.ndarray):
+        """All predictors' logits of the bits of places in the order of texts, those of contexts still scaled, and the
+        logit mixed from them."""
+        near, mixed, shift = inputs
+        step = np.repeat(first, lengths)
+        step += np.arange(len(step))
+        at = np.repeat(place, lengths)
+        at += shift.take(step)
+        x, own = np.empty((len(WEIGHTS), len(step)), np.float32), np.empty(len(step), np.int8)
+        for logits, into in zip(near, x):
+            np.copyto(into, logits.take(at, None, own, "clip"))
+        for logits, into in zip(self.others, x[len(ROWS) :], strict=True):
+            logits.take(step, None, into, "clip")
+        return x, mixed.take(at)
+
+    def code(self, x: np.ndarray, margin: np.ndarray, refined: np.ndarray, rates: np.ndarray, odds: np.ndarray) -> None:
+        """Put one plus the odds of the bits of a block that did not come into ``odds``, and refine the weights."""
+        error = refined @ x
+        error += margin
+        np.minimum(error, LIMIT, out=error)
+        np.maximum(error, -LIMIT, out=error)
+        np.exp(error, out=error)
+        np.add(error, ONE, out=odds)
+        error /= odds
+        refined -= rates * (x @ error)
+
     def slopes(self, texts: list[bytes]) -> np.ndarray:
         """Per gate: curvature matrix and, in the last column, gradient of the texts' log probability."""
         k = len(WEIGHTS)
         out = np.zeros((GATES, k, k + 1))
-        for run in chunks(texts):
-            data, starts, ends = laid_out([texts[i] for i in run])
-            rows, coded = context_rows(data), _coded(starts, ends)
-            for first in range(0, len(coded), LEARNT_BYTES):
-                at = coded[first : first + LEARNT_BYTES]
-                for inside in (0, GATES // 2):
-                    self._add_slopes(data, rows, at[INSIDE[data[at - 1]] == inside], out[inside : inside + GATES // 2])
+        spread = np.zeros((k, len(ROWS) + 1), np.float32)  # from the tables' bytes and one to the inputs
+        spread[: len(ROWS), :-1] = np.eye(len(ROWS)) / SCALE
+        spread[-1, -1] = 1
+        for run in chunks(texts, 2 * CHUNK_BYTES):
+            *_, rows, runs = self.by_node([texts[i] for i in run])
+            for node, gate, begin, middle, end in self.spans(runs):
+                spread[-2, -1] = self.logit[node]
+                x = np.ones((len(ROWS) + 1, end - begin), np.float32)
+                x[:-1] = self.near(node, rows[:, begin:end], np.empty((len(ROWS), end - begin), np.int8))
+                margin = (self.weights[:, gate] @ spread) @ x
+                np.negative(margin[: middle - begin], out=margin[: middle - begin])
+                np.clip(margin, -LIMIT, LIMIT, out=margin)
+                wrong = 1 / (1 + np.exp(margin))  # probability of the bit that did not come
+                curve = wrong * (1 - wrong)
+                np.negative(wrong[: middle - begin], out=wrong[: middle - begin])
+                out[gate, :, k] += spread @ (x @ wrong)
+                out[gate, :, :k] += spread @ ((x * curve) @ x.T) @ spread.T
         return out
 
-    def _add_slopes(self, data: np.ndarray, rows: np.ndarray, at: np.ndarray, out: np.ndarray) -> None:
-        """The same for places with one first gate, depth by depth; long paths first, so the rest is a prefix."""
-        k = len(WEIGHTS)
-        if not len(at):
-            return
-        first_gate = int(INSIDE[data[at[0] - 1]])
-        at = at[np.argsort(-self.length.astype(np.int16)[data[at]], kind="stable")]
-        symbols, lengths = data[at], self.length[data[at]]
-        cells = rows[:, at].astype(np.int64) << 8
-        for depth in range(int(lengths[0])):
-            n = int(np.searchsorted(-lengths, -depth, "left"))
-            flat = self.first[symbols[:n]] + depth
-            node, sign, gate = self.nodes[flat], self.signs[flat], min(depth, GATES // 2 - 1)
-            x = np.empty((k, n), np.float32)
-            np.multiply(self.tables.take(cells[:, :n] + node), np.float32(1 / SCALE), out=x[: len(ROWS)])
-            x[-2] = self.logit[node]
-            x[-1] = 1
-            margin = np.clip(self.weights[:, first_gate + gate] @ x * sign, -14, 14)
-            wrong = 1 / (1 + np.exp(margin))  # probability of the bit that did not come
-            out[gate, :, k] += x @ (wrong * sign)
-            out[gate, :, :k] += (x * (wrong * (1 - wrong))) @ x.T
-
     def fit(self, slopes: np.ndarray) -> None:
         """One Newton step of the gates' weights; rounded, so the order of sums does not show."""
         pull = RIDGE * np.eye(len(WEIGHTS))
@@ -401,23 +481,22 @@ def build_model(counted: DataFrame, train: DataFrame) -> Model:
     summed = sum_pieces(counted.filter("kind = 1").select("fold", "piece", "task", "n", "data"))
     for row in summed.mapInArrow(convert, "piece int, data binary").toLocalIterator():  # of fixed size in all
         tables[:, row.piece * PIECE : (row.piece + 1) * PIECE] = np.frombuffer(row.data, np.int8).reshape(1 + FOLDS, -1)
-    model.fit(sum_slopes(train, model, tables[1:]))
+    model.fit(sum_slopes(train, [Model(symbols, own) for own in tables[1:]]))
     model.tables = tables[0]
     return model
 
 
-def sum_slopes(train: DataFrame, model: Model, tables: np.ndarray) -> np.ndarray:
-    """``Model.slopes`` of all training texts, each by the tables that its fold is not in."""
-    shared = train.sparkSession.sparkContext.broadcast((model, tables))  # of fixed size
+def sum_slopes(train: DataFrame, models: list[Model]) -> np.ndarray:
+    """``Model.slopes`` of all training texts, each by the model of its fold, whose tables it is not in."""
+    shared = train.sparkSession.sparkContext.broadcast(models)  # of fixed size
 
     def run(batches):
-        model, tables = shared.value
+        models = shared.value
         total = np.zeros((GATES, len(WEIGHTS), len(WEIGHTS) + 1))
         for batch in parts(batches):
             texts, folds = batch.column("text").to_pylist(), batch.column("fold").to_pylist()
             for fold in range(FOLDS):
-                model.tables = tables[fold]
-                total += model.slopes([t.lower() for t, f in zip(texts, folds, strict=True) if f == fold])
+                total += models[fold].slopes([t.lower() for t, f in zip(texts, folds, strict=True) if f == fold])
         cells = pa.array(np.arange(total.size, dtype=np.int32))
         yield pa.RecordBatch.from_arrays([cells, pa.array(total.reshape(-1))], ["cell", "value"])
 
@@ -449,8 +528,9 @@ def score_texts(docs: DataFrame, model: Model, frequent: dict[bytes, float]) ->
             tokens, known, base, rare = [], [], [], []
             for t in texts:
                 words = t.split()
-                values = [v for v in map(frequent.get, words) if v is not None]
-                others = Counter(w for w in words if w not in frequent) if len(values) < len(words) else {}
+                found = list(map(frequent.get, words))
+                values = [v for v in found if v is not None]
+                others = Counter(w for w, v in zip(words, found, strict=True) if v is None) if len(values) < len(words) else {}
                 tokens.append(len(words) + 1)
                 known.append(len(values))
                 base.append(math.fsum(values))

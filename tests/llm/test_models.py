@@ -305,6 +305,47 @@ def test_all_training_texts_are_counted_and_fit_the_weights(spark):
     assert not np.allclose(model.weights, context_mixing.WEIGHTS, atol=0.05)
 
 
+def test_scores_and_slopes_are_those_of_a_plain_loop_over_the_bits():
+    rng = random.Random(9)
+    words = [b"mill", b"star", b"a", b"\xc3\xa9t\xc3\xa9", b"7.5", b"\n"]
+    texts = [b" ".join(rng.choice(words) for _ in range(n)) for n in (0, 1, 40, 63, 64, 65, 700)] + [b" ", b"\xff\x00 "]
+    symbols = sum(np.bincount(np.frombuffer(t, np.uint8), minlength=256) for t in texts)
+    cells = np.zeros(context_mixing.CELLS, np.uint32)
+    context_mixing.count_cells(texts, cells)
+    model = context_mixing.Model(symbols)
+    tables = context_mixing.predictors(cells.reshape(-1, 256), model.sides, model.plain)
+    model.tables = tables.reshape(-1)
+    assert (model.tables == tables.reshape(-1)).all()
+    model.weights = np.random.default_rng(9).normal(0.3, 0.2, model.weights.shape).astype(np.float32)
+    model.rate = 0.01  # so that what a text has taught shows in its score
+    k, whole = len(context_mixing.WEIGHTS), np.zeros(context_mixing.CELLS, np.uint32)
+    want, slopes = [], np.zeros((context_mixing.GATES, k, k + 1))
+    for t in texts:
+        data, (start,), (end,) = context_mixing.laid_out([t])
+        rows = context_mixing.context_rows(data)
+        refined, step, score = np.zeros(k), np.zeros(k), 0.0
+        for at in range(start, end):
+            if (at - start) % context_mixing.BLOCK == 0:
+                refined, step = refined + model.rate * step, np.zeros(k)
+            for row in rows[:, at]:
+                whole[row * 256 + data[at]] += 1
+            for depth, (node, bit) in enumerate(model.paths[data[at]]):
+                gate = min(depth, 3) + (0 if data[at - 1] in b"\0 \t\n\v\f\r" else context_mixing.GATES // 2)
+                x = np.array([*(tables[rows[:, at], node] / context_mixing.SCALE), model.logit[node], 1.0])
+                sign = 2 * bit - 1
+                margin = min(14, max(-14, sign * float((model.weights[:, gate] + refined) @ x)))
+                score -= math.log2(1 + math.exp(-margin))
+                step += sign * x / (1 + math.exp(margin))
+                wrong = 1 / (1 + math.exp(sign * float(model.weights[:, gate] @ x)))
+                slopes[gate, :, k] += wrong * sign * x
+                slopes[gate, :, :k] += wrong * (1 - wrong) * np.outer(x, x)
+        want.append(score)
+    assert (whole == cells).all()
+    assert np.allclose(model.run(texts), want, rtol=1e-5)
+    assert np.allclose(model.run(texts[::-1])[::-1], model.run(texts), rtol=0, atol=0)
+    assert np.allclose(model.slopes(texts), slopes, rtol=1e-4, atol=1e-2)
+
+
 # --- packing ---
 
 
