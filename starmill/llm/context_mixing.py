@@ -35,6 +35,7 @@ from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,45 +52,60 @@ TASKS_SUMMED = 256
 STRENGTH = 0.4  # pseudo-count of the prediction without a context
 SCALE = 12.0  # of logits in one byte
 BLOCK = 256
-STRETCH = 16  # blocks whose bits are laid out at once
+PLACES = 1 << 11  # whose predictions are made at once
+ABREAST = 16  # texts that are refined side by side
+SEGMENT = 1 << 19  # places whose predictions are kept at once, of a longer text; a multiple of ``BLOCK``
 SPAN = 1 << 14  # places of one node that go through the model at once
-CHUNK_BYTES = 300_000
+CHUNK_BYTES = 1_000_000
 HASHED_BYTES = 32_000  # whose context rows are computed at once, in the processor's cache
-ROWS_AT_ONCE = 1000
+ROWS_AT_ONCE = 5000
+BYTES_AT_ONCE = 4_000_000
 FOLDS = 2
 RATE = 6e-4  # of the weights that a text refines as it goes
 GATES = 8
 WEIGHTS = np.array([[0.3]] * len(ROWS) + [[0.0], [0.0]], np.float32)  # before training, of all gates
-ONE, LIMIT = np.float32(1), np.float32(14)  # of a mixed logit
+FIELDS = 4  # numbers of four bytes that are kept of a bit
+ONE, LIMIT = np.array(1, np.float32), np.array(14, np.float32)  # of a mixed logit
 SHARES = (np.array([SCALE] * len(ROWS) + [1, 1]) ** -2).astype(np.float32)  # of a refinement, by the inputs' scales
 RIDGE = 30.0  # bits' worth of pull towards them
 FREQUENT = 1 << 18
 FREQUENT_BYTES = 64
 COUNTED_WORDS = 400_000
-WHITE = np.zeros(256, bool)
-WHITE[[0, 9, 10, 11, 12, 13, 32]] = True
-INSIDE = np.where(WHITE, 0, 1).astype(np.uint16)  # by the byte before: start of a word or not
+IS_WHITE = bytes(c in (0, 9, 10, 11, 12, 13, 32) for c in range(256))
+NOT_WHITE = bytes(1 - c for c in IS_WHITE)
+# a place in one number, from its highest bit: inside a word (by the byte before), leaf of the symbol, last five
+# bytes, row of the word so far
+LEAF, LAST, WORD = (np.uint64(n) for n in (55, 15, ROWS[3] - 1))
+SYMBOLS = np.arange(256)  # as leaves
+PLACE_BITS = 20  # of a place among those that are grouped at once
 FACTOR = 0x9E3779B97F4A7C15
 INVERSE = pow(FACTOR, -1, 1 << 64)
 
 
 def chunks(texts: list[bytes], size: int = CHUNK_BYTES) -> Iterator[list[int]]:
-    """Runs of texts with about ``size`` bytes, by place."""
+    """Runs of texts with about ``size`` bytes, ends included, by place."""
     run, total = [], 0
     for i, t in enumerate(texts):
-        if run and total + len(t) > size:
+        if run and total + len(t) + 1 > size:
             yield run
             run, total = [], 0
         run.append(i)
-        total += len(t)
+        total += len(t) + 1
     if run:
         yield run
 
 
 def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices of at most ``ROWS_AT_ONCE`` rows and about ``BYTES_AT_ONCE`` bytes of text."""
     for batch in batches:
-        for start in range(0, batch.num_rows, ROWS_AT_ONCE):
-            yield batch.slice(start, ROWS_AT_ONCE)
+        sizes = np.cumsum(pc.binary_length(batch.column("text")).to_numpy(zero_copy_only=False).astype(np.int64))
+        start = 0
+        while start < batch.num_rows:
+            done = sizes[start - 1] if start else 0
+            end = max(start + 1, int(np.searchsorted(sizes, done + BYTES_AT_ONCE, "right")))
+            end = min(end, start + ROWS_AT_ONCE)
+            yield batch.slice(start, end - start)
+            start = end
 
 
 def laid_out(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -110,57 +126,115 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
-def context_rows(data: np.ndarray) -> np.ndarray:
-    """Row of each context at each place, numbered over all tables."""
+def last_bytes(data: np.ndarray) -> np.ndarray:
+    """The five bytes before each place in one number, the nearest lowest; zeros before the first."""
+    padded = np.concatenate((np.zeros(8, np.uint8), data))
+    return np.ndarray(len(data), ">u8", padded, 0, (1,)).astype(np.uint64) & np.uint64((1 << 40) - 1)
+
+
+def last_rows(last: np.ndarray) -> Iterator[np.ndarray]:
+    """Rows of the contexts of the last two, three and five bytes."""
+    for first, size, k in zip(FIRST, ROWS, (2, 3, 5)):
+        cut = last & np.uint64((1 << 8 * k) - 1)
+        cut *= np.uint64(k * FACTOR % (1 << 64))
+        cut >>= np.uint64(64 - size.bit_length() + 1)
+        yield cut.astype(np.int64) + first
+
+
+def word_hashes(data: np.ndarray) -> np.ndarray:
+    """Row of the word so far at each place, in its own table."""
     n = len(data)
-    out = np.empty((len(ROWS), n), np.int32)
     wide = data.astype(np.uint64)
-    # the bytes before a place in one number; the gaps make the first places irrelevant
-    last, taken = np.zeros(n, np.uint64), 0
-    for i, k in enumerate((2, 3, 5)):
-        for back in range(taken, k):
-            last[back + 1 :] |= wide[: n - back - 1] << np.uint64(8 * back)
-        taken = k
-        out[i] = (last * np.uint64(k * FACTOR % (1 << 64))) >> np.uint64(64 - ROWS[i].bit_length() + 1)
     power, inverse = (p[: n + 1] for p in _powers(1 << max(18, n.bit_length())))
     total = np.zeros(n + 1, np.uint64)
     wide += np.uint64(1)
     wide *= power[:-1]
     np.cumsum(wide, out=total[1:])
-    start = np.concatenate(([0], np.flatnonzero(WHITE.take(data[:-1])) + 1))
+    white = np.frombuffer(data[:-1].tobytes().translate(IS_WHITE), bool)
+    start = np.concatenate(([0], np.flatnonzero(white) + 1))
     lengths = np.diff(start, append=n)
-    word = total[:-1] - np.repeat(total.take(start), lengths)
+    word = np.repeat(total.take(start), lengths)
+    np.subtract(total[:-1], word, out=word)
     word *= np.repeat(inverse.take(start), lengths)
-    word ^= word >> np.uint64(29)
+    word ^= np.right_shift(word, np.uint64(29), out=wide)
     word *= np.uint64(FACTOR)
-    out[3] = word >> np.uint64(64 - ROWS[3].bit_length() + 1)
-    out += FIRST[: len(ROWS), None].astype(np.int32)
-    return out
+    word >>= np.uint64(64 - ROWS[3].bit_length() + 1)
+    return word
 
 
-def text_rows(texts: list[bytes]) -> np.ndarray:
-    """``context_rows`` of texts that are laid out one after the other."""
-    runs = chunks(texts, HASHED_BYTES)
-    return np.concatenate([context_rows(laid_out([texts[i] for i in run])[0]) for run in runs], 1)
+def context_rows(data: np.ndarray) -> np.ndarray:
+    """Row of each context at each place, numbered over all tables."""
+    return np.stack([*last_rows(last_bytes(data)), word_hashes(data).astype(np.int64) + FIRST[3]])
+
+
+def place_numbers(texts: list[bytes], leaves: np.ndarray) -> np.ndarray:
+    """Number of each coded place of texts; all that the model looks at there can be told from it."""
+    leaf, out = leaves.astype(np.uint8).tobytes(), []
+    for run in chunks(texts, HASHED_BYTES):
+        data, starts, ends = laid_out([texts[i] for i in run])
+        plain = data.tobytes()
+        top = np.frombuffer(plain.translate(leaf), np.uint8).astype(np.uint64)
+        top[1:] |= np.frombuffer(plain[:-1].translate(NOT_WHITE), np.uint8).astype(np.uint64) << np.uint64(8)
+        top <<= LEAF
+        number = last_bytes(data)
+        number <<= LAST
+        number |= word_hashes(data)
+        number |= top
+        out += [number[a:z] for a, z in zip(starts.tolist(), ends.tolist(), strict=True)]
+    return np.concatenate(out)
+
+
+def distinct(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct numbers in order, and how often each occurs."""
+    own = np.sort(numbers)
+    last = np.append(np.flatnonzero(own[1:] != own[:-1]), len(own) - 1)
+    return own.take(last), np.diff(last, prepend=-1)
+
+
+def grouped(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers in an order by leaf, in which equal ones mostly follow each other, with repeats in a row left out; and
+    where each of ``numbers`` is among them."""
+    place = np.uint64((1 << PLACE_BITS) - 1)
+    key = numbers * np.uint64(FACTOR)  # sorted with the place behind a hash, cheaper than argsort
+    key >>= np.uint64(64 - int(LEAF) + PLACE_BITS)
+    key <<= np.uint64(PLACE_BITS)
+    key |= numbers >> LEAF << LEAF
+    key |= np.arange(len(numbers), dtype=np.uint64)
+    key.sort()
+    key &= place
+    order = key.astype(np.int64)
+    own = numbers.take(order)
+    new = np.ones(len(own), bool)
+    np.not_equal(own[1:], own[:-1], out=new[1:])
+    where = np.empty(len(own), np.int64)
+    where[order] = np.cumsum(new) - 1
+    return own[new], where
+
+
+def rows_of(numbers: np.ndarray) -> np.ndarray:
+    """Context rows of places, by their numbers."""
+    return np.stack([*last_rows(numbers >> LAST), (numbers & WORD).astype(np.int64) + FIRST[3]])
+
+
+def _runs(first: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Numbers that go up by one from each of ``first``, for as long as ``bounds`` says; none is empty."""
+    out = np.ones(int(bounds[-1]), np.int64)
+    out[bounds[:-1]] = np.diff(first, prepend=1) - np.diff(bounds[:-1], prepend=0) + 1
+    out[:1] = first[:1]
+    return np.cumsum(out, out=out)
 
 
 def _coded(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    lengths = ends - starts
-    return np.repeat(starts - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
+    return _runs(starts, np.concatenate(([0], np.cumsum(ends - starts))))
 
 
 def count_cells(texts: list[bytes], counts: np.ndarray) -> None:
     """Add (context row, byte) counts of texts."""
-    for run in chunks(texts):
-        own = [texts[i] for i in run]
-        data, starts, ends = laid_out(own)
-        at = _coded(starts, ends)
-        rows, symbols = text_rows(own), data.take(at).astype(np.int32)
-        for own in rows:
-            cells = (own.take(at) << 8) + symbols
-            cells.sort()  # cheaper than to add one by one all over the table
-            last = np.append(np.flatnonzero(cells[1:] != cells[:-1]), len(cells) - 1)
-            counts[cells.take(last)] += np.diff(last, prepend=-1).astype(np.uint32)
+    for run in chunks(texts, 2 * CHUNK_BYTES):
+        own, n = distinct(place_numbers([texts[i] for i in run], SYMBOLS))
+        symbols = (own >> LEAF).astype(np.int64) & 255
+        for rows in rows_of(own):
+            np.add.at(counts, (rows << 8) + symbols, n.astype(np.uint32))
 
 
 def huffman(counts: np.ndarray) -> tuple[list[list[tuple[int, int]]], np.ndarray]:
@@ -193,8 +267,9 @@ def predictors(counts: np.ndarray, sides: np.ndarray, plain: np.ndarray) -> np.n
 class Model:
     """Tables, tree and weights; ``tables`` is flat: row * 256 + node.
 
-    Places are worked off node by node: in the order of the tree's leaves those that pass a node are a
-    run, in which table column, gate and plain prediction are the same.
+    Places that agree in all that the model looks at are predicted once for many texts. They are in the
+    order of the tree's leaves, so those that pass a node are a run, in which table column, gate and plain
+    prediction are the same. What a text has taught the weights is added place by place, in its own order.
     """
 
     def __init__(self, symbols: np.ndarray, tables: np.ndarray | None = None):
@@ -206,12 +281,8 @@ class Model:
         lengths = np.array([len(p) for p in self.paths])
         self.length, self.first = lengths, np.cumsum(lengths) - lengths
         self.nodes = np.array([n for p in self.paths for n, _ in p])
-        # of each step of a path, after a space and inside a word, with the sign of the bit that did not come:
-        # plain prediction and one
-        wrong = np.array([1 - 2 * b for p in self.paths for _, b in p], np.float32)
-        self.others = np.tile(np.stack([self.logit[self.nodes] * wrong, wrong]), 2)
         leaves = sorted(range(len(self.paths)), key=lambda s: [b for _, b in self.paths[s]])
-        self.rank = np.argsort(leaves).astype(np.uint16)
+        self.rank, self.symbols = np.argsort(leaves), np.array(leaves)
         below = self.sides.sum(2).astype(int)  # leaves on either side of a node, which follow each other
         first = [int(self.rank[self.sides[:, n].any(0)].min()) for n in range(len(below[0]))]
         self.leaves = np.stack([first, first + below[0], first + below.sum(0)], 1)
@@ -231,23 +302,14 @@ class Model:
         """Kept by node: one column is small enough for the processor's cache."""
         self.columns = None if tables is None else np.ascontiguousarray(tables.reshape(-1, 256).T)
 
-    def by_node(self, texts: list[bytes]):
-        """Of the places of texts: sizes of the texts, symbols, first gates (0, 1); the order by node, context rows in
-        it, and its runs: node, first gate, begin, first place with bit 1, end."""
-        data, starts, ends = laid_out(texts)
-        at = _coded(starts, ends)
-        symbols, inside = data.take(at), INSIDE.take(data.take(at - 1))
-        key = self.rank.take(symbols) + (inside << 8)
-        order = np.argsort(key, kind="stable")
-        bounds = np.concatenate(([0], np.cumsum(np.bincount(key, minlength=512))))
-        runs = []
-        for gate in (0, 1):
-            cuts = bounds[self.leaves + (gate << 8)].tolist()
-            runs += [(node, gate, begin, middle, end) for node, (begin, middle, end) in enumerate(cuts) if begin < end]
-        rows, at = np.empty((len(ROWS), len(at)), np.int64), at.take(order)
-        for own, into in zip(text_rows(texts), rows, strict=True):
-            into[:] = own.take(at)
-        return ends - starts, symbols, inside, order, rows, runs
+    def runs(self, numbers: np.ndarray) -> list:
+        """Of places in order: node, inside a word or not, begin, first place with bit 1, end."""
+        bounds = np.searchsorted(numbers >> LEAF, np.arange(513, dtype=np.uint64))
+        out = []
+        for inside in (0, 1):
+            cuts = bounds[self.leaves + (inside << 8)].tolist()
+            out += [(node, inside, begin, middle, end) for node, (begin, middle, end) in enumerate(cuts) if begin < end]
+        return out
 
     def spans(self, runs: list):
         """Runs cut to ``SPAN`` places, with the gate."""
@@ -266,80 +328,85 @@ class Model:
     def run(self, texts: list[bytes]) -> np.ndarray:
         """log2 probability of each text."""
         out = np.zeros(len(texts))
-        rates = self.rate * SHARES
         for run in chunks(texts):
-            sizes, symbols, inside, order, rows, runs = self.by_node([texts[i] for i in run])
-            lengths = self.length.take(symbols)
-            bits = np.concatenate(([0], np.cumsum(lengths)))  # the first bit of each place
-            inputs, place = self.inputs(rows, runs, int(bits[-1])), np.empty(len(order), np.int64)
-            place[order] = np.arange(len(order))
-            first = self.first.take(symbols) + inside * np.int64(len(self.nodes))
-            odds = np.empty(bits[-1], np.float32)
-            edges = np.concatenate(([0], np.cumsum(sizes))).tolist()
-            blocks = [b for a, z in zip(edges[:-1], edges[1:], strict=True) for b in range(a, z, BLOCK)] + edges[-1:]
-            fresh, refined = set(edges), None
-            for i in range(0, len(blocks) - 1, STRETCH):
-                places = blocks[i : i + STRETCH + 1]
-                a, z = places[0], places[-1]
-                cuts = bits[places].tolist()
-                x, margin = self.laid(inputs, place[a:z], first[a:z] - bits[a:z] + bits[a], lengths[a:z])
-                for text, b, e in zip(places, cuts[:-1], cuts[1:]):
-                    if text in fresh:
-                        refined = np.zeros(len(WEIGHTS), np.float32)
-                    own = slice(b - cuts[0], e - cuts[0])
-                    self.code(x[:, own], margin[own], refined, rates, odds[b:e])
-            out[run] = -np.add.reduceat(np.log(odds), bits[edges[:-1]], dtype=np.float64) / math.log(2)
+            numbers = place_numbers([texts[i] for i in run], self.rank)
+            edges = np.cumsum([0] + [len(texts[i]) + 1 for i in run])
+            refined = np.zeros((len(run), len(WEIGHTS)), np.float32)
+            if len(run) > 1:
+                out[run] = self.code(numbers, edges, refined)
+            else:
+                parts = [numbers[a : a + SEGMENT] for a in range(0, len(numbers), SEGMENT)]
+                out[run] = sum(self.code(part, np.array([0, len(part)]), refined) for part in parts)
         return out
 
-    def inputs(self, rows: np.ndarray, runs: list, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """The contexts' scaled logits and the logit mixed from all, run after run, with the sign of the bit that did
-        not come; of each step of a path, after a space and inside a word, what to add to a place to find it there."""
-        near, mixed, filled = np.empty((len(ROWS), bits), np.int8), np.empty(bits, np.float32), 0
-        shift = np.zeros((2, len(self.depth)), np.int64)
-        for node, inside, begin, _, end in runs:
-            shift[inside, node] = filled - begin
-            filled += end - begin
-        filled = 0
-        for node, gate, begin, middle, end in self.spans(runs):
-            own = self.near(node, rows[:, begin:end], near[:, filled : filled + end - begin])
-            np.negative(own[:, middle - begin :], out=own[:, middle - begin :])
-            x = own.astype(np.float32)
-            x *= self.weights[: len(ROWS), gate, None] / np.float32(SCALE)
-            margin = mixed[filled : filled + end - begin]
-            np.add(x[0], x[1], out=margin)
-            for other in x[2:]:
-                margin += other
-            constant = self.logit[node] * self.weights[-2, gate] + self.weights[-1, gate]
-            margin[: middle - begin] += constant
-            margin[middle - begin :] -= constant
-            filled += end - begin
-        return near, mixed, shift[:, self.nodes].reshape(-1)
-
-    def laid(self, inputs: tuple, place: np.ndarray, first: np.ndarray, lengths: np.ndarray):
-        """All predictors' logits of the bits of places in the order of texts, those of contexts still scaled, and the
-        logit mixed from them."""
-        near, mixed, shift = inputs
-        step = np.repeat(first, lengths)
-        step += np.arange(len(step))
-        at = np.repeat(place, lengths)
-        at += shift.take(step)
-        x, own = np.empty((len(WEIGHTS), len(step)), np.float32), np.empty(len(step), np.int8)
-        for logits, into in zip(near, x):
-            np.copyto(into, logits.take(at, None, own, "clip"))
-        for logits, into in zip(self.others, x[len(ROWS) :], strict=True):
-            logits.take(step, None, into, "clip")
-        return x, mixed.take(at)
-
-    def code(self, x: np.ndarray, margin: np.ndarray, refined: np.ndarray, rates: np.ndarray, odds: np.ndarray) -> None:
-        """Put one plus the odds of the bits of a block that did not come into ``odds``, and refine the weights."""
-        error = refined @ x
-        error += margin
-        np.minimum(error, LIMIT, out=error)
-        np.maximum(error, -LIMIT, out=error)
-        np.exp(error, out=error)
-        np.add(error, ONE, out=odds)
-        error /= odds
-        refined -= rates * (x @ error)
+    def code(self, numbers: np.ndarray, edges: np.ndarray, refined: np.ndarray) -> np.ndarray:
+        """log2 probability of texts by the numbers of their places; ``refined`` follows each, block after block, and
+        texts of about one length go side by side."""
+        own, where = grouped(numbers)
+        inputs, begin, lengths = self.inputs(own)
+        where = ((begin << 8) + lengths).take(where)
+        lengths = where & 255
+        where >>= 8
+        bits = np.concatenate(([0], np.cumsum(lengths)))
+        steps = _runs(where, bits)
+        rates = self.rate * SHARES
+        out, sizes = np.zeros(len(refined)), np.diff(edges)
+        order = np.argsort(-sizes, kind="stable")
+        laid = np.empty((0, FIELDS), np.float32)
+        for group in np.split(order, range(ABREAST, len(order), ABREAST)):
+            now = refined[group]
+            for done in range(0, int(sizes[group[0]]), BLOCK):
+                group = group[: int(np.count_nonzero(sizes[group] > done))]
+                first = edges[group] + done
+                first, last = bits.take(first), bits.take(np.minimum(first + BLOCK, edges[group + 1]))
+                cuts = np.cumsum(last - first)
+                n = int(cuts[-1])
+                if n > len(laid):
+                    laid, buffer = np.empty((2 * n, FIELDS), np.float32), np.empty((len(WEIGHTS) + 2, 2 * n), np.float32)
+                x, wrong, odd, cut = buffer[:-2, :n], buffer[-2, :n], buffer[-1, :n], [0, *cuts.tolist()]
+                for a, z, b in zip(first.tolist(), last.tolist(), cut):
+                    inputs.take(steps[a:z], 0, laid[b : b + z - a], "clip")
+                x[: len(ROWS)], x[len(ROWS) :] = laid[:n].view(np.int8)[:, : len(ROWS)].T, laid[:n, 2:].T
+                spans = [slice(a, z) for a, z in zip(cut[:-1], cut[1:])]
+                for span, weights in zip(spans, now):
+                    np.matmul(weights, x[:, span], out=wrong[span])
+                wrong += laid[:n, 1]
+                np.minimum(wrong, LIMIT, out=wrong)
+                np.maximum(wrong, -LIMIT, out=wrong)
+                np.exp(wrong, out=wrong)
+                np.add(wrong, ONE, out=odd)
+                wrong /= odd
+                for span, weights in zip(spans, now):
+                    weights -= rates * (x[:, span] @ wrong[span])
+                out[group] -= np.add.reduceat(np.log(odd, out=odd), cuts - (last - first), dtype=np.float64)
+            refined[group] = now[: len(group)]
+        return out / math.log(2)
+
+    def inputs(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the bits of places by leaf, with the sign of the bit that did not come: the contexts' scaled logits (four
+        bytes), the logit mixed from all, the plain one, one; the first bit of each place and how many it has."""
+        rows, bounds = rows_of(numbers), np.searchsorted(numbers >> LEAF, np.arange(513, dtype=np.uint64))
+        lengths = np.repeat(np.tile(self.length.take(self.symbols), 2), np.diff(bounds))
+        bits = np.concatenate(([0], np.cumsum(lengths)))
+        out = np.empty((int(bits[-1]), FIELDS), np.float32)
+        tables, size = self.columns.reshape(-1), self.columns.shape[1]
+        for leaf in np.flatnonzero(np.diff(bounds)).tolist():
+            path = self.paths[self.symbols[leaf & 255]]
+            nodes, wrong = np.array([n for n, _ in path])[:, None], np.array([[1 - 2 * b] for _, b in path], np.int8)
+            gates = np.minimum(np.arange(len(path)), GATES // 2 - 1) + (leaf >> 8) * (GATES // 2)
+            weights, plain = self.weights[:, gates, None], self.logit[nodes]
+            constant = (plain * weights[-2] + weights[-1]) * wrong
+            for a in range(int(bounds[leaf]), int(bounds[leaf + 1]), PLACES):
+                z = min(a + PLACES, int(bounds[leaf + 1]))
+                own = out[bits[a] : bits[z]].reshape(z - a, len(path), FIELDS)
+                contexts, x, mixed = own.view(np.int8).T, own.T, constant
+                for j in range(len(ROWS)):
+                    near = tables.take(rows[j, a:z] + nodes * size, None, None, "clip")
+                    near *= wrong
+                    contexts[j] = near
+                    mixed = mixed + near * (weights[j] / np.float32(SCALE))
+                x[1], x[2], x[3] = mixed, plain * wrong, wrong
+        return out, bits[:-1], lengths
 
     def slopes(self, texts: list[bytes]) -> np.ndarray:
         """Per gate: curvature matrix and, in the last column, gradient of the texts' log probability."""
@@ -349,8 +416,9 @@ class Model:
         spread[: len(ROWS), :-1] = np.eye(len(ROWS)) / SCALE
         spread[-1, -1] = 1
         for run in chunks(texts, 2 * CHUNK_BYTES):
-            *_, rows, runs = self.by_node([texts[i] for i in run])
-            for node, gate, begin, middle, end in self.spans(runs):
+            own, times = distinct(place_numbers([texts[i] for i in run], self.rank))
+            rows, times = rows_of(own), times.astype(np.float32)
+            for node, gate, begin, middle, end in self.spans(self.runs(own)):
                 spread[-2, -1] = self.logit[node]
                 x = np.ones((len(ROWS) + 1, end - begin), np.float32)
                 x[:-1] = self.near(node, rows[:, begin:end], np.empty((len(ROWS), end - begin), np.int8))
@@ -358,7 +426,8 @@ class Model:
                 np.negative(margin[: middle - begin], out=margin[: middle - begin])
                 np.clip(margin, -LIMIT, LIMIT, out=margin)
                 wrong = 1 / (1 + np.exp(margin))  # probability of the bit that did not come
-                curve = wrong * (1 - wrong)
+                curve = wrong * (1 - wrong) * times[begin:end]
+                wrong *= times[begin:end]
                 np.negative(wrong[: middle - begin], out=wrong[: middle - begin])
                 out[gate, :, k] += spread @ (x @ wrong)
                 out[gate, :, :k] += spread @ ((x * curve) @ x.T) @ spread.T

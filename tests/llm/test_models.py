@@ -346,6 +346,30 @@ def test_scores_and_slopes_are_those_of_a_plain_loop_over_the_bits():
     assert np.allclose(model.slopes(texts), slopes, rtol=1e-4, atol=1e-2)
 
 
+def test_places_that_agree_are_predicted_once_and_long_texts_in_parts(monkeypatch):
+    rng = random.Random(12)
+    words = [b"mill", b"star", b"sun", b"\xc3\xa9t\xc3\xa9", b"", b"a"]
+    texts = [b" ".join(rng.choice(words) for _ in range(n)) for n in (3000, 0, 700, 1, 2000)]
+    numbers = context_mixing.place_numbers(texts, context_mixing.SYMBOLS)
+    own, n = context_mixing.distinct(numbers)
+    assert n.sum() == len(numbers) == sum(len(t) + 1 for t in texts) and set(own.tolist()) == set(numbers.tolist())
+    data, starts, ends = context_mixing.laid_out(texts)
+    rows = np.concatenate([context_mixing.context_rows(data)[:, a:z] for a, z in zip(starts, ends)], 1)
+    assert (context_mixing.rows_of(numbers) == rows).all()
+    first, where = context_mixing.grouped(numbers)
+    assert (first[where] == numbers).all() and (np.diff((first >> context_mixing.LEAF).astype(int)) >= 0).all()
+    cells = np.zeros(context_mixing.CELLS, np.uint32)
+    context_mixing.count_cells(texts, cells)
+    model = context_mixing.Model(sum(np.bincount(np.frombuffer(t, np.uint8), minlength=256) for t in texts))
+    model.tables = context_mixing.predictors(cells.reshape(-1, 256), model.sides, model.plain).reshape(-1)
+    made, inputs = [], model.inputs
+    monkeypatch.setattr(model, "inputs", lambda places: made.append(len(places)) or inputs(places))
+    whole = model.run(texts)
+    assert sum(made) == len(own) < len(numbers) / 10
+    monkeypatch.setattr(context_mixing, "SEGMENT", 2 * context_mixing.BLOCK)
+    assert np.allclose([model.run([t])[0] for t in texts], whole, rtol=1e-9)
+
+
 # --- packing ---
 
 
