@@ -17,7 +17,7 @@ from starmill.operators.surrogate import unordered_ids
 from starmill.operators.upserts import insert_if_absent, merge_latest
 from starmill.plans import ledger, music, query_first, scheduled
 from starmill.schemas import MUSIC_TABLES, QUERY_FIRST_TABLES, RAW_EVENTS, RAW_EVENTS_CSV, RAW_SONGS
-from starmill.session import scratch_path
+from starmill.session import released_shuffles, scratch_path
 from starmill.sinks import compaction, counted, hashed, interleaved, known_keys
 from starmill.sinks import tables as sinks
 from starmill.sources import files
@@ -31,8 +31,7 @@ RAW_ROWS = 1_000_000  # in a raw file: a compressed file is read by one task
 
 def raw_files(df):
     """A writer of raw files as a source delivers them: compressed, each of bounded size."""
-    fast = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
-    return df.write.options(**fast).option("maxRecordsPerFile", RAW_ROWS)
+    return df.write.option("compression", "gzip").option("maxRecordsPerFile", RAW_ROWS)
 
 
 def halves(df, column="ts", middle=MIDDLE):
@@ -95,16 +94,22 @@ def stage_csv_slim(spark, sf):
     return files.read_csv_tree(spark, f"{base}/slim", slim.schema)
 
 
+def deliver(spark, sf, base):
+    """The raw log of November 2018 and the catalogue as JSON files; the template of the log's folders."""
+    log = roles.app_log(spark, sf).withColumn("sessionId", F.col("sessionId").cast("int"))
+    with released_shuffles(spark):
+        raw_files(log).json(f"{base}/log/2018/11")
+        raw_files(roles.raw_songs(spark, sf).drop("p_partkey")).json(f"{base}/songs")
+    return base + "/log/{execution_date.year}/{execution_date.month}"
+
+
 @query("scheduled_run", f"WITH {STAR_SQL} SELECT * FROM songplays")
 def scheduled_run(spark, sf):
     """The raw log and catalogue as JSON files, loaded twice by the scheduled job, its checks on."""
     base = scratch_path(spark, "scheduled")
     database = "starmill_" + base.rsplit("-", 1)[1]
-    log = roles.app_log(spark, sf).withColumn("sessionId", F.col("sessionId").cast("int"))
-    raw_files(log).json(f"{base}/log/2018/11")
-    raw_files(roles.raw_songs(spark, sf).drop("p_partkey")).json(f"{base}/songs")
+    template = deliver(spark, sf, base)
     spark.sql(f"CREATE DATABASE {database} LOCATION '{base}/database'")
-    template = base + "/log/{execution_date.year}/{execution_date.month}"
     for _ in range(2):
         star = scheduled.run(spark, date(2018, 11, 1), template, f"{base}/songs", f"{base}/house", database)
     return star["songplays"].withColumn("session_id", F.col("session_id").cast("bigint"))
@@ -125,11 +130,8 @@ def scheduled_load_report(spark, sf):
     """What two runs over the same files read and wrote; the second adds nothing."""
     base = scratch_path(spark, "scheduled-report")
     database = "starmill_" + base.rsplit("-", 1)[1]
-    log = roles.app_log(spark, sf).withColumn("sessionId", F.col("sessionId").cast("int"))
-    raw_files(log).json(f"{base}/log/2018/11")
-    raw_files(roles.raw_songs(spark, sf).drop("p_partkey")).json(f"{base}/songs")
+    template, rows = deliver(spark, sf, base), []
     spark.sql(f"CREATE DATABASE {database} LOCATION '{base}/database'")
-    template, rows = base + "/log/{execution_date.year}/{execution_date.month}", []
     for run in (1, 2):
         counts = {}
         scheduled.run(

@@ -79,7 +79,14 @@ plays AS (SELECT * FROM raw_events WHERE page = 'NextSong' AND start_time IS NOT
 def app_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw log: source spelling, epoch milliseconds, an empty user id when logged out."""
     songs = raw_songs(spark, sf_dir).select(F.col("p_partkey").alias("l_partkey"), "title", "artist_name", "duration")
-    rows = lookup_join(table(spark, sf_dir, "lineitem"), songs, ["l_partkey"])
+    # short values, in case the lines have to move
+    lines = table(spark, sf_dir, "lineitem").select(
+        "l_partkey", "l_orderkey", "l_suppkey", "l_linenumber", "l_shipdate",
+        F.expr("l_linestatus = 'F'").alias("paid"), F.expr("l_returnflag = 'N'").alias("home"),
+        F.expr("l_returnflag = 'N' and l_tax = 0").alias("nobody"), F.expr("l_discount = 0").alias("live"),
+        F.expr("cast(l_quantity as int)").alias("agent"),
+    )
+    rows = lookup_join(lines, songs, ["l_partkey"])
     offset = F.expr("(l_orderkey * 1009 + l_partkey * 7919 + l_linenumber * 97) % 86400000")
     return rows.select(
         F.col("artist_name").alias("artist"),
@@ -88,14 +95,14 @@ def app_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("l_linenumber").alias("itemInSession"),
         F.expr("concat('Last', l_suppkey)").alias("lastName"),
         F.col("duration").alias("length"),
-        F.expr("if(l_linestatus = 'F', 'paid', 'free')").alias("level"),
+        F.expr("if(paid, 'paid', 'free')").alias("level"),
         F.expr("concat('City ', l_suppkey div 10)").alias("location"),
-        F.expr("if(l_returnflag = 'N', 'Home', 'NextSong')").alias("page"),
+        F.expr("if(home, 'Home', 'NextSong')").alias("page"),
         F.col("l_orderkey").alias("sessionId"),
-        F.expr("concat(title, if(l_discount = 0, ' (live)', ''))").alias("song"),
+        F.expr("concat(title, if(live, ' (live)', ''))").alias("song"),
         (to_epoch_millis(F.col("l_shipdate")) + offset).alias("ts"),
-        F.expr("concat('agent ', cast(l_quantity as int))").alias("userAgent"),
-        F.expr("if(l_returnflag = 'N' and l_tax = 0, '', cast(l_suppkey as string))").alias("userId"),
+        F.expr("concat('agent ', agent)").alias("userAgent"),
+        F.expr("if(nobody, '', cast(l_suppkey as string))").alias("userId"),
     )
 
 

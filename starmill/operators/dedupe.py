@@ -9,6 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starmill.operators.joins import fits_broadcast
+from starmill.session import scratch_path
+
 
 def distinct_of(df: DataFrame, columns: list) -> DataFrame:
     """Distinct combinations of the given columns."""
@@ -32,6 +35,30 @@ def last_per_key(df: DataFrame, keys: list[str], order: list[str] = ()) -> DataF
     return _one_per_key(df, list(keys), list(order), F.max)
 
 
+def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame | None:
+    """Hashes (``_hash``) of all keys that occur more than once, others may be among them; None if there are none.
+
+    Eight bytes a row are moved, whatever the keys are.
+    """
+    counts = df.groupBy(F.xxhash64(*keys).alias("_hash")).agg(F.count(F.lit(1)).alias("_n"))
+    repeated, path = counts.filter(F.col("_n") > 1).select("_hash"), scratch_path(df.sparkSession, "repeated-keys")
+    repeated.write.parquet(path)
+    found = df.sparkSession.read.schema(repeated.schema).parquet(path)
+    return None if found.isEmpty() else found
+
+
+def first_of_repeated(df: DataFrame, keys: list[str], repeated: DataFrame | None, order: list[str] = ()) -> DataFrame:
+    """``first_per_key`` where ``repeated_keys`` are known: rows of all other keys stay where they are."""
+    if repeated is None:
+        return df
+    if not fits_broadcast(repeated):  # then most rows have to move in any case
+        return first_per_key(df, keys, order)
+    hashed, marks = df.withColumn("_hash", F.xxhash64(*keys)), F.broadcast(repeated)
+    once = hashed.join(marks, "_hash", "left_anti").select(*df.columns)
+    several = hashed.join(marks, "_hash", "left_semi").select(*df.columns)
+    return once.unionByName(first_per_key(several, keys, order))
+
+
 def latest_attributes(
     df: DataFrame, keys: list[str], order: str, changing: list[str], fixed: list[str]
 ) -> DataFrame:

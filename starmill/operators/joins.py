@@ -66,13 +66,19 @@ def hot_keys(df: DataFrame, on: list[str], share: float = HOT_SHARE) -> list:
     return hot.select(*on, (F.col("_n") / F.lit(total)).alias("_part")).collect()
 
 
-def may_have_hot_keys(df: DataFrame, on: list[str]) -> bool:
+def few_keys(df: DataFrame, on: list[str]) -> bool:
+    """Whether the distinct keys fit the broadcast bound; they are gathered only if an estimate lets them."""
+    estimate = df.select(F.approx_count_distinct(F.xxhash64(*on))).first()[0]
+    return estimate <= 2 * BROADCAST_ROWS and fits_broadcast(df.select(*on).distinct())
+
+
+def may_have_hot_keys(df: DataFrame, on: list[str], share: float | None = None) -> bool:
     """Whether one key may hold more than a hot share of the rows; False is certain.
 
     Each task counts hashes of its keys in a sketch of fixed size, so no keys are shuffled. The
     sketch names every key with more than a quarter of a hot share and never counts one too low.
     """
-    share = hot_share(_partitions(df))
+    share = share or hot_share(_partitions(df))
     tracked = min(1 << 18, max(1024, 16 * math.ceil(1 / share)))
     counted = df.select(F.xxhash64(*on).alias("_key")).agg(
         F.count(F.lit(1)), F.expr(f"get(approx_top_k(_key, 1, {tracked}), 0).count")
@@ -101,7 +107,8 @@ def salted_join(
         raise ValueError("salted_join does inner and left joins")
     on = list(on)
     partitions = _partitions(fact)
-    found = hot_keys(fact if hot_from is None else hot_from, on, share or hot_share(partitions))
+    source, share = fact if hot_from is None else hot_from, share or hot_share(partitions)
+    found = hot_keys(source, on, share) if may_have_hot_keys(source, on, share) else []
     salts = [(*tuple(r)[:-1], max(MIN_SALTS, math.ceil(r["_part"] * partitions))) for r in found]
     hot = [row for row in salts if None not in row]
     if not hot and (how == "inner" or len(found) == 0):

@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmill.operators.dedupe import first_per_key, latest_attributes
-from starmill.operators.joins import fits_broadcast
+from starmill.operators.joins import few_keys, fits_broadcast
+from starmill.session import scratch_path
+from starmill.sinks import paths
 
 
 def _by_key(rows: DataFrame, keys_of: DataFrame, keys: list[str], how: str) -> DataFrame:
@@ -33,6 +35,28 @@ def new_rows(existing: DataFrame, batch: DataFrame, keys: list[str], order: list
     return _by_key(candidates, known.distinct(), keys, "left_anti")
 
 
+def absent_rows(known: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    """All rows of a stored batch whose key is not among the known ones.
+
+    With few known or few new keys the batch stays where it is; otherwise keys alone are moved to find the
+    new ones, and rows only if those are many.
+    """
+    keys = list(keys)
+    known = known.select(*keys)
+    if fits_broadcast(known):
+        return _by_key(batch, F.broadcast(known), keys, "left_anti")
+    if few_keys(batch, keys):
+        met = _by_key(known, F.broadcast(batch.select(*keys).distinct()), keys, "left_semi").distinct()
+        return _by_key(batch, F.broadcast(met), keys, "left_anti")
+    spark, path = batch.sparkSession, scratch_path(batch.sparkSession, "absent-keys")
+    _by_key(batch.select(*keys), known, keys, "left_anti").write.parquet(path)
+    absent = spark.read.schema(batch.select(*keys).schema).parquet(path)
+    if fits_broadcast(absent):
+        return _by_key(batch, F.broadcast(absent), keys, "left_semi")
+    paths.remove(spark, path)
+    return _by_key(batch, known, keys, "left_anti")
+
+
 def insert_if_absent(
     existing: DataFrame, batch: DataFrame, keys: list[str], order: list[str] = ()
 ) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starmill.functions.clean import or_default, safe_cast, text_or_default
 from starmill.functions.keys import play_md5, play_uuid
 from starmill.functions.timeparts import epoch_millis, time_parts
-from starmill.operators.dedupe import distinct_of, first_per_key, latest_attributes
+from starmill.operators.dedupe import distinct_of, first_of_repeated, first_per_key, latest_attributes, repeated_keys
 from starmill.operators.filters import keep_type, require_values
 from starmill.operators.joins import lookup_join
 
@@ -105,6 +105,16 @@ def build_time(df: DataFrame, column: str = "start_time", convention: str = "mon
     return times.select("start_time", *time_parts(F.col("start_time"), convention))
 
 
+def times_of(plays: DataFrame) -> DataFrame:
+    """The times of plays with their partition, one row per play."""
+    return plays.select("start_time", F.year("start_time").alias("year"), F.month("start_time").alias("month"))
+
+
+def finish_time(rows: DataFrame) -> DataFrame:
+    """Times with their calendar parts, made anew where they are written."""
+    return rows.select("start_time", *time_parts(F.col("start_time")))
+
+
 # --- facts ---------------------------------------------------------------------------------
 
 
@@ -188,22 +198,51 @@ def fact_left_chain(plays: DataFrame, songs: DataFrame, artists: DataFrame, colu
     ).distinct()
 
 
-def build_songplays(plays: DataFrame, songs: DataFrame, artists: DataFrame) -> DataFrame:
-    """The fact table: one row per play key, ids from the first full match.
+def unique_plays(plays: DataFrame, stored: bool = False) -> DataFrame:
+    """The first play of each time, user and song, of which the key of the fact is made.
 
-    The key is a function of time, user and song, so repeated plays are removed on those
-    columns before the join, and the key is computed once per row that stays.
+    ``stored`` tells that the plays lie in files, where a search for repeated ones costs less than moving all.
     """
     columns = ["level", "session_id", "item_in_session", "location", "user_agent", "artist", "length"]
     rows = require_values(plays, ["start_time", "user_id"]).select("start_time", "user_id", "song", *columns)
-    unique = first_per_key(rows, ["start_time", "user_id", "song"], ["session_id", "item_in_session"])
-    return fact_first_match(unique, songs, artists).select(
+    key, order = ["start_time", "user_id", "song"], ["session_id", "item_in_session"]
+    return first_of_repeated(rows, key, repeated_keys(rows, key), order) if stored else first_per_key(rows, key, order)
+
+
+def keyed_plays(plays: DataFrame) -> DataFrame:
+    """Unique plays with the key of the fact and its partition."""
+    return plays.select(
         play_uuid(F.col("song"), F.col("start_time"), F.col("user_id"), six_digit_text=True).alias("songplay_id"),
-        "start_time", "user_id", "level", "song_id", "artist_id", "session_id", "location", "user_agent",
-        F.year("start_time").alias("year"), F.month("start_time").alias("month"),
+        "*", F.year("start_time").alias("year"), F.month("start_time").alias("month"),
+    )
+
+
+def _fact_columns(rows: DataFrame) -> DataFrame:
+    return keyed_plays(rows).select(
+        "songplay_id", "start_time", "user_id", "level", "song_id", "artist_id", "session_id", "location",
+        "user_agent", "year", "month", "song",
     )
 
 
+def complete_plays(plays: DataFrame, songs: DataFrame, artists: DataFrame) -> DataFrame:
+    """Keyed plays with the ids of their songs, and the song's title, which is in the key."""
+    return _fact_columns(fact_first_match(plays.drop("songplay_id", "year", "month"), songs, artists))
+
+
+def finish_plays(rows: DataFrame) -> DataFrame:
+    """The fact's columns of complete plays; the key is made anew, a title moves cheaper than a digest."""
+    return _fact_columns(rows.drop("songplay_id", "year", "month")).drop("song")
+
+
+def build_songplays(plays: DataFrame, songs: DataFrame, artists: DataFrame) -> DataFrame:
+    """The fact table: one row per play key, ids from the first full match.
+
+    The key is a function of time, user and song, so repeated plays are removed on those
+    columns before the join, and the key is computed once per row that stays.
+    """
+    return _fact_columns(fact_first_match(unique_plays(plays), songs, artists)).drop("song")
+
+
 def build_plays(events: DataFrame, songs: DataFrame, artists: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(users, time, songplays) from a normalised log."""
     plays = plays_of(events)

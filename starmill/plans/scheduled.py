@@ -12,6 +12,7 @@ from starmill.functions.clean import fit_widths
 from starmill.operators.quality import run_checks
 from starmill.plans import drug, music
 from starmill.schemas import DRUG_TABLES, MUSIC_TABLES, RAW_EVENTS, RAW_SONGS, create_tables, table_checks
+from starmill.session import released_shuffles
 from starmill.sinks.tables import (
     RowCount, append_new, in_partitions, load_fact, load_partitions, refresh_table, upsert_latest_into, write_table,
 )
@@ -32,43 +33,66 @@ def run(
     Songs and artists gain the ids they lack, users take the most recent level. All five
     are tables of ``database``, ready for SQL. Times and facts are checked in the months of the run.
     """
-    events_in, songs_in = RowCount(), RowCount()
-    staged_events = stage(
-        spark, events_template, run_date, RAW_EVENTS, "json", mapping=events_mapping,
-        to=f"{warehouse}/staging_events", count=events_in,
-    )
-    staged_songs = stage(
-        spark, songs_template, run_date, RAW_SONGS, "json", to=f"{warehouse}/staging_songs", count=songs_in
-    )
-    written = {name: RowCount() for name in MUSIC_TABLES}
-    create_tables(spark, MUSIC_TABLES, warehouse, database)
-    paths = {name: f"{warehouse}/{name}" for name in MUSIC_TABLES}
-    names = {name: f"{database}.{name}" for name in MUSIC_TABLES}
+    with released_shuffles(spark):
+        events_in, songs_in = RowCount(), RowCount()
+        staged_events = stage(
+            spark, events_template, run_date, RAW_EVENTS, "json", mapping=events_mapping,
+            to=f"{warehouse}/staging_events", count=events_in,
+        )
+        staged_songs = stage(
+            spark, songs_template, run_date, RAW_SONGS, "json", to=f"{warehouse}/staging_songs", count=songs_in
+        )
+        written = {name: RowCount() for name in MUSIC_TABLES}
+        create_tables(spark, MUSIC_TABLES, warehouse, database)
+        paths = {name: f"{warehouse}/{name}" for name in MUSIC_TABLES}
+        names = {name: f"{database}.{name}" for name in MUSIC_TABLES}
 
-    for name, df in zip(("songs", "artists"), music.build_catalogue(staged_songs)):
-        table = MUSIC_TABLES[name]
-        append_new(spark, df, paths[name], table.key, partition_by=table.partition_by, sort_by=table.sort_by, count=written[name])
-        refresh_table(spark, names[name])
-    songs, artists = spark.table(names["songs"]), spark.table(names["artists"])
-
-    users, time, songplays = music.build_plays(music.normalise_events(staged_events), songs, artists)
-    upsert_latest_into(
-        spark, users, names["users"], paths["users"], ["user_id"], "last_start_time", ["level"], written["users"]
-    )
-    touched = {}
-    for name, df in (("time", time), ("songplays", songplays)):
+        for name, df in zip(("songs", "artists"), music.build_catalogue(staged_songs)):
+            table = MUSIC_TABLES[name]
+            append_new(spark, df, paths[name], table.key, partition_by=table.partition_by, sort_by=table.sort_by, count=written[name])
+            refresh_table(spark, names[name])
+        songs, artists = spark.table(names["songs"]), spark.table(names["artists"])
+
+        plays = music.plays_of(music.normalise_events(staged_events))
+        upsert_latest_into(
+            spark, music.build_users(plays), names["users"], paths["users"], ["user_id"], "last_start_time", ["level"],
+            written["users"],
+        )
+        touched = load_plays(spark, plays, songs, artists, paths, names, written)
+        star = {name: spark.table(full) for name, full in names.items()}
+        if counts is not None:
+            sources = {name: songs_in if name in ("songs", "artists") else events_in for name in MUSIC_TABLES}
+            counts.update({name: (sources[name].rows, written[name].rows) for name in MUSIC_TABLES})
+        if check:
+            # a key determines its month, so the months of this run hold all that could be wrong in them
+            loaded = {name: in_partitions(star[name], months) for name, months in touched.items()}
+            run_checks(spark, table_checks(MUSIC_TABLES, star, loaded))
+        return star
+
+
+def load_plays(
+    spark: SparkSession, plays: DataFrame, songs: DataFrame, artists: DataFrame,
+    paths: Mapping[str, str], names: Mapping[str, str], written: Mapping[str, RowCount] | None = None,
+) -> dict[str, DataFrame]:
+    """Add stored plays to times and facts; returns the months touched by table.
+
+    Plays whose key is stored already are left out before the others are joined with their songs.
+    """
+    touched, written = {}, written or {}
+
+    def load(name: str, df: DataFrame, **how) -> None:
         table = MUSIC_TABLES[name]
-        touched[name] = load_partitions(df, paths[name], table.key, table.partition_by, table.sort_by, written[name])
+        touched[name] = load_partitions(
+            df, paths[name], table.key, table.partition_by, table.sort_by, written.get(name), **how
+        )
         refresh_table(spark, names[name])
-    star = {name: spark.table(full) for name, full in names.items()}
-    if counts is not None:
-        sources = {name: songs_in if name in ("songs", "artists") else events_in for name in MUSIC_TABLES}
-        counts.update({name: (sources[name].rows, written[name].rows) for name in MUSIC_TABLES})
-    if check:
-        # a key determines its month, so the months of this run hold all that could be wrong in them
-        loaded = {name: in_partitions(star[name], months) for name, months in touched.items()}
-        run_checks(spark, table_checks(MUSIC_TABLES, star, loaded))
-    return star
+
+    load("time", music.times_of(plays), unique=True, complete=music.build_time, finish=music.finish_time)
+    load(
+        "songplays", music.keyed_plays(music.unique_plays(plays, stored=True)),
+        complete=lambda new: music.complete_plays(new, songs, artists), finish=music.finish_plays,
+    )
+    return touched
 
 
 def steps(
@@ -92,20 +116,25 @@ def steps(
             append_new(spark, df, paths[name], table.key, partition_by=table.partition_by, sort_by=table.sort_by)
             refresh_table(spark, names[name])
 
-    def plays(day: date) -> tuple[DataFrame, DataFrame, DataFrame]:
-        events = music.normalise_events(staged(day, "events", RAW_EVENTS))
-        return music.build_plays(events, spark.table(names["songs"]), spark.table(names["artists"]))
+    def plays(day: date) -> DataFrame:
+        return music.plays_of(music.normalise_events(staged(day, "events", RAW_EVENTS)))
 
     def load_users(day: date) -> None:
-        upsert_latest_into(spark, plays(day)[0], names["users"], paths["users"], ["user_id"], "last_start_time", ["level"])
+        users = music.build_users(plays(day))
+        upsert_latest_into(spark, users, names["users"], paths["users"], ["user_id"], "last_start_time", ["level"])
 
-    def load_plays(day: date) -> None:
-        for name, df in zip(("time", "songplays"), plays(day)[1:], strict=True):
-            table = MUSIC_TABLES[name]
-            load_partitions(df, paths[name], table.key, table.partition_by, table.sort_by)
-            refresh_table(spark, names[name])
+    def load_facts(day: date) -> None:
+        load_plays(spark, plays(day), spark.table(names["songs"]), spark.table(names["artists"]), paths, names)
+
+    def released(step: Callable[[date], object]) -> Callable[[date], object]:
+        def run_step(day: date) -> None:
+            with released_shuffles(spark):
+                step(day)
+
+        return run_step
 
-    return {"stage": stage_files, "catalogue": load_catalogue, "users": load_users, "plays": load_plays}
+    done = {"stage": stage_files, "catalogue": load_catalogue, "users": load_users, "plays": load_facts}
+    return {name: released(step) for name, step in done.items()}
 
 
 def run_drug_warehouse(

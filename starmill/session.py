@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -65,3 +67,21 @@ def scratch_base(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no other run uses."""
     return f"{scratch_base(spark)}/starmill/{label}-{uuid.uuid4().hex}"
+
+
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def released_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of each job go when the job ends, not when the driver happens to collect its garbage.
+
+    For loads of many steps, each of which writes its result. A DataFrame on which a second action is run
+    computes its shuffles again.
+    """
+    before = spark.conf.get(RELEASE, "false")
+    spark.conf.set(RELEASE, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(RELEASE, before)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 from operator import and_, or_
 
@@ -12,12 +12,14 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starmill.operators.dedupe import first_per_key, last_per_key
+from starmill.operators.dedupe import first_of_repeated, last_per_key, repeated_keys
 from starmill.operators.joins import fits_broadcast, may_have_hot_keys
-from starmill.operators.upserts import merge_latest, new_rows
+from starmill.operators.upserts import absent_rows, merge_latest, new_rows
 from starmill.session import scratch_path
 from starmill.sinks import paths
 
+CODEC = "zstd"  # of loaded tables: keys that are digests don't shrink without entropy coding
+
 
 class RowCount:
     """The number of rows that pass through a DataFrame when it is written; 0 if it never is."""
@@ -43,19 +45,24 @@ class RowCount:
 def write_table(
     df: DataFrame, path: str, mode: str = "overwrite",
     partition_by: Sequence[str] = (), sort_by: Sequence[str] = (),
+    finish: Callable[[DataFrame], DataFrame] | None = None, codec: str | None = None,
 ) -> None:
     """Write parquet, optionally in partition directories and sorted inside each file.
 
     The rebalance hint gathers each directory's rows into few files; AQE splits a directory
     that is too large for one task and merges small ones. Sorting narrows the row-group
-    ranges that later filters are checked against.
+    ranges that later filters are checked against. ``finish`` makes the columns that follow from
+    others of their row, after the rows have moved.
     """
     by = list(partition_by)
     if by:
         df = df.hint("rebalance", *by)
+    if finish:
+        df = finish(df)
     if by or sort_by:
         df = df.sortWithinPartitions(*by, *[c for c in sort_by if c not in by])
     writer = df.write.mode(mode)
+    writer = writer.option("compression", codec) if codec else writer
     (writer.partitionBy(*by) if by else writer).parquet(path)
 
 
@@ -94,26 +101,36 @@ def write_bucketed(df: DataFrame, table: str, path: str, key: Sequence[str], buc
 
 def load_partitions(
     df: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str], sort_by: Sequence[str] = (),
-    count: RowCount | None = None,
+    count: RowCount | None = None, unique: bool = False,
+    complete: Callable[[DataFrame], DataFrame] | None = None, finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Add the rows whose key their partition does not hold yet; nothing stored is lost.
 
-    Late rows join the partition they belong to, and loading a batch again changes nothing. The
-    batch is computed once. Only the partitions named in it are read, so a key must determine its
-    partition. Returns those partitions, one row each; see ``in_partitions``.
+    Late rows join the partition they belong to, and loading a batch again changes nothing. Only the
+    partitions named in the batch are read, so a key must determine its partition. Returns those
+    partitions, one row each; see ``in_partitions``.
+
+    The batch is computed once and kept until it is loaded. With ``complete``, which makes whole rows of
+    those to add, it is read where it lies instead: give a plain selection from stored rows that has the keys
+    and partitions. ``unique`` tells that no key is twice in the whole rows; ``finish`` is explained at
+    ``write_table``.
     """
-    spark, by = df.sparkSession, list(partition_by)
-    existing = ensure_table(spark, path, df.schema, by)
+    spark, keys, by = df.sparkSession, list(keys), list(partition_by)
     staged, listed = scratch_path(spark, "batch"), scratch_path(spark, "partitions")
-    df.write.parquet(staged)
-    batch = spark.read.schema(df.schema).parquet(staged)
-    batch.select(*by).distinct().write.parquet(listed)
-    named = spark.read.schema(batch.select(*by).schema).parquet(listed)
-    if paths.folders(spark, path):
-        added = new_rows(in_partitions(existing, named), batch, list(keys)).select(*df.columns)
+    if complete is None:
+        df.write.option("compression", CODEC).parquet(staged)
+        df = spark.read.schema(df.schema).parquet(staged)
+    df.select(*by).distinct().write.parquet(listed)
+    named = spark.read.schema(df.select(*by).schema).parquet(listed)
+    if paths.exists(spark, path) and paths.folders(spark, path):
+        stored = spark.read.schema(df.select(*keys, *[c for c in by if c not in keys]).schema).parquet(path)
+        added = absent_rows(in_partitions(stored, named), df, keys)
     else:  # nothing is stored yet
-        added = first_per_key(batch, list(keys))
-    write_table(count.on(added) if count else added, path, mode="append", partition_by=by, sort_by=sort_by)
+        added = df
+    repeated = None if unique else repeated_keys(added, keys)
+    whole = first_of_repeated(complete(added) if complete else added, keys, repeated)
+    ensure_table(spark, path, (finish(whole) if finish else whole).schema, by)
+    write_table(count.on(whole) if count else whole, path, "append", by, sort_by, finish, CODEC)
     paths.remove(spark, staged)
     return named
 

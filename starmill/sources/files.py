@@ -145,5 +145,5 @@ def stage(
     staged = pick_paths(raw, mapping) if mapping else raw
     if to is None:
         return staged
-    (count.on(staged) if count else staged).write.mode("overwrite").parquet(to)
+    (count.on(staged) if count else staged).write.mode("overwrite").option("compression", "zstd").parquet(to)
     return spark.read.schema(staged.schema).parquet(to)

@@ -132,6 +132,28 @@ def test_partition_load_touches_only_its_partitions(spark, frame, tmp_path):
     assert rows(got) == Counter({(1, 10): 1, (2, 10): 1, (3, 11): 1, (4, 10): 1, (5, 12): 1})
 
 
+def test_partition_load_completes_new_rows_only(spark, frame, tmp_path):
+    path, seen = str(tmp_path / "t"), []
+
+    def complete(new):
+        seen.append(new.count())
+        return new.withColumn("v", F.concat("k", F.lit("!"))).select("k", "v", "n", "year")
+
+    def load(items):
+        batch = frame(items, "k string, n int, year int")
+        sinks.load_partitions(
+            batch, path, ["k"], ["year"], complete=complete, finish=lambda df: df.withColumn("n", F.col("n") * 10)
+        )
+        return rows(spark.read.parquet(path).select("k", "v", "n", "year"))
+
+    first = {("a", "a!", 10, 1): 1, (None, None, 20, 1): 1, ("c", "c!", 30, 2): 1}
+    assert load([("a", 1, 1), ("a", 4, 1), (None, 2, 1), (None, 3, 1), ("c", 3, 2)]) == first
+    late = {("d", "d!", 10, 2): 1, ("e", "e!", 50, None): 1}
+    for _ in range(2):
+        assert load([("c", 9, 2), ("d", 1, 2), ("d", 2, 2), ("e", 5, None), (None, 7, 1)]) == first | late
+    assert seen == [5, 3, 0]
+
+
 def test_small_and_unique_tables_are_bucketed(spark, frame, tmp_path):
     for n in (1, 25, 100):
         df = spark.range(n).select(F.col("id").alias("report"))

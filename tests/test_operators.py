@@ -121,6 +121,37 @@ def test_insert_if_absent(frame, batch_size):
     assert rows(upserts.insert_if_absent(merged, batch, ["k"])) == rows(merged)
 
 
+@pytest.mark.parametrize("few", [True, False], ids=["few batch keys", "many batch keys"])
+@pytest.mark.parametrize("fits", [lambda n: True, lambda n: n <= 2, lambda n: False], ids=["small", "few new", "large"])
+def test_absent_rows(spark, frame, monkeypatch, few, fits):
+    monkeypatch.setattr(upserts, "few_keys", lambda *_: few)
+    monkeypatch.setattr(upserts, "fits_broadcast", lambda df: fits(df.count()))
+    known = frame([(1, "a"), (None, "n"), (2, None), (3, "c")], "k int, t string")
+    batch = [(1, "a", 1), (1, "b", 2), (1, "b", 3), (None, "n", 4), (None, None, 5), (2, None, 6), (3, "c", 7)]
+    got = upserts.absent_rows(known, frame(batch, "k int, t string, v int"), ["k", "t"])
+    assert got.columns == ["k", "t", "v"]
+    assert rows(got) == Counter([(1, "b", 2), (1, "b", 3), (None, None, 5)])
+
+
+@pytest.mark.parametrize("fits", [True, False])
+def test_only_rows_of_repeated_keys_are_moved(frame, monkeypatch, fits):
+    monkeypatch.setattr(dedupe, "fits_broadcast", lambda *_: fits)
+    schema = "k int, t string, o int, v string"
+    items = [(1, "a", 2, "x"), (1, "a", 1, "y"), (1, None, 1, "z"), (None, None, 1, "q"), (None, None, None, "p"), (2, "a", 3, "m")]
+    df = frame(items, schema)
+    repeated = dedupe.repeated_keys(df, ["k", "t"])
+    assert repeated.count() == 2
+    got = dedupe.first_of_repeated(df, ["k", "t"], repeated, ["o"])
+    assert got.columns == df.columns and rows(got) == rows(dedupe.first_per_key(df, ["k", "t"], ["o"]))
+    assert dedupe.repeated_keys(df, ["v"]) is None and dedupe.first_of_repeated(df, ["v"], None) is df
+
+
+def test_few_keys(spark, monkeypatch):
+    df = spark.range(5000).select((F.col("id") % 7).alias("k"), "id")
+    monkeypatch.setattr(joins, "BROADCAST_ROWS", 100)
+    assert joins.few_keys(df, ["k"]) and not joins.few_keys(df, ["id"])
+
+
 def test_merge_latest(frame, batch_size):
     schema = "id int, name string, level string, ts int"
     table = frame([(1, "Ann", "free", 10), (2, "Bo", "paid", 10), (4, "Di", "free", 10)], schema)
