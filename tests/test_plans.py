@@ -8,6 +8,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
+from driver_queries import QUERIES
 from starmill.operators import quality
 from starmill.plans import drug, music, query_first, scheduled
 from starmill.schemas import RAW_EVENTS, RAW_EVENTS_CSV, RAW_LABEL_DOCUMENT, RAW_PRICING, RAW_REPORT_DOCUMENT, RAW_SONGS
@@ -180,6 +181,37 @@ def shuffle_files(spark):
     return {f for f in files.split() if f.endswith(".data") and "/shuffle_" in f}
 
 
+def gone(spark, before):
+    """Whether the shuffle files that came since go, which happens in the background."""
+    for _ in range(50):
+        if not shuffle_files(spark) - before:
+            return True
+        time.sleep(0.2)
+    return False
+
+
+def test_scheduled_load_report_leaves_no_shuffles(spark, tmp_path):
+    parts = [(i, f"name {i}", "Brand#11", "TYPE", 40, 900.5 + i) for i in range(1, 4)]
+    spark.createDataFrame(
+        parts, "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"
+    ).write.parquet(f"{tmp_path}/part.parquet")
+    lines = [
+        (1, 1, 10, 1, 5.0, 0.0, 0.0, "N", "O", datetime(2000, 1, 1)), (1, 2, 11, 2, 6.0, 0.0, 0.1, "R", "F", datetime(2000, 1, 2)),
+        (2, 2, 11, 1, 7.0, 0.1, 0.0, "A", "O", datetime(2000, 2, 1)), (2, 2, 11, 1, 7.0, 0.1, 0.0, "A", "O", datetime(2000, 2, 1)),
+        (3, 3, None, 1, 8.0, 0.1, 0.0, "A", "O", datetime(2000, 2, 2)), (4, 9, 12, 1, 8.0, 0.1, 0.0, "A", "O", datetime(2000, 2, 2)),
+    ]
+    spark.createDataFrame(
+        lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_discount double, "
+        "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    before = shuffle_files(spark)
+    report = rows(QUERIES["scheduled_load_report"](spark, str(tmp_path)))
+    assert gone(spark, before)
+    first = {("songs", 3, 3), ("artists", 3, 1), ("users", 5, 1), ("time", 5, 3), ("songplays", 5, 2)}
+    again = {(name, n, 1 if name == "users" else 0) for name, n, _ in first}
+    assert report == Counter([(1, *r) for r in first] + [(2, *r) for r in again])
+
+
 def test_scheduled_run_leaves_no_shuffles_and_joins_new_plays_only(spark, tmp_path, monkeypatch):
     log, songs, house = tmp_path / "log", tmp_path / "songs", str(tmp_path / "house")
     twice = [event(NOV, "8", "Blue", "Ann", 200.5, item=0), event(NOV, "8", "None", item=5), event(NOV, "8", item=6)]
@@ -195,11 +227,7 @@ def test_scheduled_run_leaves_no_shuffles_and_joins_new_plays_only(spark, tmp_pa
 
     before = shuffle_files(spark)
     first = run()
-    for _ in range(50):  # they go in the background
-        if not shuffle_files(spark) - before:
-            break
-        time.sleep(0.2)
-    assert not shuffle_files(spark) - before
+    assert gone(spark, before)
     assert run() == first
     # a title that is missing has the same key as one called None
     assert joined == [6, 0] and sum(first.values()) == 5
